@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import mixing, quality, sharding, toxicity
+from brindle.llm import fingerprints, mixing, quality, sharding, toxicity
 from brindle.llm.common import fold
 
 
@@ -35,11 +35,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
+    "op8_fingerprints": op8_fingerprints,
 }
 
 ORACLES: dict[str, str] = {}
