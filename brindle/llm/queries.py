@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import fingerprints, mixing, quality, sharding, toxicity
-from brindle.llm.common import fold
+from brindle.llm import fingerprints, mixing, quality, sharding, toxicity, warc
+from brindle.llm.common import fold, scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), scratch_path(spark, "warc"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
+    "op7_warc": op7_warc,
     "op8_fingerprints": op8_fingerprints,
 }
 
