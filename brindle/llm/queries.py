@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import fingerprints, mixing, quality, sharding, toxicity, warc
+from brindle.llm import fingerprints, html_extract, mixing, quality, sharding, toxicity, warc
 from brindle.llm.common import fold, scratch_path
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -44,6 +48,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
     "op4_quality_classifier": op4_quality_classifier,
