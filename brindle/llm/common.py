@@ -33,7 +33,7 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage is cut, and any executor may be lost."""
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import fingerprints, html_extract, mixing, quality, sharding, toxicity, warc
+from brindle.llm import fingerprints, html_extract, mixing, packing, quality, sharding, toxicity, warc
 from brindle.llm.common import fold, scratch_path
 
 
@@ -47,6 +48,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_sharding": op2_sharding,
@@ -55,6 +60,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op7_warc": op7_warc,
     "op8_fingerprints": op8_fingerprints,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {}
