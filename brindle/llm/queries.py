@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import fingerprints, html_extract, mixing, packing, quality, sharding, toxicity, warc
+from brindle.llm import fingerprints, html_extract, mixing, packing, partenum, quality, sharding, toxicity, warc
 from brindle.llm.common import fold, scratch_path
 
 
@@ -48,6 +48,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"), n=4, least=85, most=100)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op7_warc": op7_warc,
     "op8_fingerprints": op8_fingerprints,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_packing": op10_packing,
 }
 
