@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import fingerprints, html_extract, mixing, packing, partenum, quality, sharding, toxicity, warc
+from brindle.llm import fingerprints, html_extract, mixing, packing, partenum, quality, rp_forest, sharding, toxicity, warc
 from brindle.llm.common import fold, scratch_path
 
 
@@ -40,6 +40,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op6_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), scratch_path(spark, "warc"))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
+    "op6_embedding_near_dups": op6_embedding_near_dups,
     "op7_warc": op7_warc,
     "op8_fingerprints": op8_fingerprints,
     "op9_ngram_jaccard": op9_ngram_jaccard,
