@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.common import small_batches, written
@@ -20,6 +20,10 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 FAMILIES = 8
 #: So many documents at most are looked up by a broadcast join; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Sets and items of a block of candidates at most, about, and items that are compared at a time.
+BLOCK_ROWS = 512
+BLOCK_ITEMS = 1 << 20
+COLUMNS = 4096
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
@@ -156,49 +160,112 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(rows[0, out]), pa.array(rows[1, out])], names=["sig", "k"])
 
 
-def _verify(join: PartEnum):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            sets = zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True)
-            keep = []
-            for i, (sa, sb) in enumerate(sets):
-                x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
-                both = np.concatenate((x, y))
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                if join.most * common >= join.least * (len(both) - common):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
+def similar(sets: list[np.ndarray], join: PartEnum, half: int | None = None) -> np.ndarray:
+    """Matrix of which sets are similar; with half, of the first half sets against the others.
+
+    Intersections are counted by products of 0/1 matrices over the items that more than one set holds, some thousand
+    at a time; counts below 2**24 are exact in single precision.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    items, which, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    shared = seen[which] > 1
+    column = (np.cumsum(seen > 1) - 1)[which[shared]]
+    owner = owner[shared]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    left, right = (slice(None), slice(None)) if half is None else (slice(0, half), slice(half, None))
+    common = np.zeros((len(sizes[left]), len(sizes[right])), np.float32)
+    ends = np.searchsorted(column, np.arange(0, (int(column[-1]) if len(column) else 0) + COLUMNS + 1, COLUMNS))
+    for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+        if a < b:
+            part = np.zeros((len(sets), COLUMNS), np.float32)
+            part[owner[a:b], column[a:b] - k * COLUMNS] = 1
+            common += part[left] @ part[right].T
+    common = common.astype(np.int64)
+    return join.most * common >= join.least * (sizes[left][:, None] + sizes[right][None, :] - common)
+
+
+def spanning_links(close: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> list[tuple[int, int]]:
+    """Links (of set keys) that join what all links of the matrix join: a spanning forest of them."""
+    out: list[tuple[int, int]] = []
+    left_rows, left_columns = np.ones(len(rows), bool), np.ones(len(columns), bool)
+    for start in np.flatnonzero(close.any(axis=1)):
+        if not left_rows[start]:
+            continue
+        left_rows[start] = False
+        front = [(True, int(start))]
+        while front:
+            is_row, at = front.pop()
+            near = close[at] & left_columns if is_row else close[:, at] & left_rows
+            for other in np.flatnonzero(near).tolist():
+                (left_columns if is_row else left_rows)[other] = False
+                a, b = (at, other) if is_row else (other, at)
+                if rows[a] != columns[b]:
+                    out.append((int(rows[a]), int(columns[b])))
+                front.append((not is_row, other))
+    return out
+
+
+def _compare(join: PartEnum):
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("root", "ascending"), ("k", "ascending")])
+        k = group.column("k").to_numpy()
+        group = group.filter(pa.array(np.concatenate(([True], k[1:] != k[:-1]))))
+        root, k, block = (group.column(c).to_numpy() for c in ("root", "k", "block"))
+        sets = [np.frombuffer(x, np.uint64) for x in group.column("items").to_pylist()]
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        links: list[tuple[int, int]] = []
+        starts = np.flatnonzero(np.concatenate(([True], root[1:] != root[:-1])))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(root)], strict=True):
+            if i == j:
+                links += spanning_links(similar(sets[a:b], join), k[a:b], k[a:b])
+                continue
+            one, two = a + np.flatnonzero(block[a:b] == i), a + np.flatnonzero(block[a:b] == j)
+            if len(one) and len(two):
+                links += spanning_links(similar([sets[x] for x in (*one, *two)], join, len(one)), k[one], k[two])
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return run
 
 
-def _links(pairs: DataFrame, docs: DataFrame, sample: DataFrame, n: int, join: PartEnum) -> DataFrame:
-    """The pairs (a, b) of set keys whose sets are similar. sample: k and one doc_id that has the set."""
-    wanted = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
-    wanted = written(wanted.join(sample, "k"), "join-wanted")
-    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+def _links(candidates: DataFrame, docs: DataFrame, sample: DataFrame, n: int, join: PartEnum) -> DataFrame:
+    """Links (a, b) that join what all similar pairs of each group of candidates (k, root) join.
+
+    sample: k, one doc_id that has the set, and its size. Small groups share tasks; a large group is dealt to blocks of
+    limited rows and items, and each pair of blocks is compared apart, so no task holds more than two blocks and no
+    pairs are emitted.
+    """
+    wanted = candidates.join(sample, "k")
+    size = wanted.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_ITEMS)).cast("int").alias("blocks"))
+    wanted = written(wanted.join(size, "root").select("k", "root", "doc_id", "blocks"), "join-wanted")
+    total = wanted.count()
+    ids = F.broadcast(wanted) if total <= BROADCAST_ROWS else wanted
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(t, n).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(found, pa.binary())], names=["k", "items"])
+            found = [shingle_set(t, n) for t in batch.column("text").to_pylist()]
+            own = pa.array([_key(x) == k for x, k in zip(found, batch.column("k").to_pylist(), strict=True)])  # rows may share a doc_id
+            rows = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("k", "root", "blocks")), pa.array([x.tobytes() for x in found], pa.binary())], names=["k", "root", "blocks", "items"])
+            yield rows.filter(own)
 
-    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"])).select("k", "text").mapInArrow(sets, "k long, items binary")
-    items = written(rows, "join-sets")
-    one = items.select(F.col("k").alias("a"), F.col("items").alias("sa"))
-    two = items.select(F.col("k").alias("b"), F.col("items").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(_verify(join), "a long, b long")
+    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"])).select("k", "root", "blocks", "text").mapInArrow(sets, "k long, root long, blocks int, items binary")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    sent = dealt.select("root", "k", "items", "blocks", "block", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    shares = max(1, total // BLOCK_ROWS)
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(shares))).otherwise(F.col("root"))
+    tasks = sent.select("root", "k", "items", "block", "i", "j", task.alias("task"), (F.col("blocks") == 1).alias("small"))
+    return tasks.groupBy("task", "small", "i", "j").applyInArrow(_compare(join), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -> DataFrame:
     """The component of every row of docs (doc_id, text) under links of most * intersection >= least * union.
 
     Sets of n-word shingles, A-Z in lower case. Equal sets are one node. Different sets that share a signature are
-    candidates; in each signature's bucket the set with most shared signatures is compared with the others first, and
-    what that leaves in different components is compared pairwise, so that large groups of near copies need few
-    comparisons and no link between components is lost. All comparisons are exact (up to collisions of 64-bit hashes).
+    candidates; groups that such sharing connects are compared in blocks, all sets of a group against each other, by
+    matrix products that yield only links that span what is similar. So a large group of near copies costs no rows
+    for its pairs, and no link is lost. Comparisons are exact (up to collisions of 64-bit hashes).
 
     Null and empty texts have no shingles and are linked with nothing; a text with fewer than n words is one shingle.
     Repeated rows are equal texts. A null doc_id is never a component's id unless the component has no other. Returns
@@ -209,36 +276,16 @@ def jaccard_components(docs: DataFrame, n: int = 5, least: int = 80, most: int =
     small_batches(spark, 256)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(base.mapInArrow(_sign(n, join), "doc_id long, n long, k long, sigs array<long>"), "join-signatures")
-    sample = signed.filter("k is not null").groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    sample = signed.filter("k is not null").groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max("n").alias("n"))
     sigs = signed.filter("sigs is not null").select(F.explode("sigs").alias("sig"), "k")
     members = written(sigs.repartition("sig").sortWithinPartitions("sig", "k").mapInArrow(_shared, "sig long, k long"), "join-buckets")
 
-    # First the set that shares most signatures, in each bucket, against the others of the bucket.
-    buckets = members.groupBy("sig").agg(F.count("*").alias("n"))
-    weight = members.join(buckets, "sig").groupBy("k").agg(F.sum(F.col("n") - 1).alias("weight"))
-    heavy = written(members.join(weight, "k"), "join-members")
-    head = heavy.groupBy("sig").agg(F.max(F.struct("weight", "k")).alias("head")).select("sig", F.col("head.k").alias("h"))
-    stars = heavy.join(head, "sig").filter("h <> k").select(F.least("h", "k").alias("a"), F.greatest("h", "k").alias("b")).distinct()
-    tried = written(stars, "join-pairs")
-    keys = sample.select("k", "doc_id")
-    links = written(_links(tried, base, keys, n, join), "join-links")
-    roots = components(links)
-
-    # Then, of buckets whose sets are in different components, all pairs across components that were not tried.
-    for last in (False, True):
-        placed = heavy.join(roots.select(F.col("node").alias("k"), "root"), "k", "left").withColumn("root", F.coalesce("root", "k"))
-        mixed_ = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
-        open_ = written(placed.join(mixed_, "sig").withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("weight"), "k"))), "join-open")
-        left, right = open_.select("sig", F.col("k").alias("x"), F.col("root").alias("rx"), F.col("rank").alias("i")), open_.select("sig", F.col("k").alias("y"), F.col("root").alias("ry"), F.col("rank").alias("j"))
-        if not last:  # a few more heads, each against the rest
-            left = left.filter("i <= 3")
-        pairs = left.join(right, "sig").filter("i < j and rx <> ry").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "join-pairs")
-        if not pairs.isEmpty():
-            found = written(_links(pairs, base, keys, n, join), "join-links")
-            tried = tried.unionByName(pairs)
-            links = links.unionByName(found)
-            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
+    # Sets that share signatures, directly or through others, are a group of candidates; only stars are followed.
+    heads = members.groupBy("sig").agg(F.min("k").alias("h"))
+    stars = members.join(heads, "sig").filter("h <> k").select(F.col("h").alias("a"), F.col("k").alias("b")).distinct()
+    candidates = components(stars).withColumnRenamed("node", "k")
+    keys = sample.select("k", "doc_id", "n")
+    roots = components(written(_links(candidates, base, keys, n, join), "join-links"))
 
     # From sets back to documents: the smallest id of each set, then of each component.
     ids = roots.join(keys, roots["node"] == keys["k"]).groupBy("root").agg(F.min("doc_id").alias("id"))
