@@ -1,50 +1,14 @@
-"""Registered queries: each applies an operator to whole tables; its DuckDB twin states the same in SQL."""
+"""Registered queries of priors and campaigns: each applies an operator to whole tables; its DuckDB twin states the same in SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.functions import numbers, similarity, text, urls
-from brindle.operators import campaigns, curation, merges, priors, ranking, selection
-from brindle.plans.fixtures import VIEWS, view, with_views
-from brindle.sources import readers, writers
-from brindle.streaming import jobs
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-View = Callable[[str], DataFrame]
-
-#: "Now" of the due and dashboard queries.
-NOW = "2024-01-20 10:30:00"
-ZONES = ("Europe/Paris", "America/New_York", "Asia/Tokyo", "UTC")
-
-VIEWS["fx_due_leads"] = f"SELECT *, CASE WHEN lead_id % 4 = 0 THEN NULL ELSE CAST('2024-01-18 00:00:00' AS TIMESTAMP) + INTERVAL '1' HOUR * cast(lead_id % 96 AS int) END AS next_send_at, CAST(NULL AS TIMESTAMP) AS replied_at FROM fx_leads"
-VIEWS["fx_requests"] = "SELECT user_id AS lead_id, min(ts) AS ts FROM events WHERE event_type = 'purchase' AND event_id % 7 = 0 GROUP BY user_id"
-VIEWS["fx_links"] = "SELECT page_id, url, cast(page_id % 3 AS int) AS grp FROM pages"
-
-
-def query(sql: str | None = None) -> Callable:
-    """Registers a function of a view lookup under its name; sql is what DuckDB runs."""
-
-    def add(f: Callable[[View], DataFrame]) -> Callable:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(lambda name: view(spark, sf_dir, name))
-
-        QUERIES[f.__name__] = run
-        if sql:
-            ORACLES[f.__name__] = with_views(" ".join(sql.split("\n")))
-        return f
-
-    return add
-
-
-def now() -> Column:
-    return F.lit(NOW).cast("timestamp")
-
+from brindle.functions import text
+from brindle.operators import campaigns, priors
+from brindle.plans.base import NOW, ORACLES, QUERIES, ZONES, View, now, query
+from brindle.sources import writers
 
 # Market priors
 
@@ -317,3 +281,6 @@ def redact(v: View) -> DataFrame:
 @query("SELECT lead_id, email, concat('{\"first_name\":\"', first_name, '\",\"company\":\"', company, '\"}') AS custom_data FROM fx_leads")
 def pack_extras(v: View) -> DataFrame:
     return campaigns.pack_extras(v("fx_leads").select("lead_id", "email", "first_name", "company"), ("lead_id", "email"))
+
+
+from brindle.plans import curation_queries, job_queries  # noqa: E402, F401  they register their queries
