@@ -23,7 +23,7 @@ def median_signature(c: Column) -> Column:
     n = F.size(c)
     half = F.floor(n / 2).cast("int")
     median = (F.element_at(ordered, half) + F.element_at(ordered, half + 1)) / 2
-    bits = F.transform(c, lambda x, i: F.when(x.cast("double") > median, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    bits = F.transform(c, lambda x, i: F.when(x.cast("double") > median, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
     return F.aggregate(bits, F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(x))
 
 
