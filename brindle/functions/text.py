@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Mail domains that count as disposable.
 DISPOSABLE_DOMAINS = (
@@ -41,7 +42,7 @@ def class_division(c: Column) -> Column:
     return F.regexp_extract(c, "[0-9]{2}", 0)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def ascii_fold(texts: pd.Series) -> pd.Series:
     """Compatibility decomposition, ASCII only, lower case, single spaces; Spark has no such function."""
     folded = texts.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().lower())
