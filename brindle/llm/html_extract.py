@@ -19,6 +19,7 @@ from brindle.llm.common import small_batches
 HIDDEN = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "head", "title", "select", "textarea", "audio", "video", "map"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template"}
 BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset"}
+FIRM = {"nav", "footer", "menu", "dialog", "button"}  # never wrappers of content
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure",
     "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section",
@@ -144,14 +145,18 @@ def tokens_of(page: str) -> list[Token]:
     words: Counter = Counter()
     wraps: set[int] = set()
     total = 0
-    for t, _ in _raw_tokens(page):
+    firm: set[int] = set()
+    for t, own in _raw_tokens(page):
         tokens.append(t)
+        if own and t.name in FIRM:
+            firm.add(own)
         total += t.words
         for k in t.marks:
             words[k] += t.words
         if t.kind == "open" and t.name in CONTENT:
             wraps.update(t.marks[:-1] if t.labelled else t.marks)
     plain = {k for k in words if words[k] > WRAPPER * total} | {k for k in wraps if words[k] > (1 - WRAPPER) * total}
+    plain -= firm
     labelled = free = 0
     for t in tokens:
         t.boiler = any(k not in plain for k in t.marks)
