@@ -17,11 +17,11 @@ def link_groups(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
 
-def _quota_moves(wishes: DataFrame, room: DataFrame, shards: int) -> DataFrame:
+def _quota_moves(wishes: DataFrame, room: DataFrame, turn: int) -> DataFrame:
     """Of the rows that wish to enter a shard, those that its room takes: whole groups first, by their hash.
 
-    Wishes are counted by shard and cell of the group's hash (shards * CELLS counts at most); cells enter in order
-    until the room is used up, and of the cell at which it is, a hashed share of the rows.
+    Wishes are counted by shard and cell of the group's hash (CELLS counts for each shard at most); cells enter in order
+    until the room is used up, and of the cell at which it is, a share of the rows, drawn anew in each turn.
     """
     cell = F.pmod(F.xxhash64("g1", "g2"), F.lit(CELLS)).cast("int")
     wishes = wishes.withColumn("cell", cell)
@@ -31,7 +31,7 @@ def _quota_moves(wishes: DataFrame, room: DataFrame, shards: int) -> DataFrame:
     left = F.coalesce("room", F.lit(0)) - F.col("upto") + F.col("n")
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), left / F.col("n")))
     limits = F.broadcast(limits.select("wish", "cell", share.alias("share")))
-    lucky = F.pmod(F.xxhash64(F.lit(7), "doc_id", "g1"), F.lit(1 << 20)) / float(1 << 20)
+    lucky = F.pmod(F.xxhash64(F.lit(turn), "doc_id", "g1"), F.lit(1 << 20)) / float(1 << 20)
     return wishes.join(limits, ["wish", "cell"]).withColumn("moves", lucky < F.col("share")).drop("cell", "share")
 
 
@@ -44,7 +44,7 @@ def propagate(nodes: DataFrame, quota: int, shards: int, rounds: int) -> DataFra
     so a group with a third of all rows is joined as a few counted rows, never as pairs.
     """
     state = nodes.withColumn("shard", F.pmod(F.xxhash64(F.lit(3), "g1", "doc_id"), F.lit(shards)).cast("int"))
-    for _ in range(rounds):
+    for turn in range(rounds):
         sizes = state.groupBy("shard").agg(F.count("*").alias("n"))
         every = nodes.sparkSession.range(shards).select(F.col("id").cast("int").alias("in_shard"))
         room = every.join(F.broadcast(sizes), F.col("in_shard") == F.col("shard"), "left").select("in_shard", F.greatest(F.lit(0).cast("long"), quota - F.coalesce("n", F.lit(0))).alias("room"))
@@ -54,7 +54,7 @@ def propagate(nodes: DataFrame, quota: int, shards: int, rounds: int) -> DataFra
         best = opened.groupBy("g1", "g2").agg(F.max(F.struct("votes", "shard")).alias("best"))
         wish = votes.join(best, ["g1", "g2"]).filter(F.struct("votes", "shard") < F.col("best")).select("g1", "g2", "shard", F.col("best.shard").alias("wish"))
         wanted = state.join(wish, ["g1", "g2", "shard"], "left").select(*state.columns, "wish")
-        moving = _quota_moves(wanted.filter("wish is not null"), room, shards)
+        moving = _quota_moves(wanted.filter("wish is not null"), room, turn)
         moved = moving.withColumn("shard", F.when(F.col("moves"), F.col("wish")).otherwise(F.col("shard"))).select(*state.columns)
         state = written(wanted.filter("wish is null").select(*state.columns).unionByName(moved), "shard-labels")
     return state
@@ -80,11 +80,14 @@ def shard_documents(docs: DataFrame, shards: int = 24, rounds: int = 3) -> DataF
     total = nodes.count()
     counted = nodes.groupBy("g1", "g2").agg(F.count("*").alias("n"))
     linked_groups = counted.filter("n > 1").select("g1", "g2")
-    linked = propagate(nodes.join(linked_groups, ["g1", "g2"], "left_semi"), -(-total // shards), shards, rounds)
+    quota = max(1, -(-total // shards))
+    largest = counted.agg(F.max("n")).first()[0] or 1
+    # A group that is larger than a shard fills one shard after the other.
+    linked = propagate(nodes.join(linked_groups, ["g1", "g2"], "left_semi"), quota, shards, rounds + min(shards, (largest // quota) * 2))
     single = nodes.join(linked_groups, ["g1", "g2"], "left_anti")
     # Documents without links go where room is left, by a hash: bounds has a row for each shard.
     sizes = {r["shard"]: r["n"] for r in linked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-    room = [max(0, -(-total // shards) - sizes.get(k, 0)) for k in range(shards)]
+    room = [max(0, quota - sizes.get(k, 0)) for k in range(shards)]
     whole = max(1, sum(room))
     upto, filled = 0, F.lit(shards - 1)
     chance = F.pmod(F.xxhash64(F.lit(9), "doc_id", "g1"), F.lit(1 << 30)) / float(1 << 30)
