@@ -260,11 +260,11 @@ def lead_expressions(v: View) -> DataFrame:
     return v("fx_leads").select("lead_id", text.is_email(e).alias("valid"), text.email_domain(e).alias("domain"), token.alias("token"), text.b64url_decode(token).alias("back"), text.full_name(F.col("first_name"), F.col("company")).alias("name"))
 
 
-@query("SELECT l_orderkey, l_linenumber, round(l_extendedprice / greatest(l_quantity, 1), 6) AS ratio, cast(30 * pow(2, l_linenumber - 1) AS int) AS wait, round(l_quantity / greatest(l_linenumber, 1), 6) AS shape, round_even(l_quantity / 4, 0) AS even, cast(l_tax AS double) AS tax FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice / greatest(l_quantity, 1) AS ratio, cast(30 * pow(2, l_linenumber - 1) AS int) AS wait, l_quantity / greatest(l_linenumber, 1) AS shape, round_even(l_quantity / 4, 0) AS even, cast(l_tax AS double) AS tax FROM lineitem")
 def number_expressions(v: View) -> DataFrame:
     q, n = F.col("l_quantity"), F.col("l_linenumber")
     return v("lineitem").select(
-        "l_orderkey", "l_linenumber", F.round(numbers.safe_ratio(F.col("l_extendedprice"), q), 6).alias("ratio"), numbers.backoff_minutes(n).alias("wait"), F.round(numbers.aspect(q, n), 6).alias("shape"), F.bround(q / 4, 0).alias("even"), numbers.to_double_strict(F.col("l_tax").cast("string")).alias("tax")
+        "l_orderkey", "l_linenumber", numbers.safe_ratio(F.col("l_extendedprice"), q).alias("ratio"), numbers.backoff_minutes(n).alias("wait"), numbers.aspect(q, n).alias("shape"), F.bround(q / 4, 0).alias("even"), numbers.to_double_strict(F.col("l_tax").cast("string")).alias("tax")
     )
 
 
@@ -277,7 +277,7 @@ def segment_window(v: View) -> DataFrame:
 
 # Vectors
 
-UNIT = "SELECT vec_id, grp, score, list_transform(embedding, x -> cast(x AS double)) AS e, sqrt(list_dot_product(list_transform(embedding, x -> cast(x AS double)), list_transform(embedding, x -> cast(x AS double)))) AS n FROM fx_candidates"
+UNIT = "SELECT vec_id, grp, score, list_transform(embedding, lambda x: cast(x AS double)) AS e, sqrt(list_dot_product(list_transform(embedding, lambda x: cast(x AS double)), list_transform(embedding, lambda x: cast(x AS double)))) AS n FROM fx_candidates"
 
 
 @query(f"WITH u AS ({UNIT}) SELECT vec_id, round(n, 5) AS norm, round(e[1] / n, 5) AS first FROM u")
@@ -286,21 +286,21 @@ def l2_normalize(v: View) -> DataFrame:
     return v("fx_candidates").select("vec_id", F.round(F.sqrt(similarity.dot(e, e)), 5).alias("norm"), F.round(similarity.l2_normalize(e)[0], 5).alias("first"))
 
 
-SIGNED = f"WITH u AS ({UNIT}), m AS (SELECT *, (list_sort(e)[32] + list_sort(e)[33]) / 2 AS mid FROM u), s AS (SELECT *, list_transform(e, x -> CASE WHEN x > mid THEN '1' ELSE '0' END) AS bits FROM m)"
+SIGNED = f"WITH u AS ({UNIT}), m AS (SELECT *, (list_sort(e)[32] + list_sort(e)[33]) / 2 AS mid FROM u), s AS (SELECT *, list_transform(e, lambda x: CASE WHEN x > mid THEN '1' ELSE '0' END) AS bits FROM m)"
 
 
-@query(SIGNED + " SELECT vec_id, len(list_filter(bits, x -> x = '1')) AS ones, bits[1] = '1' AS low FROM s")
+@query(SIGNED + " SELECT vec_id, len(list_filter(bits, lambda x: x = '1')) AS ones, bits[1] = '1' AS low FROM s")
 def median_signature(v: View) -> DataFrame:
     sig = similarity.median_signature(F.col("embedding"))
     return v("fx_candidates").select("vec_id", F.bit_count(sig).cast("long").alias("ones"), (sig.bitwiseAND(F.lit(1)) == 1).alias("low"))
 
 
-PAIRS = SIGNED + ", p AS (SELECT a.vec_id AS a, b.vec_id AS b, a.grp, len(list_filter(list_zip(a.bits, b.bits), x -> x[1] <> x[2])) AS apart, list_dot_product(a.e, b.e) / a.n / b.n AS cosine FROM s a JOIN s b ON a.grp = b.grp AND a.vec_id < b.vec_id)"
+PAIRS = SIGNED + ", p AS (SELECT a.vec_id AS a, b.vec_id AS b, a.grp, len(list_filter(list_zip(a.bits, b.bits), lambda x: x[1] <> x[2])) AS apart, list_dot_product(a.e, b.e) / a.n / b.n AS cosine FROM s a JOIN s b ON a.grp = b.grp AND a.vec_id < b.vec_id)"
 
 
-@query(PAIRS + " SELECT a, b, apart, round(cosine, 6) AS cosine FROM p WHERE apart <= 10 AND cosine >= 0.60")
+@query(PAIRS + " SELECT a, b, apart, round(cosine, 6) AS cosine FROM p WHERE apart <= 20 AND cosine >= 0.30")
 def near_dup_pairs(v: View) -> DataFrame:
-    return selection.near_dup_pairs(selection.with_features(v("fx_candidates")), "vec_id", ["grp"], [(10, 0.60)])
+    return selection.near_dup_pairs(selection.with_features(v("fx_candidates")), "vec_id", ["grp"], [(20, 0.30)])
 
 
 @query()
