@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,11 @@ def shingle_set(text: str | None, n: int) -> np.ndarray:
     return np.unique(mixed(total))
 
 
+def _at_least(m: int, mean: float) -> float:
+    """Chance that a Poisson count of this mean is m or more."""
+    return 1 - math.exp(-mean) * sum(mean**k / math.factorial(k) for k in range(m))
+
+
 @dataclass(frozen=True)
 class PartEnum:
     """Signatures such that two different sets with most * |A and B| >= least * |A or B| share one at least.
@@ -69,10 +76,22 @@ class PartEnum:
         """How many elements sets of these sizes differ in at most, if they are similar."""
         return (a + b) * (self.most - self.least) // (self.most + self.least)
 
+    @lru_cache(maxsize=1024)  # noqa: B019  a few bands
     def parts(self, j: int) -> tuple[int, int]:
-        """Number of partitions of band j, and how many elements one needs to count."""
-        d = self.differ(self.top(j), self.top(j))
-        return d + 1 + (7 * (d + 1)) // 20, 3 if d >= 6 else 2 if d >= 3 else 1
+        """Number of partitions of band j, and how many elements one needs to count.
+
+        As many elements (three at most) as leave sets of all sizes of the band enough such partitions on average:
+        the more elements, the fewer sets that are not similar share a signature.
+        """
+        top, below = self.top(j), self.top(j - 1) if j else 0
+        d = self.differ(top, top)
+        ends = (max(1, below * self.least // self.most), below + 1, top)
+        for enough in (3, 2):
+            for slack in (0.2, 0.35, 0.5, 0.7):
+                parts = d + 1 + int(slack * (d + 1))
+                if all(_at_least(enough, a / parts) >= (self.differ(a, min(a * self.most // self.least, top)) + 1) / parts + 0.03 for a in ends):
+                    return parts, enough
+        return d + 1 + (7 * (d + 1)) // 20, 1
 
     def signatures(self, items: np.ndarray) -> np.ndarray:
         """Distinct signatures of a set of 64-bit hashes; none for sets so small that only equal ones are similar."""
