@@ -37,6 +37,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Removes the files of a table made by written() that nothing will read any more."""
+    spark = table.sparkSession
+    for name in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        if "/brindle/" in name:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Texts may be very long: fewer rows go to a Python worker at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import written
+from brindle.llm.common import discard, written
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 5
     now = written(now, "links")
     state = None
     for _ in range(max_rounds):
-        now = written(_small_star(_large_star(now)), "links")
+        before, now = now, written(_small_star(_large_star(now)), "links")
+        discard(before)
         row = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == (row["n"], row["h"]):
             break

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import small_batches, written
+from brindle.llm.common import discard, small_batches, written
 from brindle.llm.components import components
 from brindle.llm.words import mixed, word_hashes
 
@@ -23,8 +23,8 @@ FAMILIES = 8
 #: So many documents at most are looked up by a broadcast join; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Sets and items of a block of candidates at most, about, and items that are compared at a time.
-BLOCK_ROWS = 512
-BLOCK_ITEMS = 1 << 20
+BLOCK_ROWS = 1024
+BLOCK_ITEMS = 1 << 21
 COLUMNS = 4096
 
 
@@ -295,9 +295,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, least: int = 80, most: int =
     small_batches(spark, 256)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(base.mapInArrow(_sign(n, join), "doc_id long, n long, k long, sigs array<long>"), "join-signatures")
-    sample = signed.filter("k is not null").groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max("n").alias("n"))
     sigs = signed.filter("sigs is not null").select(F.explode("sigs").alias("sig"), "k")
     members = written(sigs.repartition("sig").sortWithinPartitions("sig", "k").mapInArrow(_shared, "sig long, k long"), "join-buckets")
+    slim = written(signed.select("doc_id", "n", "k"), "join-rows")
+    discard(signed)
+    signed = slim
+    sample = signed.filter("k is not null").groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max("n").alias("n"))
 
     # Sets that share signatures, directly or through others, are a group of candidates; only stars are followed.
     heads = members.groupBy("sig").agg(F.min("k").alias("h"))

@@ -265,7 +265,7 @@ def near_copies(spark):
     return spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
 
 
-@pytest.mark.parametrize("n, least, blocks", [(4, 85, 512), (5, 80, 8)])
+@pytest.mark.parametrize("n, least, blocks", [(4, 85, 1024), (5, 80, 8)])
 def test_jaccard_join(spark, n, least, blocks):
     frame = near_copies(spark)
     rows = {r["doc_id"]: r["text"] for r in frame.collect()}
