@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from brindle.llm.common import discard, small_batches, written
 from brindle.llm.components import components
@@ -278,19 +279,8 @@ def _links(candidates: DataFrame, docs: DataFrame, sample: DataFrame, n: int, jo
     return tasks.groupBy("task", "small", "i", "j").applyInArrow(_compare(join), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -> DataFrame:
-    """The component of every row of docs (doc_id, text) under links of most * intersection >= least * union.
-
-    Sets of n-word shingles, A-Z in lower case. Equal sets are one node. Different sets that share a signature are
-    candidates; groups that such sharing connects are compared in blocks, all sets of a group against each other, by
-    matrix products that yield only links that span what is similar. So a large group of near copies costs no rows
-    for its pairs, and no link is lost. Comparisons are exact (up to collisions of 64-bit hashes).
-
-    Null and empty texts have no shingles and are linked with nothing; a text with fewer than n words is one shingle.
-    Repeated rows are equal texts. A null doc_id is never a component's id unless the component has no other. Returns
-    doc_id, n_shingles and component_id (smallest doc_id reachable); an empty table gives an empty result.
-    """
-    join = PartEnum(least, most)
+def _joined(docs: DataFrame, n: int, join: PartEnum) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, n, k: key of the row's set or null), sets (k, smallest doc_id, copies, n) and roots (node, root) of the linked sets."""
     spark = docs.sparkSession
     small_batches(spark, 256)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -306,20 +296,71 @@ def jaccard_components(docs: DataFrame, n: int = 5, least: int = 80, most: int =
     heads = members.groupBy("sig").agg(F.min("k").alias("h"))
     stars = members.join(heads, "sig").filter("h <> k").select(F.col("h").alias("a"), F.col("k").alias("b")).distinct()
     candidates = components(stars).withColumnRenamed("node", "k")
-    keys = sample.select("k", "doc_id", "n")
-    roots = components(written(_links(candidates, base, keys, n, join), "join-links"))
+    roots = components(written(_links(candidates, base, sample.select("k", "doc_id", "n"), n, join), "join-links"))
+    return signed, sample, roots
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -> DataFrame:
+    """The component of every row of docs (doc_id, text) under links of most * intersection >= least * union.
+
+    Sets of n-word shingles, A-Z in lower case. Equal sets are one node. Different sets that share a signature are
+    candidates; groups that such sharing connects are compared in blocks, all sets of a group against each other, by
+    matrix products that yield only links that span what is similar. So a large group of near copies costs no rows
+    for its pairs, and no link is lost. Comparisons are exact (up to collisions of 64-bit hashes).
+
+    Null and empty texts have no shingles and are linked with nothing; a text with fewer than n words is one shingle.
+    Repeated rows are equal texts. A null doc_id is never a component's id unless the component has no other. Returns
+    doc_id, n_shingles and component_id (smallest doc_id reachable); an empty table gives an empty result.
+    """
+    signed, sample, roots = _joined(docs, n, PartEnum(least, most))
 
     # From sets back to documents: the smallest id of each set, then of each component.
-    ids = roots.join(keys, roots["node"] == keys["k"]).groupBy("root").agg(F.min("doc_id").alias("id"))
+    ids = roots.join(sample.select("k", "doc_id"), F.col("node") == F.col("k")).groupBy("root").agg(F.min("doc_id").alias("id"))
     of_sets = roots.join(ids, "root").select(F.col("node").alias("k"), "id")
     chosen = sample.filter("copies > 1").select("k", "doc_id").join(of_sets, "k", "full_outer").select("k", F.coalesce("id", "doc_id").alias("id"))
     return signed.select("doc_id", "n", "k").join(chosen, "k", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("id", "doc_id").alias("component_id"))
 
 
+def _with_key(docs: DataFrame, n: int) -> DataFrame:
+    """docs with _k, the key of each row's set (null without shingles)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t, n) for t in batch.column("text").to_pylist()]
+            keys = pa.array([_key(x) if len(x) else None for x in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, "_k"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_k", LongType())]))
+
+
 def one_of_each(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -> DataFrame:
-    """The rows of docs that stand for their component: those with its smallest doc_id (a repeated row stays once)."""
-    found = written(jaccard_components(docs, n, least, most), "join-components")
-    gone = found.filter("doc_id <> component_id or doc_id is null and component_id is not null").select("doc_id").distinct()
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    repeated = found.groupBy("doc_id").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
+    """The rows of docs that stand for their component, one for each; rows without shingles are in none and all stay.
+
+    A component keeps a row of its smallest doc_id (a null only if it has no other) and, of different sets under that
+    id, the set with the smallest key; a repeated row stays once. Components are of sets, not of ids, so rows of
+    different components stay whatever ids they share. Rows whose doc_id occurs once are found by it; of all others,
+    null ids among them, the sets are hashed again and they are found by id and set.
+    """
+    signed, sample, roots = _joined(docs, n, PartEnum(least, most))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")).alias("best")
+    firsts = roots.join(sample.select("k", "doc_id"), F.col("node") == F.col("k")).groupBy("root").agg(best)
+    of_sets = roots.join(firsts, "root").select(F.col("node").alias("k"), F.col("best.doc_id").alias("id"), F.col("best.k").alias("own"))
+    copied = sample.filter("copies > 1").select("k", "doc_id")
+    linked = F.col("own").isNotNull()
+    chosen = copied.join(of_sets, "k", "full_outer").select("k", F.when(linked, F.col("id")).otherwise(F.col("doc_id")).alias("id"), F.coalesce("own", "k").alias("own"))
+    lost = F.col("own").isNotNull() & ~((F.col("k") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    found = written(signed.select("doc_id", "k").join(chosen, "k", "left").select("doc_id", "k", lost.alias("lost")), "join-components")
+
+    gone = found.filter("lost").select("doc_id").distinct()
+    repeated = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    repeated = written(repeated, "join-repeated")
+    either = gone.unionByName(repeated).distinct()
+    alone = docs.join(either, docs["doc_id"].eqNullSafe(either["doc_id"]), "left_anti")
+    shared = _with_key(docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi"), n)
+    row = F.when(F.col("_k").isNull(), F.monotonically_increasing_id())  # rows without shingles are never copies
+    once = shared.withColumn("_row", row).dropDuplicates(["doc_id", "_k", "_row"])
+    gone_sets = found.filter("lost").join(repeated, found["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi").select(F.col("doc_id").alias("_id"), F.col("k").alias("_set")).distinct()
+    kept = once.join(gone_sets, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_set")), "left_anti")
+    return alone.unionByName(kept.select(*docs.columns))

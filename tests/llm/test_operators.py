@@ -296,6 +296,18 @@ def test_jaccard_odd_rows(odd):
     assert partenum.one_of_each(odd.filter("doc_id = 3")).count() == 1
 
 
+def test_one_of_each_by_set_not_by_id(spark):
+    rnd = random.Random(21)
+    a, b, c, d, e, f, g = (" ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(60)) for _ in range(7))
+    near = g.rsplit(" ", 1)[0]
+    rows = [(1, a), (None, a), (None, b), (None, c), (5, d), (5, e), (2, d), (None, None), (None, ""), (6, None), (6, None), (7, f), (7, f), (None, g), (None, near), (None, g)]
+    frame = spark.createDataFrame([(i, t, None) for i, t in rows], "doc_id long, text string, source string").repartition(5)
+    got = collections.Counter((r["doc_id"], r["text"]) for r in partenum.one_of_each(frame).collect())
+    last = [(None, t) for t in (g, near) if (None, t) in got]
+    assert len(last) == 1  # one of two similar sets without ids
+    assert got == collections.Counter([(1, a), (None, b), (None, c), (5, e), (2, d), (None, None), (None, ""), (6, None), (6, None), (7, f), *last])
+
+
 def test_components(spark):
     rnd = random.Random(9)
     links = [(rnd.randint(0, 80), rnd.randint(0, 80)) for _ in range(60)] + [(100, i) for i in range(101, 140)] + [(i, i + 1) for i in range(200, 240)]
