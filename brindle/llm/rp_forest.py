@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -16,6 +17,8 @@ from brindle.llm.components import components
 #: Rows that a tree's upper levels leave to one task at most, about.
 TASK_ROWS = 50_000
 BLOCK = 1024
+#: Share of a node's rows that a side has at most.
+SIDE = 0.625
 
 
 def directions(seed: int, path: str, width: int) -> np.ndarray:
@@ -29,16 +32,48 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def split_tree(sample: np.ndarray, seed: int, path: str, levels: int) -> dict[str, float]:
-    """Medians of the sample's projections for the nodes of the upper levels."""
-    if not levels or len(sample) < 32:
+def pair_distance(least: float) -> float:
+    """Distance of unit vectors at the threshold, and so the deviation of their difference in a random projection."""
+    return math.sqrt(max(0.0, 2 - 2 * least))
+
+
+def trees_needed(rows: float, leaf: int, spread: float, spill: float, least: float, recall: float) -> int:
+    """Trees with which a pair at the threshold shares a leaf with at least this chance.
+
+    A cut at the median of projections of this deviation separates a pair if it falls into the part of the pair's
+    difference beyond 2 * spill; density and difference are taken as normal. Spread counts as the pair's distance at
+    least: below that most pairs of the label are links.
+    """
+    far = pair_distance(least)
+    if rows <= leaf or not far:
+        return 1
+    dense = 1 / (math.sqrt(2 * math.pi) * max(spread, far))
+    x = 2 * spill / far
+    beyond = 2 * far * (math.exp(-x * x / 2) / math.sqrt(2 * math.pi) - x * (1 - math.erf(x / math.sqrt(2))) / 2)
+    levels = math.ceil(math.log(rows / leaf) / -math.log(min(0.5 + spill * dense, SIDE)))
+    met = (1 - min(0.9, beyond * dense)) ** levels
+    return max(1, math.ceil(math.log(1 - recall) / math.log1p(-met))) if met < recall else 1
+
+
+def _edges(p: np.ndarray, spill: float) -> tuple[float, float]:
+    """Where the lower side ends and the upper side starts: spill beyond the median, but no side has more than SIDE of the rows."""
+    start, cut, end = np.quantile(p, (1 - SIDE, 0.5, SIDE))
+    return float(min(cut + spill, end)), float(max(cut - spill, start))
+
+
+def split_tree(sample: np.ndarray, seed: int, path: str, rows: float, spill: float) -> dict[str, tuple[float, float]]:
+    """Edges of the sides, from the sample's projections, for the nodes above TASK_ROWS rows; rows: how many the sample stands for."""
+    if rows <= TASK_ROWS or len(sample) < 32:
         return {}
     p = sample @ directions(seed, path, sample.shape[1])
-    cut = float(np.median(p))
-    return {path: cut} | split_tree(sample[p < cut], seed, path + "0", levels - 1) | split_tree(sample[p >= cut], seed, path + "1", levels - 1)
+    end, start = _edges(p, spill)
+    out = {path: (end, start)}
+    for side, at in (("0", p < end), ("1", p >= start)):
+        out |= split_tree(sample[at], seed, path + side, rows * float(at.mean()), spill)
+    return out
 
 
-def descend(vectors: np.ndarray, cuts: dict[str, float], seed: int, path: str, spill: float) -> Iterator[tuple[str, np.ndarray]]:
+def descend(vectors: np.ndarray, cuts: dict[str, tuple[float, float]], seed: int, path: str) -> Iterator[tuple[str, np.ndarray]]:
     """Leaves of the upper levels with the rows that reach them; rows near a cut go to both sides."""
     todo = [(path, np.arange(len(vectors)))]
     while todo:
@@ -47,19 +82,20 @@ def descend(vectors: np.ndarray, cuts: dict[str, float], seed: int, path: str, s
             yield path, rows
             continue
         p = vectors[rows] @ directions(seed, path, vectors.shape[1])
-        todo += [(path + "0", rows[p < cuts[path] + spill]), (path + "1", rows[p >= cuts[path] - spill])]
+        end, start = cuts[path]
+        todo += [(path + "0", rows[p < end]), (path + "1", rows[p >= start])]
 
 
 def leaves(vectors: np.ndarray, seed: int, path: str, leaf: int, spill: float) -> Iterator[np.ndarray]:
-    """Rows of each leaf: a node of more than `leaf` rows is split at its median, with overlap, while that helps."""
+    """Rows of each leaf: a node of more than `leaf` rows is split at its median, with overlap of SIDE of its rows a side at most."""
     todo = [(path, np.arange(len(vectors)))]
     while todo:
         path, rows = todo.pop()
         if len(rows) > leaf and len(path) < 64:
             p = vectors[rows] @ directions(seed, path, vectors.shape[1])
-            cut = np.median(p)
-            low, high = rows[p < cut + spill], rows[p >= cut - spill]
-            if max(len(low), len(high)) > 0.9 * len(rows):  # a dense node: halves without overlap
+            end, start = _edges(p, spill)
+            low, high = rows[p < end], rows[p >= start]
+            if max(len(low), len(high)) > 0.9 * len(rows):  # most projections are equal: halves without overlap
                 order = np.argsort(p, kind="stable")
                 low, high = rows[order[: len(rows) // 2]], rows[order[len(rows) // 2 :]]
             todo += [(path + "0", low), (path + "1", high)]
@@ -100,20 +136,23 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return _unit(np.array(rows, dtype=float))
 
 
-def forest_links(nodes: DataFrame, sizes: list[tuple[str, int, int]], least: float, trees: int, leaf: int, spill: float, seed: int, sample_rows: int) -> DataFrame:
+def forest_links(nodes: DataFrame, sizes: list[tuple[str, int, int]], least: float, trees: int, leaf: int, spill: float, seed: int, sample_rows: int, recall: float) -> DataFrame:
     """Links (a, b) found in the leaves of all trees, verified by their cosine in double precision.
 
     sizes: label, width and number of rows of each group that needs upper levels because it is larger than TASK_ROWS;
     their medians come from a sample of sample_rows rows for each such group at most.
     """
-    plans: dict[tuple[str, int, int], dict[str, float]] = {}
+    plans: dict[tuple[str, int, int], dict[str, tuple[float, float]]] = {}
+    grown: dict[tuple[str, int], int] = {}
     for label, width, rows in sizes:
-        levels = int(np.ceil(np.log2(rows / TASK_ROWS)))
         group = nodes.filter((F.col("label") == label) & (F.size("vec") == width))
-        found = group.orderBy(F.xxhash64(F.lit(seed), "id"), "id").select("vec").limit(min(sample_rows, 64 << levels)).collect()
+        wanted = 64 * math.ceil((rows / TASK_ROWS) ** 1.5)  # so many that the smallest nodes above TASK_ROWS have some
+        found = group.orderBy(F.xxhash64(F.lit(seed), "id"), "id").select("vec").limit(min(sample_rows, wanted)).collect()
         sample = _unit(np.array([r["vec"] for r in found], dtype=float))
-        for tree in range(trees):
-            plans[label, width, tree] = split_tree(sample, seed, f"{tree}:", levels)
+        spread = math.sqrt(float(sample.var(axis=0).sum()))  # deviation of a random projection
+        grown[label, width] = max(trees, trees_needed(rows, leaf, spread, spill, least, recall))
+        for tree in range(grown[label, width]):
+            plans[label, width, tree] = split_tree(sample, seed, f"{tree}:", rows, spill)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,9 +160,9 @@ def forest_links(nodes: DataFrame, sizes: list[tuple[str, int, int]], least: flo
             out: list[tuple] = []
             for (label, width), part in frame.groupby(["label", frame["vec"].map(len)]):
                 at = part.index.to_numpy()
-                unit = _unit(np.stack(part["vec"].to_numpy()).astype(float)) if any((label, width, t) in plans for t in range(trees)) else np.zeros((len(at), 0))
-                for tree in range(trees):
-                    for path, rows in descend(unit, plans.get((label, width, tree), {}), seed, f"{tree}:", spill):
+                unit = _unit(np.stack(part["vec"].to_numpy()).astype(float)) if (label, width) in grown else np.zeros((len(at), 0))
+                for tree in range(grown.get((label, width), trees)):
+                    for path, rows in descend(unit, plans.get((label, width, tree), {}), seed, f"{tree}:"):
                         out += [(f"{label}\t{width}\t{path}", int(at[r])) for r in rows]
             take = pa.array([r for _, r in out], pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.string()), batch.column("id").take(take), batch.column("vec").take(take)], names=["node", "id", "vec"])
@@ -167,11 +206,14 @@ def count_links(members: DataFrame, least: float) -> DataFrame:
     return sent.groupBy("root", "i", "j").applyInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.93, trees: int = 8, leaf: int = 512, spill: float = 0.02, seed: int = 13, sample_rows: int = 65_536) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.93, trees: int = 8, leaf: int = 512, spill: float | None = None, seed: int = 13, sample_rows: int = 65_536, recall: float = 0.95) -> DataFrame:
     """Links, components and the vector to keep for every row of vectors (vec_id, label, embedding).
 
     Equal vectors of a label are one node. Each tree splits a label's vectors at medians of random projections down to
-    leaves of `leaf` rows, giving those within `spill` of a cut to both sides; the rows of a leaf are compared by cosine
+    leaves of `leaf` rows, giving those within `spill` of a cut to both sides (a quarter of the distance of vectors at
+    the threshold, if not given: a difference of the 0.38 quantile is never cut); labels above TASK_ROWS vectors get so
+    many trees, `trees` at least, that by their depth and the spread of their vectors a pair at the threshold shares a
+    leaf with chance `recall`; smaller labels get `trees`. The rows of a leaf are compared by cosine
     in double precision, the links of all trees are united, and within each component that they form all pairs are
     compared in blocks, so n_links counts every link between its members. Upper levels of labels with more than
     TASK_ROWS vectors take their medians from a sample of sample_rows vectors at most; every vector is indexed.
@@ -184,9 +226,10 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, trees: int = 8, lea
     """
     good = written(usable(vectors), "vectors")
     same = ["label", "vec"]
+    spill = pair_distance(least) / 4 if spill is None else spill
     nodes = written(good.groupBy(*same).agg(F.min("id").alias("id"), F.countDistinct("id").alias("copies")), "vector-nodes")
     large = nodes.groupBy("label", F.size("vec").alias("width")).agg(F.count("*").alias("n")).filter(F.col("n") > TASK_ROWS).collect()  # n / TASK_ROWS groups at most
-    links = written(forest_links(nodes.select("id", "label", "vec"), [tuple(r) for r in large], least, trees, leaf, spill, seed, sample_rows).distinct(), "vector-links")
+    links = written(forest_links(nodes.select("id", "label", "vec"), [tuple(r) for r in large], least, trees, leaf, spill, seed, sample_rows, recall).distinct(), "vector-links")
     roots = written(components(links), "vector-roots")
     counted = count_links(roots.join(nodes, roots["node"] == nodes["id"]).select("root", "id", "vec", "copies"), least)
     known = nodes.join(roots, nodes["id"] == roots["node"], "left").join(counted.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")

@@ -179,6 +179,25 @@ def test_embeddings(spark):
     assert rp_forest.near_duplicates(vectors.limit(0)).count() == 0
 
 
+def test_trees_grow_with_depth(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((5000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal((400, 64))
+    side -= (side * x[:400]).sum(axis=1, keepdims=True) * x[:400]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    near = 0.935 * x[:400] + np.sqrt(1 - 0.935**2) * side  # isolated pairs just above the threshold
+    vectors = spark.createDataFrame([(i, 0, [float(c) for c in v]) for i, v in enumerate(np.concatenate((x, near)))], "vec_id long, label int, embedding array<double>")
+    rp_forest.TASK_ROWS, before = 500, rp_forest.TASK_ROWS
+    try:
+        got = {r["vec_id"]: r["component_id"] for r in rp_forest.near_duplicates(vectors, trees=2, leaf=16).collect()}
+    finally:
+        rp_forest.TASK_ROWS = before
+    assert sum(got[5000 + i] == got[i] for i in range(400)) >= 360
+    dense = 1 + rng.standard_normal((3000, 8)) * 1e-3  # everything is within the spill of any cut
+    assert max(map(len, rp_forest.leaves(rp_forest._unit(dense), 1, "0:", 64, 0.1))) <= 64
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = spark.read.parquet(f"{DATA}/pages.parquet").select("page_id", "url", "html")
     odd = [(900, None, None), (901, "a\nb", ""), (None, "x", "zz"), (5000, "y", "zz"), (902, "q", "WARC/1.1\r\n\r\nx"), (903, "q", "é" * 100_000)]
