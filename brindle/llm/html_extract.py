@@ -40,9 +40,16 @@ MARKS = re.compile(
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 COMMENT_MARKS = re.compile(r"(?:^|[\s_-])(?:comment\w*|repl(?:y|ies)|respond|related|recommend\w*|teaser|promo\w*|sponsor\w*|ads?|advert\w*)(?:$|[\s_-])", re.I)
+#: Marked elements of these kinds hold no main text of their own, however long they are ("no-comments" says nothing).
+ASIDES = re.compile(
+    r"(?<!\bno)(?<!\bhas)(?<!\bwith)(?:^|[\s_-])(?:comment\w*|disqus|repl(?:y|ies)|respond|notice\w*|cookie\w*|consent|gdpr|alert\w*|popup|modal|overlay|disclaimer)(?:$|[\s_-])",
+    re.I,
+)
 SPACE = re.compile(r"\s+")
-#: An element that holds more of a page's words than this is a wrapper, whatever its class says.
+#: A marked element may be a wrapper if it holds more of a page's words than this.
 WRAPPER = 0.6
+#: So many words outside marked elements and links, in runs of RUN at least, are running text.
+RUNNING, RUN = 10, 5
 #: Articles count as labels if they hold this share of a page's words outside boilerplate.
 LABELLED = 0.4
 
@@ -51,6 +58,7 @@ LABELLED = 0.4
 class Weights:
     """Scores of tokens: words by their surroundings (positive in text), tags by name (never positive).
 
+    linked is for words of links on pages without a labelled region; inside one they count as text.
     outside is for words outside the labelled region of a page that has one, where tags inside it weigh little.
     """
 
@@ -133,29 +141,39 @@ def _raw_tokens(page: str) -> Iterator[tuple[Token, int]]:
             stack.append((name, own, name in CONTENT))
             hidden += name in HIDDEN
         marks = tuple(s[1] for s in stack if s[1])
-        yield Token("open", name, labelled=content, marks=marks), own
+        yield Token("open", name, m[3] or "" if own else "", labelled=content, marks=marks), own
 
 
 def tokens_of(page: str) -> list[Token]:
     """Words and tags of a page in order, each with its surroundings; scripts, styles, comments and the head are left out.
 
-    A marked element is boilerplate unless it wraps the page's content: an article outside of other marks, or most words.
+    A marked element is boilerplate unless it wraps the page's content: the article, if none is outside of marks, or
+    most words, if there is no running text outside of marks and it is no aside, comments or notice.
     """
     tokens = []
     words: Counter = Counter()
     wraps: set[int] = set()
-    total = 0
+    total = running = 0
     firm: set[int] = set()
+    asides: set[int] = set()
+    free_article = False
     for t, own in _raw_tokens(page):
         tokens.append(t)
         if own and t.name in FIRM:
             firm.add(own)
+        if own and (t.name == "aside" or any(m[1].lower() in ("class", "id", "role", "aria-label") and ASIDES.search(next((v for v in m.groups()[1:] if v is not None), "")) for m in ATTRIBUTE.finditer(t.text))):
+            asides.add(own)
         total += t.words
+        if not t.marks and not t.linked and t.words >= RUN:
+            running += t.words
         for k in t.marks:
             words[k] += t.words
         if t.kind == "open" and t.name in CONTENT:
-            wraps.update(t.marks[:-1] if t.labelled else t.marks)
-    plain = {k for k in words if words[k] > WRAPPER * total} | {k for k in wraps if words[k] > (1 - WRAPPER) * total}
+            wraps.update(t.marks[:-1] if t.labelled or own in asides else t.marks)
+            free_article |= not t.marks
+    plain = set() if free_article else {k for k in wraps if words[k] > (1 - WRAPPER) * total and (k not in asides or running < RUNNING)}
+    if running < RUNNING:
+        plain |= {k for k in words if words[k] > WRAPPER * total and k not in asides}
     plain -= firm
     labelled = free = 0
     for t in tokens:
@@ -175,7 +193,7 @@ def _scores(tokens: list[Token], weights: Weights) -> list[float]:
     out = []
     for t in tokens:
         if t.kind == "word":
-            each = weights.boiler if t.boiler else weights.word if t.labelled and not t.linked else weights.outside if regions and not t.labelled else weights.linked if t.linked else weights.word
+            each = weights.boiler if t.boiler else weights.word if t.labelled else weights.outside if regions and not t.labelled else weights.linked if t.linked else weights.word
             out.append(t.words * each)
         else:
             score = max(tags.get(t.name, weights.tag), -0.2 if t.name in INLINE else -1.0)

@@ -43,6 +43,21 @@ def test_main_text():
     assert [html_extract.extract(p, html_extract.Weights()) for p in (None, "", "<nav>x</nav>", "plain &lt; text")] == ["", "", "", "plain < text"]
 
 
+def test_short_articles():
+    text = "This short article has just twenty words of its own, and its readers have written a great deal more below."
+    more = "".join(f"<p>Reader {i} says that this is a rather long remark of some more words</p>" for i in range(8))
+    for start, end in (("<section id=comments>", "</section>"), ("<aside>", "</aside>"), ("<div class='sidebar'>", "</div>"), ("<div class='cookie-notice'>", "</div>"), ("<form>", "</form>"), ("<div class=related>", "</div>"), ("<section id=comments><article class=comment>", "</article></section>"), ("<section id=comments><article>", "</article></section>")):
+        for page in (f"<body><article><p>{text}</p></article>{start}{more}{end}</body>", f"<body><article><p>{text}</p>{start}{more}{end}</article></body>", f"<body><div><p>{text}</p></div>{start}{more}{end}</body>"):
+            assert html_extract.extract(page, html_extract.Weights()) == text, page
+    wrapped = f"<body><div class='has-sidebar'><nav>Home</nav><article><p>{text}</p></article></div></body>"
+    assert html_extract.extract(wrapped, html_extract.Weights()) == text
+    for kind in ("form", "div class='content-sidebar'", "div class='no-comments'"):
+        assert html_extract.extract(f"<body><h1>Title</h1><{kind}><p>{text}</p></{kind.split()[0]}></body>", html_extract.Weights()).endswith(text)
+    links = "<a href=1>first source of these words</a><p><a href=2>second source of these words</a>"
+    got = html_extract.extract(f"<body><article><p><a href=0>Opening words in a link</a></p><p>{text}</p><p>{links}</p></article></body>", html_extract.Weights())
+    assert got == f"Opening words in a link\n{text}\nfirst source of these words\nsecond source of these words"
+
+
 def test_best_region():
     rnd = random.Random(1)
     for _ in range(200):
