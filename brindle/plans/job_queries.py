@@ -127,6 +127,12 @@ def lead_state(v: View) -> DataFrame:
     return out.filter("replied = 1 or unsubscribed = 1").select("email", "replied", "unsubscribed", "status")
 
 
+@query()
+def lead_state_all(v: View) -> DataFrame:
+    """T1 for every address with all columns; lead_state above has only what its SQL can say."""
+    return jobs.lead_state(state_events(v("events"), v("fx_leads")))
+
+
 @query("SELECT epoch_us(time_bucket(INTERVAL '1' DAY, ts)) AS day_us, user_id % 10 AS inbox_id, count(*) AS used FROM events GROUP BY 1, 2")
 def daily_usage_windows(v: View) -> DataFrame:
     rows = v("events").select((F.col("user_id") % 10).alias("inbox_id"), F.col("ts").cast("timestamp").alias("ts"))

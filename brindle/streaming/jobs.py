@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -86,7 +86,16 @@ def fold_events(rows: list[tuple], state: tuple = ("pending", 1, 0, 0, 0), steps
 
 
 def lead_state(events: DataFrame, steps: int = 3, max_retries: int = 3) -> DataFrame:
-    """T1, batch: the last state of each address, folded over its events (email, ts, seq, kind) in the JVM."""
+    """T1, batch: the last state of each address, folded over its events (email, ts, seq, kind) in the JVM.
+
+    Sends and failures count only while an address is pending or active, and that ends after steps * max_retries events
+    at most (each send follows fewer than max_retries failures) or with the first reply or unsubscribe. So step and
+    retries come from so many first events, which each task selects before the shuffle, and later replies and
+    unsubscribes from maxima: no address is gathered whole, whatever its number of events.
+    """
+    most = max(1, steps) * max(1, max_retries)
+    place = F.row_number().over(Window.partitionBy("email").orderBy("ts", "seq", "kind"))
+    first = events.filter(F.col("kind").isin("send", "fail", "reply", "unsubscribe")).withColumn("_place", place).filter(F.col("_place") <= most)
     ordered = F.array_sort(F.collect_list(F.struct("ts", "seq", "kind")))
     start = F.struct(F.lit("pending").alias("status"), F.lit(1).alias("step"), F.lit(0).alias("retries"), F.lit(0).alias("replied"), F.lit(0).alias("unsubscribed"))
 
@@ -109,7 +118,13 @@ def lead_state(events: DataFrame, steps: int = 3, max_retries: int = 3) -> DataF
             F.when(kind == "unsubscribe", 1).otherwise(s["unsubscribed"]).alias("unsubscribed"),
         )
 
-    return events.groupBy("email").agg(F.aggregate(ordered, start, fold).alias("s")).select("email", "s.*")
+    folded = first.groupBy(F.col("email").alias("_email")).agg(F.aggregate(ordered, start, fold).alias("s"))
+    ends = F.col("kind").isin("reply", "unsubscribe")
+    given = [F.coalesce(F.max((F.col("kind") == kind).cast("int")), F.lit(0)).alias(name) for kind, name in (("reply", "replied"), ("unsubscribe", "unsubscribed"))]
+    whole = events.groupBy("email").agg(F.max(F.when(ends, F.struct("ts", "seq", "kind"))).alias("last"), *given)
+    joined = whole.join(folded, F.col("email").eqNullSafe(F.col("_email")), "left").withColumn("s", F.coalesce("s", start))
+    status = F.when(F.col("last.kind") == "reply", "completed").when(F.col("last.kind") == "unsubscribe", "unsubscribed").otherwise(F.col("s.status"))
+    return joined.select("email", status.alias("status"), "s.step", "s.retries", "replied", "unsubscribed")
 
 
 def lead_state_stream(events: DataFrame, steps: int = 3, max_retries: int = 3) -> DataFrame:

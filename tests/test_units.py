@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions import numbers, similarity, text, urls
 from brindle.operators import campaigns, priors, ranking, selection
+from brindle.plans import fixtures, job_queries, registry
 from brindle.sources import readers, writers
 from brindle.streaming import jobs
 from tests.conftest import DATA
@@ -179,6 +180,27 @@ def test_state_fold_and_stream(spark, tmp_path):
     assert {r["email"] for r in spark.table("states").collect()} == set(batch)
 
 
+def test_state_of_every_address(spark):
+    rnd = random.Random(8)
+    kinds = ["send", "fail", "fail", "fail", "reply", "unsubscribe", "other"]
+    rows = [(None if e == 0 else f"e{e}", rnd.randint(0, 30), i, rnd.choices(kinds, [4, 4, 1, 1, rnd.random() / 4, rnd.random() / 4, 1])[0]) for e in range(60) for i in range(rnd.randint(1, 40))]
+    rows += [("hot", i, i, "fail" if i % 3 else "send") for i in range(5000)] + [("hot", 9999, 0, "unsubscribe"), ("none", 1, 1, "other")]
+    events = spark.createDataFrame(rows, "email string, ts long, seq long, kind string").repartition(7)
+    for steps, retries in ((3, 3), (1, 1), (5, 2)):
+        out = jobs.lead_state(events, steps, retries)
+        got = {r["email"]: tuple(r)[1:] for r in out.collect()}
+        assert got == {e: jobs.fold_events([r[1:] for r in rows if r[0] == e], steps=steps, max_retries=retries) for e in {r[0] for r in rows}}
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()  # a hot address is cut down to its first events before the shuffle
+
+    events, leads = (fixtures.view(spark, DATA, name) for name in ("events", "fx_leads"))
+    every = job_queries.state_events(events, leads).select("email", "ts", "seq", "kind").collect()
+    by_email = {}
+    for r in every:
+        by_email.setdefault(r["email"], []).append(tuple(r)[1:])
+    registered = registry.QUERIES["lead_state_all"](spark, DATA)
+    assert {r["email"]: tuple(r)[1:] for r in registered.collect()} == {e: jobs.fold_events(own) for e, own in by_email.items()}
+
+
 def test_stream_counts_are_the_batch(spark, tmp_path):
     rows = spark.read.parquet(f"{DATA}/events.parquet").select((F.col("user_id") % 10).alias("inbox_id"), F.col("ts").cast("timestamp").alias("ts"))
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
