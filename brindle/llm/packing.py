@@ -20,6 +20,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Texts with any of these cannot be encoded word by word: white space beside white space, and that which is rare.
 TOGETHER = ("  ", " \n", "\n ", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
 IDS = np.dtype("<u2")
+COUNTS = np.dtype("<u4")
 MEMO = 400_000
 K1, B = 1.2, 0.75
 
@@ -174,7 +175,7 @@ def tokenised(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame
                 ids = np.append(own, end)
                 full = len(ids) // window * window
                 terms, counts = np.unique(ids[:-1], return_counts=True)
-                rows.append((doc_id, len(ids), [_crc(ids[i : i + window]) for i in range(0, full, window)], ids[full:].tobytes(), terms.tobytes(), np.minimum(counts, 255).astype(np.uint8).tobytes()))
+                rows.append((doc_id, len(ids), [_crc(ids[i : i + window]) for i in range(0, full, window)], ids[full:].tobytes(), terms.tobytes(), counts.astype(COUNTS).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(TOKENS)], schema=TOKENS)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, tokens long, blocks array<long>, tail binary, terms binary, counts binary")
@@ -203,22 +204,16 @@ def term_weights(table: DataFrame) -> tuple[np.ndarray, float]:
 class ShardIndex:
     """Inverted index of a shard's documents with BM25 scores in its postings."""
 
-    def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], lengths: np.ndarray, idf: np.ndarray, mean: float, query_terms: int = 24):
+    def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], lengths: np.ndarray, idf: np.ndarray, mean: float):
         self.n = len(terms)
         doc = np.repeat(np.arange(self.n), [len(t) for t in terms])
         term = np.concatenate(terms) if terms else np.zeros(0, IDS)
-        tf = (np.concatenate(counts) if counts else np.zeros(0, np.uint8)).astype(np.float32)
+        tf = (np.concatenate(counts) if counts else np.zeros(0, COUNTS)).astype(np.float32)
         score = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / mean))
         order = np.argsort(term, kind="stable")
         self.docs, self.scores = doc[order], score[order]
         self.starts = np.searchsorted(term[order], np.arange((1 << 16) + 1))
-        self.queries = []
-        at = 0
-        for t in terms:  # a document asks with its own weightiest terms
-            own = score[at : at + len(t)]
-            at += len(t)
-            best = np.argsort(-own, kind="stable")[:query_terms]
-            self.queries.append(t[best].astype(np.int64))
+        self.queries = [t.astype(np.int64) for t in terms]  # a document asks with all its terms
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """The unused documents that share a term with the seed, best first (ties in order)."""
@@ -301,7 +296,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int =
         rows = sorted(group.to_pylist(), key=lambda r: (r["spot"], r["doc_id"] is None, r["doc_id"], r["tail"]))
         tails = [np.frombuffer(r["tail"], IDS) for r in rows]
         lengths = np.array([r["tokens"] for r in rows], np.float32)
-        index = ShardIndex([np.frombuffer(r["terms"], IDS) for r in rows], [np.frombuffer(r["counts"], np.uint8) for r in rows], lengths, idf, mean)
+        index = ShardIndex([np.frombuffer(r["terms"], IDS) for r in rows], [np.frombuffer(r["counts"], COUNTS) for r in rows], lengths, idf, mean)
         sequence = rows[0]["shard"] << 32
         out: list[tuple] = []
         for r in rows:

@@ -401,3 +401,11 @@ def test_neighbours_come_first():
     windows = packing.fill_windows(index, np.array([100, 90, 80, 70]), 200)
     assert [p[0] for p in windows[0]] == [0, 2, 1]  # the neighbour, then the next document, cut
     assert sum(n for w in windows for _, _, n in w) == 340
+
+
+def test_all_terms_and_counts_are_used(spark):
+    terms = [np.arange(1, 41, dtype="<u2"), np.array([50], "<u2"), np.array([40], "<u2")]
+    index = packing.ShardIndex(terms, [np.ones(len(t), "<u4") for t in terms], np.full(3, 100.0, np.float32), np.ones(1 << 16, np.float32), 100.0)
+    assert index.neighbours(0, np.array([False, True, True])).tolist() == [2]  # shares the last of forty terms
+    row = packing.tokenised(spark.createDataFrame([(1, "word" + " word" * 70_000)], "doc_id long, text string"), public_tokenizers.path("byte_bpe_50k.json"), 2048, 1).first()
+    assert np.frombuffer(row["counts"], packing.COUNTS).max() == 70_000
