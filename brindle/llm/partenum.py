@@ -10,23 +10,27 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from brindle.llm.common import discard, small_batches, written
 from brindle.llm.components import components
 from brindle.llm.words import mixed, word_hashes
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-#: Hash families that are tried in turn before a set gives all its partitions.
+#: Second-level partitions of each first-level one, and how many of them may differ in a signature's agreement.
+INNER, SLACK = 3, 1
+#: Hash families that are tried in turn before a set gives all its signatures.
 FAMILIES = 8
-#: So many documents at most are looked up by a broadcast join; more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: So many sets at most (some 20 MB) are looked up by a broadcast join; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 #: Sets and items of a block of candidates at most, about, and items that are compared at a time.
 BLOCK_ROWS = 1024
 BLOCK_ITEMS = 1 << 21
 COLUMNS = 4096
+#: Sets of a signature that are compared in one task, about; more are dealt to blocks.
+BUCKET_ROWS = 8192
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
@@ -41,9 +45,14 @@ def shingle_set(text: str | None, n: int) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def _at_least(m: int, mean: float) -> float:
-    """Chance that a Poisson count of this mean is m or more."""
-    return 1 - math.exp(-mean) * sum(mean**k / math.factorial(k) for k in range(m))
+@lru_cache(maxsize=4096)
+def _strong(mean: float, enough: int) -> float:
+    """Chance that a first-level partition of this mean size keeps `enough` elements whichever SLACK parts are left out."""
+    size = np.arange(16)
+    p = np.exp(-mean / INNER) * (mean / INNER) ** size / np.array([math.factorial(x) for x in range(16)], float)
+    grid = np.stack(np.meshgrid(*[size] * INNER, indexing="ij"), -1).reshape(-1, INNER)
+    left = np.sort(grid, axis=1)[:, : INNER - SLACK].sum(axis=1)
+    return float(p[grid].prod(axis=1)[left >= enough].sum())
 
 
 @dataclass(frozen=True)
@@ -51,11 +60,19 @@ class PartEnum:
     """Signatures such that two different sets with most * |A and B| >= least * |A or B| share one at least.
 
     Sets belong to size bands whose upper ends grow by half an octave. For the pairs whose larger set is in band j,
-    similar sets differ in at most D elements (D from their sizes), so of partitions of the hashed elements all but D
-    agree. A set gives the hashes of its partitions, in one order for all, until it has given D + 1 of enough elements:
-    one of these agrees, and agreeing means equal contents, so the other set gives it too. A set that has too few such
-    partitions gives those it has and goes on with the next hash family, and after the last gives all partitions. So
-    every pair meets at the first family that suffices for one of them.
+    similar sets differ in at most D elements (D from their sizes). The domain of hashed elements is cut into
+    first-level partitions and each of these into INNER second-level ones; a signature is the hash of the contents of
+    all second-level partitions of one first-level partition but SLACK, for every choice of those left out. Of
+    D // (SLACK + 1) + 1 first-level partitions one differs in SLACK elements at most, so both sets share the signature
+    that leaves out where they differ.
+
+    Small signatures are shared by chance, so a signature counts only with `enough` elements. A set gives the
+    signatures that count of its partitions, in one order for all, up to that partition with which
+    D // (SLACK + 1) + 1 of them are strong: all their signatures count. Why no pair is lost: let i be the first
+    partition with a shared signature that counts. Those before it that are strong for one of the sets differ in more
+    than SLACK elements each, so there are D // (SLACK + 1) of them at most, and that set gives the signatures of i. A
+    set with too few strong partitions gives what counts of all of them and goes on with the next hash family, and with
+    the last gives all. So every pair meets at the first family that suffices for one of them.
     """
 
     least: int = 85
@@ -79,20 +96,25 @@ class PartEnum:
 
     @lru_cache(maxsize=1024)  # noqa: B019  a few bands
     def parts(self, j: int) -> tuple[int, int]:
-        """Number of partitions of band j, and how many elements one needs to count.
+        """Number of first-level partitions of band j, and how many elements a signature needs to count.
 
-        As many elements (three at most) as leave sets of all sizes of the band enough such partitions on average:
+        As many elements (three at most) as leave sets of all sizes of the band enough strong partitions on average:
         the more elements, the fewer sets that are not similar share a signature.
         """
         top, below = self.top(j), self.top(j - 1) if j else 0
-        d = self.differ(top, top)
+        wanted = self.differ(top, top) // (SLACK + 1) + 1
         ends = (max(1, below * self.least // self.most), below + 1, top)
-        for enough in (3, 2):
-            for slack in (0.2, 0.35, 0.5, 0.7):
-                parts = d + 1 + int(slack * (d + 1))
-                if all(_at_least(enough, a / parts) >= (self.differ(a, min(a * self.most // self.least, top)) + 1) / parts + 0.03 for a in ends):
+        for enough in (3, 2, 1):
+            for slack in (0.1, 0.2, 0.35):
+                parts = wanted + int(slack * wanted)
+                for a in ends:
+                    need = (self.differ(a, min(a * self.most // self.least, top)) // (SLACK + 1) + 1) / parts
+                    chance = _strong(round(a / parts, 2), enough)
+                    if chance - 0.7 * math.sqrt(chance * (1 - chance) / parts) < need:
+                        break
+                else:
                     return parts, enough
-        return d + 1 + (7 * (d + 1)) // 20, 1
+        return wanted + int(0.35 * wanted), 1
 
     def signatures(self, items: np.ndarray) -> np.ndarray:
         """Distinct signatures of a set of 64-bit hashes; none for sets so small that only equal ones are similar."""
@@ -111,52 +133,80 @@ class PartEnum:
 
     def _band_signatures(self, items: np.ndarray, j: int, d: int) -> list[np.ndarray]:
         parts, enough = self.parts(j)
+        wanted = d // (SLACK + 1) + 1
         out = []
         for family in range(FAMILIES):
             h = mixed(items ^ np.uint64((j * FAMILIES + family + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
-            part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+            part = ((h >> np.uint64(32)) * np.uint64(parts * INNER)) >> np.uint64(32)
             order = np.argsort(part)
             part = part[order]
             starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-            counts = np.diff(np.append(starts, len(part)))
-            sums = np.add.reduceat(h[order], starts)
-            tag = np.uint64((j << 8 | family) << 32)
-            sigs = mixed(sums * _STEP + (part[starts] | tag))
-            good = np.flatnonzero(counts >= enough)
-            if len(good) > d:
-                out.append(sigs[good[: d + 1]])
+            sums, counts = np.zeros(parts * INNER, np.uint64), np.zeros(parts * INNER, np.int64)
+            sums[part[starts]] = np.add.reduceat(h[order], starts)
+            counts[part[starts]] = np.diff(np.append(starts, len(part)))
+            sums, counts = sums.reshape(parts, INNER), counts.reshape(parts, INNER)
+            left = counts.sum(axis=1, keepdims=True) - counts  # SLACK is 1: each second-level partition is left out once
+            place = np.arange(parts * INNER, dtype=np.uint64).reshape(parts, INNER) | np.uint64((j << 8 | family) << 32)
+            sigs = mixed((sums.sum(axis=1, keepdims=True) - sums) * _STEP + place)
+            good = left >= enough
+            strong = np.cumsum(good.all(axis=1))
+            if strong[-1] >= wanted:
+                upto = int(np.searchsorted(strong, wanted)) + 1
+                out.append(sigs[:upto][good[:upto]])
                 return out
             out.append(sigs[good])
-        few = sigs[counts < enough]
-        empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), part[starts])
-        return [*out, few, mixed(empty | tag)]
+        return [*out, sigs[~good]]
 
-
-SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("sigs", pa.list_(pa.int64()))])
+    def far(self, larger: np.ndarray, rep: np.ndarray) -> np.ndarray:
+        """How much a set and a representative of a set of its size at most differ, if both sets are similar."""
+        return (3 * larger + rep) * (self.most - self.least) // (self.most + self.least)
 
 
 def _key(items: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(items.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _sign(n: int, join: PartEnum):
+def sketch(items: np.ndarray) -> bytes:
+    """Parities of the numbers of items that fall on each of 2n to 4n places.
+
+    Sketches of one length differ in no more places than the sets differ in items; a sketch whose halves are added
+    (exclusive or) is the sketch of half the length.
+    """
+    places = max(64, 1 << (2 * len(items) - 1).bit_length())
+    at = mixed(items ^ _STEP) & np.uint64(places - 1)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=places) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _found_sets(n: int):
+    """For rows with a text: the set's size, key and sketch (null without shingles) are added."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t, n) for t in batch.column("text").to_pylist()]
+            size = pa.array([len(x) for x in found], pa.int64())
+            key = pa.array([_key(x) if len(x) else None for x in found], pa.int64())
+            bits = pa.array([sketch(x) if len(x) else None for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, size, key, bits], names=[*batch.schema.names, *KEYS])
+
+    return run
+
+
+def _signatures(n: int, join: PartEnum):
+    """(sig, k) of each text's set; a task gives the signatures of equal sets once, as long as it remembers them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            sigs, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for text in batch.column("text").to_pylist():
                 items = shingle_set(text, n)
-                if not len(items):
-                    rows.append((doc_id, 0, None, None))
-                    continue
-                k = _key(items)
-                sigs = None
-                if k not in given:  # a task gives the signatures of equal sets once
-                    sigs = join.signatures(items).view(np.int64)
+                if len(items) and (k := _key(items)) not in given:
+                    own = join.signatures(items).view(np.int64)
+                    sigs.append(own)
+                    keys.append(np.full(len(own), k, np.int64))
                     if len(given) < 100_000:
                         given.add(k)
-                rows.append((doc_id, len(items), k, sigs))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(SETS)], schema=SETS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(keys))], names=["sig", "k"])
 
     return run
 
@@ -180,6 +230,78 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(rows[0, out]), pa.array(rows[1, out])], names=["sig", "k"])
 
 
+class Representatives:
+    """Sets of one signature in the order of their sizes, compared by sketches as they come.
+
+    A set that is near none of the representatives becomes one. If two sets are similar, the later one is not `far`
+    from the earlier one's representative, and is linked to it; so all similar sets are connected, and what is
+    connected without being similar is found by the exact comparison. The memory is that of the representatives whose
+    sizes still matter.
+    """
+
+    def __init__(self, join: PartEnum, width: int):
+        self.join, self.width = join, width
+        self.k, self.n, self.bits = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, width // 8), np.uint64)
+
+    def _folded(self, bits: bytes) -> np.ndarray:
+        row = np.frombuffer(bits, np.uint64)
+        while len(row) * 8 > self.width:
+            row = row[: len(row) // 2] ^ row[len(row) // 2 :]
+        return row
+
+    def add(self, k: np.ndarray, n: np.ndarray, sketches: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Links (representatives, sets) of further sets, none of them smaller than those before."""
+        join = self.join
+        still = self.n * join.most**2 >= int(n[0]) * join.least**2
+        if not still.all():
+            self.k, self.n, self.bits = self.k[still], self.n[still], self.bits[still]
+        x = np.stack([self._folded(b) for b in sketches])
+        links = []
+        alone = np.ones(len(k), bool)
+        step = max(1, (1 << 22) // max(1, x.size))
+        for a in range(0, len(self.k), step):
+            rk, rn = self.k[a : a + step], self.n[a : a + step]
+            apart = np.bitwise_count(x[:, None, :] ^ self.bits[None, a : a + step, :]).sum(axis=2, dtype=np.int64)
+            alone &= (apart > join.differ(n[:, None], rn[None, :])).all(axis=1)
+            i, r = np.nonzero(apart <= join.far(n[:, None], rn[None, :]))
+            links.append((rk[r], k[i]))
+        new = []
+        at = 0
+        while at < len(k):
+            if not alone[at]:
+                at += 1
+                continue
+            new.append(at)
+            apart = np.bitwise_count(x[at + 1 :] ^ x[at]).sum(axis=1, dtype=np.int64)
+            near = np.flatnonzero(apart <= join.far(n[at + 1 :], n[at])) + at + 1
+            links.append((np.full(len(near), k[at]), k[near]))
+            alone[at + 1 :] &= apart > join.differ(n[at + 1 :], n[at])
+            at += 1
+        self.k, self.n, self.bits = np.append(self.k, k[new]), np.append(self.n, n[new]), np.concatenate((self.bits, x[new]))
+        return links
+
+
+def _near(join: PartEnum):
+    """Links of rows (unit, n, k, bits) sorted by unit and n: of sets of one unit whose sketches are near."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, unit = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            units, n, k = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("unit", "n", "k"))
+            bits = batch.column("bits").to_pylist()
+            starts = np.flatnonzero(np.concatenate(([True], units[1:] != units[:-1])))
+            links = [(np.zeros(0, np.int64),) * 2]
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(k)], strict=True):
+                if unit != units[a]:
+                    unit, held = units[a], Representatives(join, len(bits[a]))
+                links += held.add(k[a:b], n[a:b], bits[a:b])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in links])) for i in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 def similar(sets: list[np.ndarray], join: PartEnum, half: int | None = None) -> np.ndarray:
     """Matrix of which sets are similar; with half, of the first half sets against the others.
 
@@ -249,118 +371,133 @@ def _compare(join: PartEnum):
     return run
 
 
-def _links(candidates: DataFrame, docs: DataFrame, sample: DataFrame, n: int, join: PartEnum) -> DataFrame:
+def in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """rows dealt to pairs of blocks: columns block, i and j (i <= j); a row goes to all pairs of its block."""
+    dealt = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    sent = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return sent.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+
+
+def _tasks(rows: DataFrame, total: int, each: int) -> int:
+    """Partitions for a shuffle of `total` rows: those of the session, or more, so that none gets many more than `each`."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // each))
+
+
+def _links(candidates: DataFrame, texts: DataFrame, sample: DataFrame, n: int, join: PartEnum) -> DataFrame:
     """Links (a, b) that join what all similar pairs of each group of candidates (k, root) join.
 
-    sample: k, one doc_id that has the set, and its size. Small groups share tasks; a large group is dealt to blocks of
-    limited rows and items, and each pair of blocks is compared apart, so no task holds more than two blocks and no
-    pairs are emitted.
+    sample: k, a row that has the set (doc_id, h), and its size. Small groups share tasks; a large group is dealt to
+    blocks of limited rows and items, and each pair of blocks is compared apart, so no task holds more than two blocks
+    and no pairs are emitted.
     """
     wanted = candidates.join(sample, "k")
     size = wanted.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_ITEMS)).cast("int").alias("blocks"))
-    wanted = written(wanted.join(size, "root").select("k", "root", "doc_id", "blocks"), "join-wanted")
+    wanted = written(wanted.join(size, "root").select("k", "root", "doc_id", "h", "blocks"), "join-wanted")
     total = wanted.count()
     ids = F.broadcast(wanted) if total <= BROADCAST_ROWS else wanted
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingle_set(t, n) for t in batch.column("text").to_pylist()]
-            own = pa.array([_key(x) == k for x, k in zip(found, batch.column("k").to_pylist(), strict=True)])  # rows may share a doc_id
+            own = pa.array([_key(x) == k for x, k in zip(found, batch.column("k").to_pylist(), strict=True)])  # texts' hashes may collide
             rows = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("k", "root", "blocks")), pa.array([x.tobytes() for x in found], pa.binary())], names=["k", "root", "blocks", "items"])
             yield rows.filter(own)
 
-    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"])).select("k", "root", "blocks", "text").mapInArrow(sets, "k long, root long, blocks int, items binary")
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    sent = dealt.select("root", "k", "items", "blocks", "block", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    rows = texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]) & (texts["h"] == ids["h"])).select("k", "root", "blocks", "text").mapInArrow(sets, "k long, root long, blocks int, items binary")
     shares = max(1, total // BLOCK_ROWS)
+    sent = in_blocks(rows, F.col("blocks"))
     task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(shares))).otherwise(F.col("root"))
     tasks = sent.select("root", "k", "items", "block", "i", "j", task.alias("task"), (F.col("blocks") == 1).alias("small"))
     return tasks.groupBy("task", "small", "i", "j").applyInArrow(_compare(join), "a long, b long")
 
 
-def _joined(docs: DataFrame, n: int, join: PartEnum) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (doc_id, n, k: key of the row's set or null), sets (k, smallest doc_id, copies, n) and roots (node, root) of the linked sets."""
-    spark = docs.sparkSession
-    small_batches(spark, 256)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = written(base.mapInArrow(_sign(n, join), "doc_id long, n long, k long, sigs array<long>"), "join-signatures")
-    sigs = signed.filter("sigs is not null").select(F.explode("sigs").alias("sig"), "k")
-    members = written(sigs.repartition("sig").sortWithinPartitions("sig", "k").mapInArrow(_shared, "sig long, k long"), "join-buckets")
-    slim = written(signed.select("doc_id", "n", "k"), "join-rows")
-    discard(signed)
-    signed = slim
-    sample = signed.filter("k is not null").groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max("n").alias("n"))
+def _candidates(texts: DataFrame, rows: DataFrame, sample: DataFrame, n: int, join: PartEnum) -> DataFrame:
+    """Links (a, b) of sets that share a signature and whose sketches are near, each similar pair connected by them."""
+    items = rows.agg(F.sum("n")).first()[0] or 0
+    sigs = texts.select("text").mapInArrow(_signatures(n, join), "sig long, k long")
+    members = sigs.repartition(_tasks(rows, items, 4_000_000), "sig").sortWithinPartitions("sig", "k").mapInArrow(_shared, "sig long, k long")
+    members = written(members, "join-buckets")
+    # Near copies share many signatures: of those with the same sets one is enough.
+    told = members.groupBy("sig").agg(F.count("*").alias("c"), F.min("k").alias("m"), F.max("k").alias("l"), F.bit_xor(F.xxhash64("k")).alias("x"))
+    once = told.groupBy("c", "m", "l", "x").agg(F.min("sig").alias("sig")).select("sig", "c")
+    dealt = in_blocks(members.join(once, "sig"), F.ceil(F.col("c") / BUCKET_ROWS).cast("int"))
+    units = dealt.select(F.xxhash64("sig", "i", "j").alias("unit"), "k").join(sample.select("k", "n", "bits"), "k")
+    near = units.repartition("unit").sortWithinPartitions("unit", "n", "k").mapInArrow(_near(join), "a long, b long")
+    found = written(near.distinct(), "join-near")
+    discard(members)
+    return found
+
 
-    # Sets that share signatures, directly or through others, are a group of candidates; only stars are followed.
-    heads = members.groupBy("sig").agg(F.min("k").alias("h"))
-    stars = members.join(heads, "sig").filter("h <> k").select(F.col("h").alias("a"), F.col("k").alias("b")).distinct()
-    candidates = components(stars).withColumnRenamed("node", "k")
-    roots = components(written(_links(candidates, base, sample.select("k", "doc_id", "n"), n, join), "join-links"))
-    return signed, sample, roots
+def _joined(rows: DataFrame, texts: DataFrame, n: int, join: PartEnum) -> tuple[DataFrame, DataFrame]:
+    """Sets (k, doc_id, h, copies, n) and roots (node, root) of the linked sets, for rows (doc_id, h, n, k, bits) and texts (doc_id, h, text)."""
+    known = rows.filter("k is not null").groupBy("k")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("of")
+    sample = known.agg(least, F.count("*").alias("copies"), F.max("n").alias("n"), F.first("bits").alias("bits"))
+    sample = sample.select("k", "of.doc_id", "of.h", "copies", "n", "bits")
+    groups = components(_candidates(texts, rows, sample, n, join)).withColumnRenamed("node", "k")
+    roots = components(written(_links(groups, texts, sample.select("k", "doc_id", "h", "n"), n, join), "join-links"))
+    return sample.drop("bits"), roots
+
+
+#: What is found of each row's text: the size of its set, the set's key and its sketch.
+KEYS = ("_set_n", "_set_k", "_set_bits")
+
+
+def _plain(keyed: DataFrame, *more: str) -> DataFrame:
+    return keyed.select("doc_id", "h", F.col(KEYS[0]).alias("n"), F.col(KEYS[1]).alias("k"), F.col(KEYS[2]).alias("bits"), *more)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -> DataFrame:
     """The component of every row of docs (doc_id, text) under links of most * intersection >= least * union.
 
     Sets of n-word shingles, A-Z in lower case. Equal sets are one node. Different sets that share a signature are
-    candidates; groups that such sharing connects are compared in blocks, all sets of a group against each other, by
-    matrix products that yield only links that span what is similar. So a large group of near copies costs no rows
-    for its pairs, and no link is lost. Comparisons are exact (up to collisions of 64-bit hashes).
+    compared by sketches, whose difference is never greater than that of the sets; what these connect is a group of
+    candidates. Groups are compared exactly in blocks, all sets of a group against each other, by matrix products that
+    yield only links that span what is similar. So a large group of near copies costs no rows for its pairs, and no
+    link is lost. Comparisons are exact (up to collisions of 64-bit hashes).
 
     Null and empty texts have no shingles and are linked with nothing; a text with fewer than n words is one shingle.
     Repeated rows are equal texts. A null doc_id is never a component's id unless the component has no other. Returns
     doc_id, n_shingles and component_id (smallest doc_id reachable); an empty table gives an empty result.
     """
-    signed, sample, roots = _joined(docs, n, PartEnum(least, most))
+    small_batches(docs.sparkSession, 256)
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    kinds = StructType([*base.schema.fields, StructField(KEYS[0], LongType()), StructField(KEYS[1], LongType()), StructField(KEYS[2], BinaryType())])
+    rows = written(_plain(base.mapInArrow(_found_sets(n), kinds)), "join-rows")
+    sample, roots = _joined(rows, base, n, PartEnum(least, most))
 
     # From sets back to documents: the smallest id of each set, then of each component.
     ids = roots.join(sample.select("k", "doc_id"), F.col("node") == F.col("k")).groupBy("root").agg(F.min("doc_id").alias("id"))
     of_sets = roots.join(ids, "root").select(F.col("node").alias("k"), "id")
     chosen = sample.filter("copies > 1").select("k", "doc_id").join(of_sets, "k", "full_outer").select("k", F.coalesce("id", "doc_id").alias("id"))
-    return signed.select("doc_id", "n", "k").join(chosen, "k", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("id", "doc_id").alias("component_id"))
-
-
-def _with_key(docs: DataFrame, n: int) -> DataFrame:
-    """docs with _k, the key of each row's set (null without shingles)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(t, n) for t in batch.column("text").to_pylist()]
-            keys = pa.array([_key(x) if len(x) else None for x in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, "_k"])
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_k", LongType())]))
+    return rows.select("doc_id", "n", "k").join(chosen, "k", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -> DataFrame:
     """The rows of docs that stand for their component, one for each; rows without shingles are in none and all stay.
 
-    A component keeps a row of its smallest doc_id (a null only if it has no other) and, of different sets under that
-    id, the set with the smallest key; a repeated row stays once. Components are of sets, not of ids, so rows of
-    different components stay whatever ids they share. Rows whose doc_id occurs once are found by it; of all others,
-    null ids among them, the sets are hashed again and they are found by id and set.
+    A component keeps a row of its smallest doc_id (a null only if it has no other), of different sets under that id
+    the set with the smallest key, and of rows alike in both the first by its text's hash. Components are of sets, not
+    of ids, so rows of different components stay whatever ids they share. Every row is numbered as docs is written
+    with the keys of its sets, and what goes is decided and looked up by these numbers: no id or set is a join key of
+    whole rows, so nulls, repeated ids and hot groups of copies make no large groups. Columns of docs are kept; an
+    empty table gives an empty result.
     """
-    signed, sample, roots = _joined(docs, n, PartEnum(least, most))
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")).alias("best")
-    firsts = roots.join(sample.select("k", "doc_id"), F.col("node") == F.col("k")).groupBy("root").agg(best)
-    of_sets = roots.join(firsts, "root").select(F.col("node").alias("k"), F.col("best.doc_id").alias("id"), F.col("best.k").alias("own"))
-    copied = sample.filter("copies > 1").select("k", "doc_id")
-    linked = F.col("own").isNotNull()
-    chosen = copied.join(of_sets, "k", "full_outer").select("k", F.when(linked, F.col("id")).otherwise(F.col("doc_id")).alias("id"), F.coalesce("own", "k").alias("own"))
-    lost = F.col("own").isNotNull() & ~((F.col("k") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("id")))
-    found = written(signed.select("doc_id", "k").join(chosen, "k", "left").select("doc_id", "k", lost.alias("lost")), "join-components")
-
-    gone = found.filter("lost").select("doc_id").distinct()
-    repeated = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    repeated = written(repeated, "join-repeated")
-    either = gone.unionByName(repeated).distinct()
-    alone = docs.join(either, docs["doc_id"].eqNullSafe(either["doc_id"]), "left_anti")
-    shared = _with_key(docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi"), n)
-    row = F.when(F.col("_k").isNull(), F.monotonically_increasing_id())  # rows without shingles are never copies
-    once = shared.withColumn("_row", row).dropDuplicates(["doc_id", "_k", "_row"])
-    gone_sets = found.filter("lost").join(repeated, found["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi").select(F.col("doc_id").alias("_id"), F.col("k").alias("_set")).distinct()
-    kept = once.join(gone_sets, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_set")), "left_anti")
-    return alone.unionByName(kept.select(*docs.columns))
+    small_batches(docs.sparkSession, 256)
+    numbered = docs.withColumn("_set_row", F.monotonically_increasing_id())
+    kinds = StructType([*numbered.schema.fields, StructField(KEYS[0], LongType()), StructField(KEYS[1], LongType()), StructField(KEYS[2], BinaryType())])
+    keyed = written(numbered.mapInArrow(_found_sets(n), kinds), "join-keyed")
+    named = keyed.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("h", F.xxhash64("text"))
+    rows = _plain(named, "_set_row")
+    sample, roots = _joined(rows, named.select("doc_id", "h", "text"), n, PartEnum(least, most))
+
+    # The row that stays of each set that is linked or has copies: pre-aggregated minima by set, then by component.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "h", "_set_row")).alias("first")
+    copied = sample.filter("copies > 1").select(F.col("k").alias("node"), F.col("k").alias("own"))
+    grouped = roots.select("node", F.col("root").alias("own"))
+    groups = written(copied.join(grouped, "node", "left_anti").unionByName(grouped), "join-groups")
+    of_sets = rows.filter("k is not null").join(groups, F.col("k") == F.col("node")).select("own", "doc_id", "k", "h", "_set_row")
+    of_sets = written(of_sets, "join-grouped")
+    stay = of_sets.groupBy("own").agg(first).select("first._set_row")
+    gone = of_sets.select("_set_row").join(stay, "_set_row", "left_anti")
+    return keyed.join(gone, "_set_row", "left_anti").select(*docs.columns)

@@ -284,6 +284,33 @@ def test_signatures_meet():
             assert len(np.intersect1d(join.signatures(a), join.signatures(b)))
 
 
+def test_sketches_and_representatives():
+    rng = np.random.default_rng(17)
+    join = partenum.PartEnum(80, 100)
+    sets = []
+    for _ in range(40):
+        base = rng.integers(0, 1 << 63, int(rng.integers(20, 200)), dtype=np.uint64)
+        for _ in range(int(rng.integers(1, 8))):
+            keep = rng.random(len(base)) > rng.uniform(0, 0.15)
+            sets.append(np.unique(np.concatenate((base[keep], rng.integers(0, 1 << 63, int(rng.integers(0, 5)), dtype=np.uint64)))))
+    sets.sort(key=len)
+    held = partenum.Representatives(join, len(partenum.sketch(sets[0])))
+    root = list(range(len(sets)))
+    for at in range(0, len(sets), 7):  # in batches of seven
+        part = range(at, min(at + 7, len(sets)))
+        for a, b in held.add(np.array(part), np.array([len(sets[i]) for i in part]), [partenum.sketch(sets[i]) for i in part]):
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                low, high = sorted((root[x], root[y]))
+                root = [low if r == high else r for r in root]
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        common = len(np.intersect1d(sets[i], sets[j]))
+        one, two = (np.frombuffer(partenum.sketch(s), np.uint64) for s in (sets[i], sets[j]))
+        if len(one) == len(two):
+            assert np.bitwise_count(one ^ two).sum() <= len(sets[i]) + len(sets[j]) - 2 * common
+        if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+            assert root[i] == root[j]
+
+
 def near_copies(spark):
     rnd = random.Random(8)
     rows = []
@@ -299,8 +326,8 @@ def near_copies(spark):
     return spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
 
 
-@pytest.mark.parametrize("n, least, blocks", [(4, 85, 1024), (5, 80, 8)])
-def test_jaccard_join(spark, n, least, blocks):
+@pytest.mark.parametrize("n, least, blocks, bucket", [(4, 85, 1024, 8192), (5, 80, 8, 5)])
+def test_jaccard_join(spark, monkeypatch, n, least, blocks, bucket):
     frame = near_copies(spark)
     rows = {r["doc_id"]: r["text"] for r in frame.collect()}
     sets = {}
@@ -313,12 +340,10 @@ def test_jaccard_join(spark, n, least, blocks):
         if sets[i] and sets[j] and 100 * common >= least * (len(sets[i]) + len(sets[j]) - common):
             a, b = sorted((root[i], root[j]))
             root = {k: a if r == b else r for k, r in root.items()}
-    partenum.BLOCK_ROWS, before = blocks, partenum.BLOCK_ROWS
-    try:
-        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in partenum.jaccard_components(frame, n, least, 100).collect()}
-        kept = {r["doc_id"] for r in partenum.one_of_each(frame, n, least, 100).collect()}
-    finally:
-        partenum.BLOCK_ROWS = before
+    monkeypatch.setattr(partenum, "BLOCK_ROWS", blocks)
+    monkeypatch.setattr(partenum, "BUCKET_ROWS", bucket)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in partenum.jaccard_components(frame, n, least, 100).collect()}
+    kept = {r["doc_id"] for r in partenum.one_of_each(frame, n, least, 100).collect()}
     assert got == {i: (len(sets[i]), root[i]) for i in rows}
     assert kept == set(root.values())
     assert partenum.jaccard_components(frame.limit(0)).count() == 0
