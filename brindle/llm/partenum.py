@@ -211,93 +211,107 @@ def _signatures(n: int, join: PartEnum):
     return run
 
 
+PAIRS = ("sig", "k", "mate")
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by signature and set, those whose signature another set has too, each once."""
-    held = np.zeros((2, 0), np.int64)
-    given = False
+    """Of rows sorted by signature and set: a row (sig, k, mate) if just two sets have a signature, a row (sig, k, null)
+    for each of more sets. Three rows at most are held back."""
+    held = np.zeros((2, 0), np.int64)  # the last signature's sets, or only the last of them if the others are given
+    many = False
+
+    def out(rows: np.ndarray, mates: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), pa.array(mates, pa.int64(), mask=mates == rows[1])], names=PAIRS)
+
     for batch in batches:
         rows = np.concatenate((held, np.vstack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "k")])), axis=1)
         if not rows.shape[1]:
             continue
-        new = np.concatenate(([True], (rows[:, 1:] != rows[:, :-1]).any(axis=0)))
-        rows = rows[:, new]
-        same = rows[0, 1:] == rows[0, :-1]
-        out = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        if held.shape[1]:
-            out[0] &= not given
-        given = bool(out[-1]) if rows.shape[1] > 1 or not held.shape[1] else given
-        held = rows[:, -1:]
-        yield pa.RecordBatch.from_arrays([pa.array(rows[0, out]), pa.array(rows[1, out])], names=["sig", "k"])
-
-
-class Representatives:
-    """Sets of one signature in the order of their sizes, compared by sketches as they come.
-
-    A set that is near none of the representatives becomes one. If two sets are similar, the later one is not `far`
-    from the earlier one's representative, and is linked to it; so all similar sets are connected, and what is
-    connected without being similar is found by the exact comparison. The memory is that of the representatives whose
-    sizes still matter.
+        rows = rows[:, np.concatenate(([True], (rows[:, 1:] != rows[:, :-1]).any(axis=0)))]
+        starts = np.flatnonzero(np.concatenate(([True], rows[0, 1:] != rows[0, :-1])))
+        sizes = np.diff(np.append(starts, rows.shape[1]))
+        size = np.repeat(sizes, sizes)
+        give = size > 2
+        if many:
+            give[: sizes[0]] = True
+            give[0] = False
+        two = starts[(sizes == 2) & ~(many & (starts == 0))]
+        end = starts[-1]
+        many = bool(sizes[-1] > 2 or many and len(starts) == 1)
+        if not many:
+            two, give[end:] = two[two != end], False
+        held = rows[:, -1:] if many else rows[:, end:]
+        yield out(np.concatenate((rows[:, give], rows[:, two]), axis=1), np.concatenate((rows[1, give], rows[1, two + 1])))
+    if not many and held.shape[1] == 2:
+        yield out(held[:, :1], held[1, 1:])
+
+
+def clusters(join: PartEnum, n: np.ndarray, sketches: list[bytes]) -> np.ndarray:
+    """Numbers of connected sets, for sets of one signature in the order of their sizes; all similar sets are connected.
+
+    A set that is near none of the representatives before it becomes one. If two sets are similar, the later one is not
+    `far` from the earlier one's representative and is connected with it. What is connected without being similar is
+    found by the exact comparison.
     """
+    width = np.array([len(b) for b in sketches])
+    first = {int(w): int(np.argmax(width == w)) for w in np.unique(width)}  # sizes and so widths ascend
+    folded = {w: np.stack([_folded(b, w) for b in sketches[a:]]) for w, a in first.items()}
+    label, alone = np.arange(len(n)), np.ones(len(n), bool)
+    ends = np.searchsorted(n * join.least**2, n * join.most**2, side="right")  # larger sets are far from this one
+    for at in range(len(n)):
+        if not alone[at]:
+            continue
+        x, start = folded[int(width[at])], first[int(width[at])]
+        to = slice(at + 1, max(at + 1, int(ends[at])))
+        apart = np.bitwise_count(x[to.start - start : to.stop - start] ^ x[at - start]).sum(axis=1, dtype=np.int64)
+        met = np.unique(label[to][apart <= join.far(n[to], n[at])])
+        met = met[met != label[at]]
+        if len(met):
+            label[np.isin(label, met)] = label[at]
+        alone[to] &= apart > join.differ(n[to], n[at])
+    return label
 
-    def __init__(self, join: PartEnum, width: int):
-        self.join, self.width = join, width
-        self.k, self.n, self.bits = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, width // 8), np.uint64)
-
-    def _folded(self, bits: bytes) -> np.ndarray:
-        row = np.frombuffer(bits, np.uint64)
-        while len(row) * 8 > self.width:
-            row = row[: len(row) // 2] ^ row[len(row) // 2 :]
-        return row
-
-    def add(self, k: np.ndarray, n: np.ndarray, sketches: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Links (representatives, sets) of further sets, none of them smaller than those before."""
-        join = self.join
-        still = self.n * join.most**2 >= int(n[0]) * join.least**2
-        if not still.all():
-            self.k, self.n, self.bits = self.k[still], self.n[still], self.bits[still]
-        x = np.stack([self._folded(b) for b in sketches])
-        links = []
-        alone = np.ones(len(k), bool)
-        step = max(1, (1 << 22) // max(1, x.size))
-        for a in range(0, len(self.k), step):
-            rk, rn = self.k[a : a + step], self.n[a : a + step]
-            apart = np.bitwise_count(x[:, None, :] ^ self.bits[None, a : a + step, :]).sum(axis=2, dtype=np.int64)
-            alone &= (apart > join.differ(n[:, None], rn[None, :])).all(axis=1)
-            i, r = np.nonzero(apart <= join.far(n[:, None], rn[None, :]))
-            links.append((rk[r], k[i]))
-        new = []
-        at = 0
-        while at < len(k):
-            if not alone[at]:
-                at += 1
-                continue
-            new.append(at)
-            apart = np.bitwise_count(x[at + 1 :] ^ x[at]).sum(axis=1, dtype=np.int64)
-            near = np.flatnonzero(apart <= join.far(n[at + 1 :], n[at])) + at + 1
-            links.append((np.full(len(near), k[at]), k[near]))
-            alone[at + 1 :] &= apart > join.differ(n[at + 1 :], n[at])
-            at += 1
-        self.k, self.n, self.bits = np.append(self.k, k[new]), np.append(self.n, n[new]), np.concatenate((self.bits, x[new]))
-        return links
+
+def _folded(bits: bytes, width: int) -> np.ndarray:
+    row = np.frombuffer(bits, np.uint64)
+    while len(row) * 8 > width:
+        row = row[: len(row) // 2] ^ row[len(row) // 2 :]
+    return row
 
 
 def _near(join: PartEnum):
-    """Links of rows (unit, n, k, bits) sorted by unit and n: of sets of one unit whose sketches are near."""
+    """Links of rows (unit, n, k, bits) sorted by unit and n: each set with the smallest key of its cluster in its unit.
+
+    A unit has two blocks of BUCKET_ROWS rows, about, at most; only its rows are held. Units of the same sets mostly
+    agree in the smallest key, so few links are left once equal ones are united.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, unit = None, None
+        held: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
+        unit = None
+
+        def close() -> tuple[np.ndarray, np.ndarray]:
+            n, k = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+            label = clusters(join, n, [b for h in held for b in h[2]])
+            order = np.lexsort((k, label))
+            first = np.concatenate(([True], label[order][1:] != label[order][:-1]))
+            head = k[order][first][np.cumsum(first) - 1]
+            return head[~first], k[order][~first]
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
             units, n, k = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("unit", "n", "k"))
             bits = batch.column("bits").to_pylist()
-            starts = np.flatnonzero(np.concatenate(([True], units[1:] != units[:-1])))
+            starts = np.flatnonzero(np.concatenate(([True], units[1:] != units[:-1]))) if len(units) else []
             links = [(np.zeros(0, np.int64),) * 2]
-            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(k)], strict=True):
-                if unit != units[a]:
-                    unit, held = units[a], Representatives(join, len(bits[a]))
-                links += held.add(k[a:b], n[a:b], bits[a:b])
+            for a, b in zip(starts, [*starts[1:], len(k)], strict=False):
+                if held and unit != units[a]:
+                    links.append(close())
+                    held = []
+                unit = units[a]
+                held.append((n[a:b], k[a:b], bits[a:b]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[i] for x in links])) for i in (0, 1)], names=["a", "b"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in close()], names=["a", "b"])
 
     return run
 
@@ -415,13 +429,16 @@ def _candidates(texts: DataFrame, rows: DataFrame, sample: DataFrame, n: int, jo
     """Links (a, b) of sets that share a signature and whose sketches are near, each similar pair connected by them."""
     items = rows.agg(F.sum("n")).first()[0] or 0
     sigs = texts.select("text").mapInArrow(_signatures(n, join), "sig long, k long")
-    members = sigs.repartition(_tasks(rows, items, 4_000_000), "sig").sortWithinPartitions("sig", "k").mapInArrow(_shared, "sig long, k long")
+    members = sigs.repartition(_tasks(rows, items, 4_000_000), "sig").sortWithinPartitions("sig", "k").mapInArrow(_shared, "sig long, k long, mate long")
     members = written(members, "join-buckets")
     # Near copies share many signatures: of those with the same sets one is enough.
-    told = members.groupBy("sig").agg(F.count("*").alias("c"), F.min("k").alias("m"), F.max("k").alias("l"), F.bit_xor(F.xxhash64("k")).alias("x"))
-    once = told.groupBy("c", "m", "l", "x").agg(F.min("sig").alias("sig")).select("sig", "c")
-    dealt = in_blocks(members.join(once, "sig"), F.ceil(F.col("c") / BUCKET_ROWS).cast("int"))
-    units = dealt.select(F.xxhash64("sig", "i", "j").alias("unit"), "k").join(sample.select("k", "n", "bits"), "k")
+    more = members.filter("mate is null").select("sig", "k")
+    told = more.groupBy("sig").agg(F.count("*").alias("c"), F.min("k").alias("m"), F.bit_xor(F.xxhash64("k")).alias("x"))
+    once = told.groupBy("c", "m", "x").agg(F.min("sig").alias("sig")).select("sig", "c")
+    dealt = in_blocks(more.join(once, "sig"), F.ceil(F.col("c") / BUCKET_ROWS).cast("int"))
+    pairs = members.filter("mate is not null").select("k", "mate").distinct()
+    both = pairs.select(F.xxhash64("k", "mate").alias("unit"), F.explode(F.array("k", "mate")).alias("k"))
+    units = dealt.select(F.xxhash64("sig", "i", "j").alias("unit"), "k").unionByName(both).join(sample.select("k", "n", "bits"), "k")
     near = units.repartition("unit").sortWithinPartitions("unit", "n", "k").mapInArrow(_near(join), "a long, b long")
     found = written(near.distinct(), "join-near")
     discard(members)
@@ -476,28 +493,33 @@ def jaccard_components(docs: DataFrame, n: int = 5, least: int = 80, most: int =
 def one_of_each(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -> DataFrame:
     """The rows of docs that stand for their component, one for each; rows without shingles are in none and all stay.
 
-    A component keeps a row of its smallest doc_id (a null only if it has no other), of different sets under that id
-    the set with the smallest key, and of rows alike in both the first by its text's hash. Components are of sets, not
-    of ids, so rows of different components stay whatever ids they share. Every row is numbered as docs is written
-    with the keys of its sets, and what goes is decided and looked up by these numbers: no id or set is a join key of
-    whole rows, so nulls, repeated ids and hot groups of copies make no large groups. Columns of docs are kept; an
-    empty table gives an empty result.
+    A component keeps a row of its smallest doc_id (a null only if it has no other) and, of different sets under that
+    id, the set with the smallest key; of that set's texts the one with the smallest hash, and a repeated row once.
+    Components are of sets, not of ids, and rows are looked up by doc_id and their text's hash together, so rows of
+    different components stay whatever ids they share, and neither nulls nor repeated ids make large groups. Columns of
+    docs are kept; an empty table gives an empty result.
     """
     small_batches(docs.sparkSession, 256)
-    numbered = docs.withColumn("_set_row", F.monotonically_increasing_id())
-    kinds = StructType([*numbered.schema.fields, StructField(KEYS[0], LongType()), StructField(KEYS[1], LongType()), StructField(KEYS[2], BinaryType())])
-    keyed = written(numbered.mapInArrow(_found_sets(n), kinds), "join-keyed")
-    named = keyed.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("h", F.xxhash64("text"))
-    rows = _plain(named, "_set_row")
-    sample, roots = _joined(rows, named.select("doc_id", "h", "text"), n, PartEnum(least, most))
-
-    # The row that stays of each set that is linked or has copies: pre-aggregated minima by set, then by component.
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "h", "_set_row")).alias("first")
-    copied = sample.filter("copies > 1").select(F.col("k").alias("node"), F.col("k").alias("own"))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    kinds = StructType([*base.schema.fields, StructField(KEYS[0], LongType()), StructField(KEYS[1], LongType()), StructField(KEYS[2], BinaryType())])
+    rows = written(_plain(base.mapInArrow(_found_sets(n), kinds)), "join-rows")
+    sample, roots = _joined(rows, base, n, PartEnum(least, most))
+
+    # The row that stays of each set that is linked or has copies: pre-aggregated minima by component.
     grouped = roots.select("node", F.col("root").alias("own"))
+    copied = sample.filter("copies > 1").select(F.col("k").alias("node"), F.col("k").alias("own"))
     groups = written(copied.join(grouped, "node", "left_anti").unionByName(grouped), "join-groups")
-    of_sets = rows.filter("k is not null").join(groups, F.col("k") == F.col("node")).select("own", "doc_id", "k", "h", "_set_row")
+    of_sets = rows.filter("k is not null").join(groups, F.col("k") == F.col("node")).groupBy("own", "doc_id", "k", "h").agg(F.count("*").alias("c"))
     of_sets = written(of_sets, "join-grouped")
-    stay = of_sets.groupBy("own").agg(first).select("first._set_row")
-    gone = of_sets.select("_set_row").join(stay, "_set_row", "left_anti")
-    return keyed.join(gone, "_set_row", "left_anti").select(*docs.columns)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "h")).alias("first")
+    stay = of_sets.groupBy("own").agg(first).select("own", F.col("first.doc_id").alias("of"), F.col("first.k").alias("ofk"), F.col("first.h").alias("ofh"))
+    stays = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("k") == F.col("ofk")) & (F.col("h") == F.col("ofh"))
+    judged = of_sets.join(stay, "own").withColumn("stays", stays).filter("not stays or c > 1")
+    judged = written(judged.select(F.col("doc_id").alias("_id"), F.col("h").alias("_hash"), "stays"), "join-judged")
+
+    # Rows that are in no group, or of which one stays, are not touched; of repeated rows one is kept.
+    same = F.col("_set_id").eqNullSafe(F.col("_id")) & (F.col("_set_hash") == F.col("_hash"))
+    named = docs.withColumn("_set_id", F.col("doc_id").cast("long")).withColumn("_set_hash", F.xxhash64("text"))
+    kept = named.join(judged, same, "left_anti")
+    repeated = named.join(judged.filter("stays"), same, "left_semi").dropDuplicates(["_set_id", "_set_hash"])
+    return kept.unionByName(repeated).select(*docs.columns)

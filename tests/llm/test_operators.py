@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -284,7 +285,7 @@ def test_signatures_meet():
             assert len(np.intersect1d(join.signatures(a), join.signatures(b)))
 
 
-def test_sketches_and_representatives():
+def test_sketches_and_clusters():
     rng = np.random.default_rng(17)
     join = partenum.PartEnum(80, 100)
     sets = []
@@ -294,14 +295,8 @@ def test_sketches_and_representatives():
             keep = rng.random(len(base)) > rng.uniform(0, 0.15)
             sets.append(np.unique(np.concatenate((base[keep], rng.integers(0, 1 << 63, int(rng.integers(0, 5)), dtype=np.uint64)))))
     sets.sort(key=len)
-    held = partenum.Representatives(join, len(partenum.sketch(sets[0])))
-    root = list(range(len(sets)))
-    for at in range(0, len(sets), 7):  # in batches of seven
-        part = range(at, min(at + 7, len(sets)))
-        for a, b in held.add(np.array(part), np.array([len(sets[i]) for i in part]), [partenum.sketch(sets[i]) for i in part]):
-            for x, y in zip(a.tolist(), b.tolist(), strict=True):
-                low, high = sorted((root[x], root[y]))
-                root = [low if r == high else r for r in root]
+    root = partenum.clusters(join, np.array([len(x) for x in sets]), [partenum.sketch(x) for x in sets]).tolist()
+    assert len(set(root)) > 20  # different bases stay apart
     for i, j in itertools.combinations(range(len(sets)), 2):
         common = len(np.intersect1d(sets[i], sets[j]))
         one, two = (np.frombuffer(partenum.sketch(s), np.uint64) for s in (sets[i], sets[j]))
@@ -311,6 +306,19 @@ def test_sketches_and_representatives():
             assert root[i] == root[j]
 
 
+def test_shared_signatures():
+    rnd = random.Random(18)
+    rows = sorted((rnd.randint(0, 60), rnd.randint(0, 9)) for _ in range(150))
+    sets = collections.defaultdict(set)
+    for sig, k in rows:
+        sets[sig].add(k)
+    for size in (1, 2, 3, 7, 150):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[a : a + size]], pa.int64()) for i in (0, 1)], names=["sig", "k"]) for a in range(0, len(rows), size)]
+        got = [r for b in partenum._shared(iter(batches)) for r in b.to_pylist()]
+        assert sorted((r["sig"], r["k"], r["mate"]) for r in got if r["mate"] is not None) == sorted((s, min(x), max(x)) for s, x in sets.items() if len(x) == 2)
+        assert sorted((r["sig"], r["k"]) for r in got if r["mate"] is None) == sorted((s, k) for s, x in sets.items() if len(x) > 2 for k in x)
+
+
 def near_copies(spark):
     rnd = random.Random(8)
     rows = []
