@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.common import small_batches, written
+from brindle.llm.routing import fit_router
 from brindle.llm.words import SEGMENT, mixed, span_hashes
 
+# Fixed value: where pre-tokenizers of the kind ByteLevel split a text (a tokenizer file only names the kind).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts with any of these cannot be encoded word by word: white space beside white space, and that which is rare.
 TOGETHER = ("  ", " \n", "\n ", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
-IDS = np.dtype("<u2")
+IDS = np.dtype("<u4")
 COUNTS = np.dtype("<u4")
 MEMO = 400_000
 K1, B = 1.2, 0.75
@@ -32,16 +37,29 @@ def _bytes_of_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def byte_level_ranks(path: str) -> dict[bytes, int]:
-    """Ids by bytes, from a tokenizer file of the kind byte-level BPE whose ids are in the order of its merges."""
+@dataclass(frozen=True)
+class Vocabulary:
+    """Ids by bytes, ids of the special tokens by their strings, and how many ids there are."""
+
+    ranks: dict[bytes, int]
+    special: dict[str, int]
+
+    @property
+    def size(self) -> int:
+        return max(*self.ranks.values(), *self.special.values(), 0) + 1
+
+
+def byte_level_vocabulary(path: str) -> Vocabulary:
+    """From a tokenizer file of the kind byte-level BPE whose ids are in the order of its merges; other kinds raise an error."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", ())}
+    before, added, model = spec.get("pre_tokenizer") or {}, spec.get("added_tokens", ()), spec["model"]
+    plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added)
+    if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True) or spec.get("normalizer") or model.get("ignore_merges") or not plain:
+        raise ValueError("not a plain byte-level tokenizer")
+    special = {t["content"]: t["id"] for t in added}
     letters = _bytes_of_letters()
-    ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-    if max(ranks.values()) >= 1 << 16:
-        raise ValueError("ids above 65535")
-    return ranks
+    return Vocabulary({bytes(letters[c] for c in token): i for token, i in model["vocab"].items() if token not in special}, special)
 
 
 def packed(ids: list[int]) -> np.ndarray:
@@ -49,15 +67,19 @@ def packed(ids: list[int]) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts, ordinary text throughout; words are encoded once and then found by their hashes.
+    """Ids of texts; words are encoded once and then found by their hashes.
 
+    A special token's string has the special token's id, and the text before and after it is encoded apart, unless
+    special_is_text.
     A single space or line end between words always ends a token, so words are encoded apart, each with the space or
     line end before it. Texts with other white space, or white space at their ends, are encoded in one go. The first
     MEMO words are kept, so that the memory of a task is bounded.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.whole = tiktoken.Encoding("pack", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    def __init__(self, vocabulary: Vocabulary, special_is_text: bool = False):
+        self.whole = tiktoken.Encoding("pack", pat_str=SPLIT, mergeable_ranks=vocabulary.ranks, special_tokens={}).encode_ordinary
+        self.special = {} if special_is_text else vocabulary.special
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.known = np.zeros(0, np.uint64)  # sorted hashes of words, with the place of each word's ids
         self.place = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
@@ -70,6 +92,9 @@ class Encoder:
         batch: list[tuple[int, bytes]] = []
         size = 0
         for i, text in enumerate(texts):
+            if any(t in text for t in self.special):
+                out[i] = packed([x for part in self.cut.split(text) if part for x in ([self.special[part]] if part in self.special else self.whole(part))])
+                continue
             if not text or text[0].isspace() or text[-1].isspace() or any(x in text for x in TOGETHER):
                 out[i] = packed(self.whole(text))
                 continue
@@ -163,10 +188,10 @@ def _crc(ids: np.ndarray) -> int:
 
 def tokenised(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame:
     """For each row of docs: its token count, the checksums of its full windows, its last ids, and its terms with counts."""
-    ranks = byte_level_ranks(path)
+    vocabulary = byte_level_vocabulary(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks)
+        encoder = Encoder(vocabulary)
         end = np.array([end_id], IDS)
         for batch in batches:
             rows = []
@@ -181,21 +206,21 @@ def tokenised(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, tokens long, blocks array<long>, tail binary, terms binary, counts binary")
 
 
-def term_weights(table: DataFrame) -> tuple[np.ndarray, float]:
-    """BM25 idf of each id over all documents, and the mean count of tokens; the ids are 65,536 at most."""
+def term_weights(table: DataFrame, size: int) -> tuple[np.ndarray, float]:
+    """BM25 idf of each id over all documents, and the mean count of tokens; there are `size` ids, the vocabulary's."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << 16, np.int64)
+        seen = np.zeros(size, np.int64)
         for batch in batches:
             parts = [np.frombuffer(t, IDS) for t in batch.column("terms").to_pylist()]
             if parts:
-                seen += np.bincount(np.concatenate(parts), minlength=1 << 16)
+                seen += np.bincount(np.concatenate(parts), minlength=size)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at], pa.int64())], names=["id", "n"])
 
     sums = table.select("terms").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     total = table.agg(F.count("*").alias("n"), F.avg("tokens").alias("mean")).first()
-    seen = np.zeros(1 << 16)
+    seen = np.zeros(size)
     for r in sums:
         seen[r["id"]] = r["n"]
     return np.log1p((total["n"] - seen + 0.5) / (seen + 0.5)).astype(np.float32), float(total["mean"] or 1.0)
@@ -208,22 +233,34 @@ class ShardIndex:
         self.n = len(terms)
         doc = np.repeat(np.arange(self.n), [len(t) for t in terms])
         term = np.concatenate(terms) if terms else np.zeros(0, IDS)
-        tf = (np.concatenate(counts) if counts else np.zeros(0, COUNTS)).astype(np.float32)
+        tf = (np.concatenate(counts) if counts else np.zeros(0, COUNTS)).astype(float)
         score = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / mean))
         order = np.argsort(term, kind="stable")
         self.docs, self.scores = doc[order], score[order]
-        self.starts = np.searchsorted(term[order], np.arange((1 << 16) + 1))
+        self.starts = np.searchsorted(term[order], np.arange(len(idf) + 1))
         self.queries = [t.astype(np.int64) for t in terms]  # a document asks with all its terms
+        self.held = self.n
+
+    def shrink(self, unused: np.ndarray) -> None:
+        """Postings of used documents go, once these are a quarter of those that are held."""
+        left = int(unused.sum())
+        if left <= 0.75 * self.held:
+            keep = unused[self.docs]
+            self.starts = np.concatenate(([0], np.cumsum(keep)))[self.starts]
+            self.docs, self.scores, self.held = self.docs[keep], self.scores[keep], left
+
+    def scored(self, seed: int) -> np.ndarray:
+        """BM25 score of every document that is held, for all terms of the seed."""
+        starts, ends = self.starts[self.queries[seed]], self.starts[self.queries[seed] + 1]
+        sizes = ends - starts
+        found = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+        return np.bincount(self.docs[found], weights=self.scores[found], minlength=self.n)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """The unused documents that share a term with the seed, best first (ties in order)."""
-        spans = [(self.starts[t], self.starts[t + 1]) for t in self.queries[seed]]
-        if not spans:
-            return np.zeros(0, np.int64)
-        found = np.concatenate([np.arange(a, b) for a, b in spans])
-        total = np.bincount(self.docs[found], weights=self.scores[found], minlength=self.n)
-        total[~unused] = 0
-        hits = np.flatnonzero(total > 0)
+        self.shrink(unused)
+        total = self.scored(seed)
+        hits = np.flatnonzero((total > 0) & unused)
         return hits[np.argsort(-total[hits], kind="stable")]
 
 
@@ -234,6 +271,7 @@ def fill_windows(index: ShardIndex, lengths: np.ndarray, window: int) -> list[li
     fits, the best one is cut so that the window is full, and what is left of it stays unused. Only without any
     neighbour is the next document taken. So all windows but the last are full.
     """
+    rest = lengths.astype(np.int64)
     done = np.zeros(len(lengths), np.int64)
     unused = lengths > 0
     order = np.argsort(-lengths, kind="stable")
@@ -249,21 +287,21 @@ def fill_windows(index: ShardIndex, lengths: np.ndarray, window: int) -> list[li
         room = window
 
         def take(doc: int, upto: int, pieces=pieces) -> int:
-            n = int(min(upto, lengths[doc] - done[doc]))
+            n = int(min(upto, rest[doc]))
             pieces.append((doc, int(done[doc]), n))
             done[doc] += n
-            if done[doc] == lengths[doc]:
-                unused[doc] = False
+            rest[doc] -= n
+            unused[doc] = rest[doc] > 0
             return n
 
         room -= take(seed, room)
         if room:
             near = index.neighbours(seed, unused)
-            for doc in near:
-                if lengths[doc] - done[doc] <= room:
-                    room -= take(int(doc), room)
-                    if not room:
-                        break
+            at = 0
+            while room and len(fits := np.flatnonzero(rest[near[at:]] <= room)):
+                at += int(fits[0])
+                room -= take(int(near[at]), room)
+                at += 1
             near = near[unused[near]] if room else near
             if room and len(near):
                 room -= take(int(near[0]), room)
@@ -275,22 +313,48 @@ def fill_windows(index: ShardIndex, lengths: np.ndarray, window: int) -> list[li
         windows.append(pieces)
 
 
-def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, shard_documents: int = 2048, seed: int = 29) -> DataFrame:
+def routed(table: DataFrame, idf: np.ndarray, documents: int, shard_documents: int, sample_documents: int, seed: int) -> DataFrame:
+    """table with the shard of every document: lexical clusters, those of more than shard_documents dealt to pieces by a hash.
+
+    Clusters are fitted on sample_documents documents at most (smallest seeded hash); every document is routed.
+    """
+    sample = table.orderBy("spot").select("terms", "counts").limit(sample_documents).collect()
+    router = fit_router([np.frombuffer(r["terms"], IDS) for r in sample], [np.frombuffer(r["counts"], COUNTS) for r in sample], idf, documents, 2 * shard_documents, seed)
+
+    @F.pandas_udf("long")
+    def leaf(terms: pd.Series, counts: pd.Series) -> pd.Series:
+        return pd.Series(router.leaves([np.frombuffer(t, IDS) for t in terms], [np.frombuffer(c, COUNTS) for c in counts]))
+
+    found = table.withColumn("leaf", leaf("terms", "counts"))
+    sizes = sorted((r["leaf"], r["count"]) for r in found.groupBy("leaf").count().collect())  # a row for each cluster
+    first, rows = 0, []
+    for at, count in sizes:
+        pieces = -(-count // shard_documents)
+        rows.append((at, first, pieces))
+        first += pieces
+    places = F.broadcast(table.sparkSession.createDataFrame(rows, "leaf long, first long, pieces long"))
+    return found.join(places, "leaf").withColumn("shard", F.col("first") + F.pmod("spot", "pieces")).drop("leaf", "first", "pieces")
+
+
+def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, shard_documents: int = 2048, sample_documents: int = 8192, seed: int = 29) -> DataFrame:
     """Packs the ids of every row of docs (doc_id, text) into sequences of at most `window` ids.
 
     A document's ids are those of its whole text and end_id (a null text is empty and gives end_id alone). Full
     windows of a long document are sequences of their own; what is left is packed with BM25 neighbours of its shard.
-    Documents are dealt to shards of about shard_documents by a seeded hash, so no shard grows with the input or with
-    any key; idf and mean length come from all documents. Repeated rows and rows with a null id are packed like any
-    others; an empty table gives an empty result. Each shard's last sequence may be short; all others are full.
+    Shards are lexical clusters (routed(); fitted on sample_documents documents), so that most best neighbours are in
+    a document's own shard; a cluster with more than shard_documents documents is dealt to pieces by a seeded hash, so
+    no shard grows with the input or with any key. idf and mean length come from all documents. Repeated rows and rows
+    with a null id are packed like any others; an empty table gives an empty result. Each shard's last sequence may be
+    short; all others are full.
 
     Returns a row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset.
     """
     small_batches(docs.sparkSession, 256)
     tokens = tokenised(docs, path, window, end_id).withColumn("spot", F.xxhash64(F.lit(seed), "doc_id", F.monotonically_increasing_id()))
     table = written(tokens, "pack-tokens")
-    idf, mean = term_weights(table)
-    shards = max(1, -(-table.count() // shard_documents))
+    idf, mean = term_weights(table, byte_level_vocabulary(path).size)
+    total = table.count()
+    sharded = routed(table, idf, total, shard_documents, sample_documents, seed)
 
     def pack(group: pa.Table) -> pa.Table:
         rows = sorted(group.to_pylist(), key=lambda r: (r["spot"], r["doc_id"] is None, r["doc_id"], r["tail"]))
@@ -314,4 +378,5 @@ def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int =
         return pa.table({n: pa.array([o[i] for o in out], pa.int64()) for i, n in enumerate(names)})
 
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return table.withColumn("shard", F.pmod("spot", F.lit(shards))).groupBy("shard").applyInArrow(pack, kinds)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (8 * shard_documents)))
+    return sharded.repartition(tasks, "shard").groupBy("shard").applyInArrow(pack, kinds)

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -15,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from brindle.llm import components, fingerprints, html_extract, mixing, packing, partenum, quality, rp_forest, sharding, toxicity, warc, words
+from brindle.llm import components, fingerprints, html_extract, mixing, packing, partenum, quality, routing, rp_forest, sharding, toxicity, warc, words
 from brindle.llm.common import fold
 from tests.conftest import DATA
 
@@ -388,19 +389,25 @@ def test_components(spark):
 
 def test_ids_are_the_tokenizers():
     path = public_tokenizers.path("byte_bpe_50k.json")
-    reference = Tokenizer.from_file(path)
-    reference.encode_special_tokens = True
-    encoder = packing.Encoder(packing.byte_level_ranks(path))
+    reference, as_text = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    as_text.encode_special_tokens = True
+    encoder = packing.Encoder(packing.byte_level_vocabulary(path))
     rnd = random.Random(10)
     texts = ["", " ", "  a", "a\n b", "don't it's", "x\r\ny", "日本 語", "a\x85b c", "<|endoftext|> x", "!!! a", "tail ", *("".join(rnd.choices("ab1 \n\t'.é s!", k=rnd.randint(0, 60))) for _ in range(500))]
     long = " ".join(f"w{rnd.randint(0, 5000)}," for _ in range(300_000))
     for text, ids in zip([*texts, long], encoder.encode_all([*texts, long]), strict=True):
         assert ids.tolist() == reference.encode(text, add_special_tokens=False).ids
+    special = ["<|endoftext|>", "<|endoftext|> x", "a <|endoftext|>", "a  <|endoftext|><|endoftext|>\n b", "<|endoftext"]
+    for text, ids, plain in zip(special, encoder.encode_all(special), packing.Encoder(packing.byte_level_vocabulary(path), True).encode_all(special), strict=True):
+        assert ids.tolist() == reference.encode(text, add_special_tokens=False).ids
+        assert plain.tolist() == as_text.encode(text, add_special_tokens=False).ids
+    with pytest.raises(ValueError):
+        packing.byte_level_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def test_packing(docs, odd):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoder = packing.Encoder(packing.byte_level_ranks(path))
+    encoder = packing.Encoder(packing.byte_level_vocabulary(path))
     rows = packing.pack_documents(docs, path, shard_documents=60).collect()
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
@@ -422,22 +429,52 @@ def test_packing(docs, odd):
             at += r["length"]
         assert at <= 2048
         short += at < 2048
-    assert short <= -(-docs.count() // 60)
+    assert short <= 2 * -(-docs.count() // 60)
     assert packing.pack_documents(odd.select("doc_id", "text"), path).agg(F.sum("length")).first()[0] > 30_000
     assert packing.pack_documents(odd.limit(0), path).count() == 0
 
 
 def test_neighbours_come_first():
     idf = np.ones(1 << 16, np.float32)
-    terms = [np.array(t, "<u2") for t in ([1, 2, 3], [7, 8], [2, 3, 4], [9])]
+    terms = [np.array(t, packing.IDS) for t in ([1, 2, 3], [7, 8], [2, 3, 4], [9])]
     index = packing.ShardIndex(terms, [np.ones(len(t), np.uint8) for t in terms], np.full(4, 100.0, np.float32), idf, 100.0)
     windows = packing.fill_windows(index, np.array([100, 90, 80, 70]), 200)
     assert [p[0] for p in windows[0]] == [0, 2, 1]  # the neighbour, then the next document, cut
     assert sum(n for w in windows for _, _, n in w) == 340
 
 
+def test_scores_are_bm25_of_all_terms():
+    rnd = random.Random(19)
+    docs = [collections.Counter(rnd.choices(range(30), k=rnd.randint(0, 40))) for _ in range(25)]
+    lengths = [sum(d.values()) + 1 for d in docs]
+    mean, n = sum(lengths) / len(lengths), len(docs)
+    idf = [math.log1p((n - f + 0.5) / (f + 0.5)) for f in (sum(t in d for d in docs) for t in range(30))]
+    terms = [np.array(sorted(d), packing.IDS) for d in docs]
+    index = packing.ShardIndex(terms, [np.array([d[t] for t in sorted(d)], packing.COUNTS) for d in docs], np.array(lengths, np.float32), np.array(idf), mean)
+    unused = np.ones(n, bool)
+    for _ in range(2):
+        for seed in range(n):
+            want = [sum(idf[t] * docs[i][t] * 2.2 / (docs[i][t] + 1.2 * (0.25 + 0.75 * lengths[i] / mean)) for t in docs[seed]) if unused[i] else 0.0 for i in range(n)]
+            assert np.allclose(index.scored(seed) * unused, want)
+            near = index.neighbours(seed, unused)
+            assert sorted(near.tolist()) == [i for i in range(n) if want[i] > 0] and all(np.diff(np.array(want)[near]) <= 1e-9)
+        unused = np.array([rnd.random() < 0.5 for _ in range(n)])
+        index.shrink(unused)  # postings of used documents go
+
+
+def test_like_documents_are_routed_together():
+    rng = np.random.default_rng(20)
+    kinds = [rng.choice(5000, 300, replace=False) for _ in range(6)]
+    terms = [np.unique(rng.choice(kinds[i % 6], 60)).astype(packing.IDS) for i in range(600)]
+    counts = [np.ones(len(t), packing.COUNTS) for t in terms]
+    router = routing.fit_router(terms[:300], counts[:300], np.ones(5000, np.float32), 600, 100, 1)
+    leaf = router.leaves(terms, counts)
+    shares = [collections.Counter(leaf[k::6].tolist()).most_common(1)[0][1] for k in range(6)]
+    assert min(shares) > 50 and len(set(leaf.tolist())) > 3
+
+
 def test_all_terms_and_counts_are_used(spark):
-    terms = [np.arange(1, 41, dtype="<u2"), np.array([50], "<u2"), np.array([40], "<u2")]
+    terms = [np.arange(1, 41, dtype=packing.IDS), np.array([50], packing.IDS), np.array([40], packing.IDS)]
     index = packing.ShardIndex(terms, [np.ones(len(t), "<u4") for t in terms], np.full(3, 100.0, np.float32), np.ones(1 << 16, np.float32), 100.0)
     assert index.neighbours(0, np.array([False, True, True])).tolist() == [2]  # shares the last of forty terms
     row = packing.tokenised(spark.createDataFrame([(1, "word" + " word" * 70_000)], "doc_id long, text string"), public_tokenizers.path("byte_bpe_50k.json"), 2048, 1).first()
