@@ -314,12 +314,12 @@ def fill_windows(index: ShardIndex, lengths: np.ndarray, window: int) -> list[li
 
 
 def routed(table: DataFrame, idf: np.ndarray, documents: int, shard_documents: int, sample_documents: int, seed: int) -> DataFrame:
-    """table with the shard of every document: lexical clusters, those of more than shard_documents dealt to pieces by a hash.
+    """table with the shard of every document: lexical clusters, those of more than 1.5 * shard_documents dealt to pieces by a hash.
 
     Clusters are fitted on sample_documents documents at most (smallest seeded hash); every document is routed.
     """
     sample = table.orderBy("spot").select("terms", "counts").limit(sample_documents).collect()
-    router = fit_router([np.frombuffer(r["terms"], IDS) for r in sample], [np.frombuffer(r["counts"], COUNTS) for r in sample], idf, documents, 2 * shard_documents, seed)
+    router = fit_router([np.frombuffer(r["terms"], IDS) for r in sample], [np.frombuffer(r["counts"], COUNTS) for r in sample], idf, documents, shard_documents, seed)
 
     @F.pandas_udf("long")
     def leaf(terms: pd.Series, counts: pd.Series) -> pd.Series:
@@ -329,7 +329,7 @@ def routed(table: DataFrame, idf: np.ndarray, documents: int, shard_documents: i
     sizes = sorted((r["leaf"], r["count"]) for r in found.groupBy("leaf").count().collect())  # a row for each cluster
     first, rows = 0, []
     for at, count in sizes:
-        pieces = -(-count // shard_documents)
+        pieces = max(1, round(count / shard_documents))
         rows.append((at, first, pieces))
         first += pieces
     places = F.broadcast(table.sparkSession.createDataFrame(rows, "leaf long, first long, pieces long"))
@@ -342,7 +342,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int =
     A document's ids are those of its whole text and end_id (a null text is empty and gives end_id alone). Full
     windows of a long document are sequences of their own; what is left is packed with BM25 neighbours of its shard.
     Shards are lexical clusters (routed(); fitted on sample_documents documents), so that most best neighbours are in
-    a document's own shard; a cluster with more than shard_documents documents is dealt to pieces by a seeded hash, so
+    a document's own shard; a cluster with more than 1.5 * shard_documents documents is dealt to pieces by a seeded hash, so
     no shard grows with the input or with any key. idf and mean length come from all documents. Repeated rows and rows
     with a null id are packed like any others; an empty table gives an empty result. Each shard's last sequence may be
     short; all others are full.
