@@ -5,8 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,9 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import labelled_sample, small_batches
+from brindle.llm.common import labelled_sample, small_batches, written
 
-# Interchangeable identity terms; the first of each group is neutral.
+# Interchangeable identity terms in English, French, German and Spanish; the first of each group is neutral.
 IDENTITY_TERMS = (
     ("people", "women", "men", "girls", "boys", "wives", "husbands"),
     ("person", "woman", "man", "girl", "boy", "wife", "husband"),
@@ -26,22 +27,68 @@ IDENTITY_TERMS = (
     ("adult", "gay", "straight", "lesbian", "bisexual", "transgender", "queer", "heterosexual"),
     ("resident", "immigrant", "refugee", "foreigner", "citizen", "native"),
     ("individual", "disabled", "deaf", "blind", "elderly", "young", "old"),
+    ("personnes", "femmes", "hommes", "filles", "garçons", "épouses", "maris"),
+    ("croyants", "chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"),
+    ("humain", "noir", "blanc", "asiatique", "africain", "européen", "arabe", "autochtone"),
+    ("adulte", "homosexuel", "lesbienne", "bisexuel", "transgenre", "hétérosexuel"),
+    ("résident", "immigré", "réfugié", "étranger", "citoyen"),
+    ("menschen", "frauen", "männer", "mädchen", "jungen", "ehefrauen", "ehemänner"),
+    ("gläubige", "christen", "muslime", "juden", "buddhisten", "atheisten"),
+    ("menschlich", "schwarz", "weiß", "asiatisch", "afrikanisch", "europäisch", "arabisch"),
+    ("erwachsen", "schwul", "lesbisch", "bisexuell", "heterosexuell"),
+    ("einwohner", "einwanderer", "flüchtling", "ausländer", "bürger"),
+    ("personas", "mujeres", "hombres", "niñas", "niños", "esposas", "maridos"),
+    ("creyentes", "cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos"),
+    ("humano", "negro", "blanco", "asiático", "africano", "europeo", "árabe", "indígena"),
+    ("adulto", "homosexual", "lesbiana", "transgénero"),
+    ("residente", "inmigrante", "refugiado", "extranjero", "ciudadano"),
 )
 
 _WORD = re.compile(r"\w+")
-_OTHERS = {t: g for g in IDENTITY_TERMS for t in g}
+#: Words whose contexts are counted at most, places that contexts are hashed to, and words in a derived group at most.
+NEUTRAL, PLACES, GROUP = 96, 512, 6
+
+Groups = Sequence[Sequence[str]]
+
+
+def others(groups: Groups) -> dict[str, list[str]]:
+    """For each term what it may be swapped with; a term of several groups belongs to the first."""
+    out: dict[str, list[str]] = {}
+    for group in groups:
+        for term in group:
+            out.setdefault(term, [t for t in group if t != term])
+    return out
 
 
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def swapped(words: list[str], seed: str) -> list[str] | None:
-    """The words with every identity term replaced by another of its group; None if there is none."""
-    if not any(w in _OTHERS for w in words):
+def swapped(words: list[str], seed: str, swaps: dict[str, list[str]]) -> list[str] | None:
+    """The words with every term replaced by another of its group; None if there is none."""
+    if not any(w in swaps for w in words):
         return None
     chance = random.Random(seed)
-    return [chance.choice([t for t in _OTHERS[w] if t != w]) if w in _OTHERS else w for w in words]
+    return [chance.choice(swaps[w]) if w in swaps else w for w in words]
+
+
+def alike_in_context(contexts: dict[str, np.ndarray], least: float) -> list[list[str]]:
+    """Groups of words whose contexts have a cosine of at least this; each word is in one group at most."""
+    names = sorted(contexts)
+    if not names:
+        return []
+    x = np.array([contexts[w] for w in names], float)
+    x = np.log1p(x) / np.maximum(np.linalg.norm(np.log1p(x), axis=1, keepdims=True), 1e-9)
+    near = x @ x.T
+    left = np.ones(len(names), bool)
+    out = []
+    for i in range(len(names)):
+        if left[i]:
+            at = [int(j) for j in np.argsort(-near[i], kind="stable") if left[j] and near[i, j] >= least][:GROUP]
+            if len(at) > 1:
+                left[at] = False
+                out.append([names[j] for j in at])
+    return out
 
 
 def features_of(words: list[str]) -> Counter:
@@ -58,10 +105,12 @@ def features_of(words: list[str]) -> Counter:
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """A weight for each chosen feature; a feature adds its weight times log(1 + count)."""
+    """A weight for each chosen feature; a feature adds its weight times log(1 + count). With the swap groups of the fit and how many texts had any."""
 
     weights: dict[str, float]
     bias: float
+    groups: tuple[tuple[str, ...], ...] = ()
+    swapped_texts: int = 0
 
     def scores(self, texts: pd.Series) -> np.ndarray:
         tables = {k: {f[2:]: (f, w) for f, w in self.weights.items() if f[0] == k} for k in "w45"}
@@ -105,6 +154,41 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["feature", "toxic", "clean"])
 
 
+def _contexts(terms: list[str]):
+    """Counts of the words beside each of the terms, hashed to PLACES places."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = set(terms)
+        seen: Counter = Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                words = words_of(text)
+                for i, w in enumerate(words):
+                    if w in wanted:
+                        for side, at in (("<", i - 1), (">", i + 1)):
+                            if 0 <= at < len(words):
+                                seen[w, zlib.crc32((side + words[at]).encode("utf-8", "surrogatepass")) % PLACES] += 1
+        yield pd.DataFrame([(w, p, n) for (w, p), n in seen.items()], columns=["word", "place", "n"])
+
+    return count
+
+
+def neutral_groups(texts: DataFrame, counted: DataFrame, n: dict[int, int], least_texts: int = 10, least_cosine: float = 0.5) -> list[list[str]]:
+    """Swap groups found in labelled texts: words that both classes use at like rates, and in like contexts.
+
+    Of the NEUTRAL most frequent words (least_texts texts of each class, rates within a factor of 1.5) those whose
+    neighbouring words agree are interchangeable mentions, whatever the language; a score must not hang on which is used.
+    """
+    rates = (F.col("toxic") / n[1]) / (F.col("clean") / n[0])
+    even = counted.filter(F.col("feature").startswith("w:") & (F.col("toxic") >= least_texts) & (F.col("clean") >= least_texts) & rates.between(1 / 1.5, 1.5))
+    terms = [r["feature"][2:] for r in even.orderBy(F.desc(F.col("toxic") + F.col("clean")), "feature").limit(NEUTRAL).collect()]
+    rows = texts.mapInPandas(_contexts(terms), "word string, place int, n long").groupBy("word", "place").agg(F.sum("n").alias("n")).collect()  # NEUTRAL * PLACES at most
+    contexts = {w: np.zeros(PLACES) for w in terms}
+    for r in rows:
+        contexts[r["word"]][r["place"]] = r["n"]
+    return alike_in_context(contexts, least_cosine)
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -119,27 +203,33 @@ def fit_toxicity(
     """Learns word and prefix weights from labelled texts, with identity terms swapped in copies of them.
 
     The sample is bounded: at most per_class labelled ids of each class (smallest seeded hash), each distinct text
-    once. The max_features features that tell the classes apart best (G test, five texts at least) and all identity
-    terms of the sample get weights. Class weights restore the class shares of all labelled rows. Without two classes
-    of text the model scores every text alike. learn: which label rows may be used (a condition on doc_id).
+    once; it is written and read once from docs. The max_features features that tell the classes apart best (G test,
+    five texts at least) and all features of swapped terms get weights. Terms are IDENTITY_TERMS and the groups that
+    neutral_groups() finds in the sample; score changes under swaps are penalised. Class weights restore the class
+    shares of all labelled rows. Without two classes of text the model scores every text alike. learn: which label rows
+    may be used (a condition on doc_id).
     """
     small_batches(docs.sparkSession)
     learn = F.lit(True) if learn is None else learn
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & learn)
     shares = {int(r["k"]): r["n"] for r in usable.groupBy(F.col(label).cast("int").alias("k")).agg(F.count("*").alias("n")).collect()}
     sample = labelled_sample(labels, label, learn, per_class, seed)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")  # 2 * per_class ids at most
+    texts = written(texts, "toxicity-sample")
     counted = texts.mapInPandas(_count, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     n = {int(r["label"]): r["n"] for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return ToxicityModel({}, 30.0 if n.get(1) else -30.0 if n else 0.0)
+    counted = written(counted, "toxicity-counts")
+    groups = [*IDENTITY_TERMS, *neutral_groups(texts, counted, n)]
+    swaps = others(groups)
 
     def g(seen: str, of: int) -> Column:
         part = (F.col("toxic") + F.col("clean")) * of / (n[0] + n[1])
         return F.when(F.col(seen) > 0, F.col(seen) * F.log(F.col(seen) / part)).otherwise(0.0)
 
     odd = g("toxic", n[1]) + g("clean", n[0])
-    terms = [f"w:{t}" for group in IDENTITY_TERMS for t in group]
+    terms = sorted(f for w in swaps for f in features_of([w]))
     strong = counted.filter("toxic + clean >= 5").withColumn("g", odd).orderBy(F.desc("g"), "feature").limit(max_features)
     chosen = sorted({r["feature"] for r in strong.collect()} | {r["feature"] for r in counted.filter(F.col("feature").isin(terms)).collect()})
     place = {f: i + 1 for i, f in enumerate(chosen)}
@@ -153,7 +243,7 @@ def fit_toxicity(
             for doc_id, y, text in zip(batch["doc_id"], batch["label"], batch["text"], strict=True):
                 words = words_of(text)
                 x = sparse(words)
-                other = swapped(words, f"{seed}:{doc_id}")
+                other = swapped(words, f"{seed}:{doc_id}", swaps)
                 y_swapped = x if other is None else sparse(other)
                 change = {k: x.get(k, 0.0) - y_swapped.get(k, 0.0) for k in x.keys() | y_swapped.keys() if x.get(k) != y_swapped.get(k)}
                 rows.append((doc_id, y, hash_of(text), list(x), list(x.values()), list(change), list(change.values())))
@@ -174,7 +264,17 @@ def fit_toxicity(
     total = sum(shares.values())
     weight = np.array([shares[int(k)] / total / (y == k).mean() for k in y])
     b = fit_regularised(x, y, weight, np.array(changes).reshape(len(changes), x.shape[1]), ridge, penalty)
-    return ToxicityModel({f: float(b[i]) for f, i in place.items()}, float(b[0]))
+    return ToxicityModel({f: float(b[i]) for f, i in place.items()}, float(b[0]), tuple(map(tuple, groups)), len(changes))
+
+
+def swap_gap(model: ToxicityModel, texts: Sequence[str | None], seed: str = "gap") -> tuple[int, float]:
+    """How many of the texts have terms to swap, and the mean change of their log odds when they are swapped."""
+    swaps = others(model.groups)
+    pairs = [(" ".join(w), " ".join(o)) for i, w in enumerate(map(words_of, texts)) if (o := swapped(w, f"{seed}:{i}", swaps)) is not None]
+    if not pairs:
+        return 0, 0.0
+    odds = [np.log(p / (1 - p)) for p in (np.clip(model.scores(pd.Series(side)), 1e-12, 1 - 1e-12) for side in zip(*pairs, strict=True))]
+    return len(pairs), float(np.abs(odds[0] - odds[1]).mean())
 
 
 def hash_of(text: str | None) -> str:

@@ -169,6 +169,28 @@ def test_toxicity(spark, odd):
     assert toxicity.fit_toxicity(data, labels.limit(0)).weights == {}
 
 
+def test_swaps_act_on_the_registered_path(spark):
+    big = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{big}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{big}/labels.parquet")
+    learn, held_out = fold(F.col("doc_id"), 4) != 2, fold(F.col("doc_id"), 4) == 2
+    free, held = (toxicity.fit_toxicity(docs, labels, learn=learn, penalty=p) for p in (0.0, 1.0))
+    assert held.swapped_texts > 100 and held.groups == free.groups and held.weights != free.weights
+    rows = toxicity.score_toxicity(docs, held).join(labels, "doc_id").filter(held_out).collect()
+    texts = [r["text"] for r in rows]
+    (n, before), (m, after) = toxicity.swap_gap(free, texts), toxicity.swap_gap(held, texts)
+    assert n == m > 50 and after < 0.7 * before
+    assert accuracy(rows, "toxic") > accuracy(toxicity.score_toxicity(docs, free).join(labels, "doc_id").filter(held_out).collect(), "toxic") - 0.02
+
+
+def test_drop_toxic(spark, odd):
+    rows = [(i, ("vile thing " if i % 2 else "plain words ") + str(i), "s", i) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, score long")
+    labels = frame.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    kept = toxicity.drop_toxic(frame, labels)
+    assert kept.columns == frame.columns and {r["doc_id"] for r in kept.collect()} == set(range(0, 40, 2))
+    assert toxicity.drop_toxic(odd, labels.limit(0)).count() in (0, 7) and toxicity.drop_toxic(odd.limit(0), labels).count() == 0
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(5)
     centres = rng.standard_normal((30, 16))
