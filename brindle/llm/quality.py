@@ -64,9 +64,8 @@ class Features:
 
 
 def _expand(x: np.ndarray) -> np.ndarray:
-    """Constant, features and their products, for the calibration."""
-    pairs = [x[:, i] * x[:, j] for i in range(x.shape[1]) for j in range(i, x.shape[1])]
-    return np.column_stack([np.ones(len(x)), x, *pairs])
+    """Constant and features, for the calibration: the size difference and its extremes, at like rates and lengths."""
+    return np.column_stack([np.ones(len(x)), x])
 
 
 class Scorer:
@@ -123,7 +122,8 @@ def fit_quality(
 
     The sample is bounded: at most per_class labelled ids of each class (smallest seeded hash), half of them for the
     dictionaries (pieces_per_text pieces of 2048 bytes each) and half, whole, for the calibration. Class weights
-    restore the class shares of all labelled rows. Without two classes of text the model scores everything 0.5.
+    restore the class shares of all labelled rows. The calibration is a logistic regression on the normalised size
+    difference, its least and greatest over segments, compression rates and length. Without two classes of text the model scores everything 0.5.
     learn: which label rows may be used (a condition on doc_id).
     """
     spark = docs.sparkSession
@@ -150,7 +150,7 @@ def fit_quality(
 
     rows = sorted(texts.filter(~first).mapInPandas(measure, "doc_id long, label int, x array<double>").collect())
     y = np.array([r["label"] for r in rows], dtype=float)
-    width = 1 + 6 + 21
+    width = 1 + len(Features.names)
     if len(set(y)) < 2:
         return QualityModel(made[1], made[0], (0.0,) * 6, (1.0,) * 6, (0.0,) * width)
     x = np.array([r["x"] for r in rows])

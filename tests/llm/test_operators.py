@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -140,7 +141,13 @@ def test_quality(spark, odd):
     docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
     model = quality.fit_quality(docs, labels, learn=fold(F.col("doc_id"), 5) != 0)
     held = quality.score_quality(docs, model).join(labels, "doc_id").filter(fold(F.col("doc_id"), 5) == 0).collect()
-    assert accuracy(held, "quality") > 0.9
+    assert accuracy(held, "quality") > 0.98
+    features = quality.Features(model.good, model.bad)  # sizes as zstandard gives them with either dictionary, part by part
+    for text in [r["text"] for r in held[:20]] + ["", "x" * 9000]:
+        data = text.encode()
+        parts = [data[i : i + 4096] for i in range(0, max(1, len(data)), 4096)]
+        good, bad = (sum(len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False).compress(p)) for p in parts) for d in (model.good, model.bad))
+        assert features.of(text)[0] == (bad - good) / (bad + good)
     scored = quality.score_quality(odd, model).collect()
     assert len(scored) == 7 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in scored)
     assert quality.score_quality(odd.limit(0), model).count() == 0
