@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,32 +41,37 @@ def propagate(nodes: DataFrame, quota: int, shards: int, rounds: int) -> DataFra
     """Labels (column shard) for linked documents (doc_id, g1, g2), at most about quota to a shard.
 
     A document starts at a shard of its own hash. In each round the groups' members are counted by shard, a group's
-    favourite is the shard with room that has most of its members, and documents where fewer are wish to move there;
-    wishes are granted under the quotas. Counts of a group have `shards` rows at most,
-    so a group with a third of all rows is joined as a few counted rows, never as pairs.
+    favourite is the shard with room that has most of its members (of equals one by the group's hash), and documents
+    where fewer are wish to move there. Wishes are granted as an exchange: a shard takes as many as it has room for and
+    as wish to leave it. Counts of a group have `shards` rows at most, so a group with a third of all rows is joined as
+    a few counted rows, never as pairs.
     """
     state = nodes.withColumn("shard", F.pmod(F.xxhash64(F.lit(3), "g1", "doc_id"), F.lit(shards)).cast("int"))
+    every = nodes.sparkSession.range(shards).select(F.col("id").cast("int").alias("in_shard"))
     for turn in range(rounds):
-        sizes = state.groupBy("shard").agg(F.count("*").alias("n"))
-        every = nodes.sparkSession.range(shards).select(F.col("id").cast("int").alias("in_shard"))
-        room = every.join(F.broadcast(sizes), F.col("in_shard") == F.col("shard"), "left").select("in_shard", F.greatest(F.lit(0).cast("long"), quota - F.coalesce("n", F.lit(0))).alias("room"))
-        votes = state.groupBy("g1", "g2", "shard").agg(F.count("*").alias("votes"))
+        votes = written(state.groupBy("g1", "g2", "shard").agg(F.count("*").alias("votes")), "shard-votes")
+        sizes = votes.groupBy("shard").agg(F.sum("votes").alias("n"))
+        room = every.join(F.broadcast(sizes), F.col("in_shard") == F.col("shard"), "left").select("in_shard", (quota - F.coalesce("n", F.lit(0))).alias("room"))
         # The open shard with most of a group's members; those where fewer are wish to go there.
         opened = votes.join(F.broadcast(room.filter("room > 0")), F.col("shard") == F.col("in_shard"))
-        best = opened.groupBy("g1", "g2").agg(F.max(F.struct("votes", "shard")).alias("best"))
-        wish = votes.join(best, ["g1", "g2"]).filter(F.struct("votes", "shard") < F.col("best")).select("g1", "g2", "shard", F.col("best.shard").alias("wish"))
-        wanted = state.join(wish, ["g1", "g2", "shard"], "left").select(*state.columns, "wish")
+        rank = F.struct("votes", F.xxhash64("g1", "shard").alias("lot"), "shard")
+        best = opened.groupBy("g1", "g2").agg(F.max(rank).alias("best"))
+        wish = votes.join(best, ["g1", "g2"]).filter(rank < F.col("best")).select("g1", "g2", "shard", "votes", F.col("best.shard").alias("wish"))
+        leaving = wish.groupBy("shard").agg(F.sum("votes").alias("leave"))
+        room = room.join(F.broadcast(leaving), F.col("in_shard") == F.col("shard"), "left").select("in_shard", F.greatest(F.lit(0).cast("long"), F.col("room") + F.coalesce("leave", F.lit(0))).alias("room"))
+        wanted = state.join(wish.drop("votes"), ["g1", "g2", "shard"], "left").select(*state.columns, "wish")
         moving = _quota_moves(wanted.filter("wish is not null"), room, turn)
         moved = moving.withColumn("shard", F.when(F.col("moves"), F.col("wish")).otherwise(F.col("shard"))).select(*state.columns)
         state = written(wanted.filter("wish is null").select(*state.columns).unionByName(moved), "shard-labels")
     return state
 
 
-def shard_documents(docs: DataFrame, shards: int = 24, rounds: int = 3) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 24, rounds: int = 4, slack: float = 0.25) -> DataFrame:
     """Puts every row of docs (doc_id, text) into one of `shards` shards whose row counts differ by one at most.
 
-    Documents with equal texts are linked. Linked documents get labels by propagate(); documents without links fill
-    the room that is left; then all rows are numbered in the order of their labels and groups and cut into equal
+    Documents with equal texts are linked. Linked documents get labels by propagate(), under quotas `slack` above the
+    even size, as labels only bring a group's documents together; documents without links fill the room that is left;
+    then all rows are numbered in the order of their labels and groups and cut into equal
     ranges, so a group is cut only where it is larger than a shard's room or lies across a range's end. Null texts are
     empty (and so equal); a null doc_id is a document like others; repeated rows are documents of their own; an empty
     table gives an empty result; with fewer rows than shards some shards stay empty.
@@ -83,7 +90,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, rounds: int = 3) -> DataF
     quota = max(1, -(-total // shards))
     largest = counted.agg(F.max("n")).first()[0] or 1
     # A group that is larger than a shard fills one shard after the other.
-    linked = propagate(nodes.join(linked_groups, ["g1", "g2"], "left_semi"), quota, shards, rounds + min(shards, (largest // quota) * 2))
+    linked = propagate(nodes.join(linked_groups, ["g1", "g2"], "left_semi"), math.ceil(quota * (1 + slack)), shards, rounds + min(shards, (largest // quota) * 2))
     single = nodes.join(linked_groups, ["g1", "g2"], "left_anti")
     # Documents without links go where room is left, by a hash: bounds has a row for each shard.
     sizes = {r["shard"]: r["n"] for r in linked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
@@ -96,8 +103,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, rounds: int = 3) -> DataF
         filled = F.when(chance < upto / whole, F.lit(k)).otherwise(filled)
     placed = linked.unionByName(single.withColumn("shard", filled.cast("int")).select(*linked.columns))
     placed = placed.withColumn("cell", F.pmod(F.xxhash64(F.lit(5), "g1", "g2"), F.lit(8 * CELLS)).cast("int"))
-    # Within a cell rows go by group; only cells above the target are dealt further.
-    order = positions(placed, ["shard", "cell"], [F.col("g1"), F.col("g2"), F.col("doc_id")], target=max(500, total // 20_000))
+    order = positions(placed, ["shard", "cell"], ["g1", "g2"], [F.col("doc_id")], target=max(500, total // 20_000))
     small, more = divmod(total, shards)
     head = more * (small + 1)  # the first `more` shards have a row more
     at = F.col("position")

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from brindle.llm import components, fingerprints, html_extract, mixing, packing, partenum, quality, routing, rp_forest, sharding, toxicity, warc, words
+from brindle.llm import components, fingerprints, html_extract, mixing, numbering, packing, partenum, quality, routing, rp_forest, sharding, toxicity, warc, words
 from brindle.llm.common import fold
 from tests.conftest import DATA
 
@@ -98,6 +98,33 @@ def test_shards(spark, docs, odd):
     assert sharding.shard_documents(odd, 3).count() == 7 and sharding.shard_documents(odd.limit(0), 3).count() == 0
 
 
+@pytest.mark.parametrize("linked, copies", [(1.0, 2), (0.9, 5)])
+def test_linked_documents_stay_together(spark, linked, copies):
+    n = 6000
+    text = F.when(F.col("id") < int(n * linked), F.floor(F.col("id") / copies)).otherwise(F.col("id") + n).cast("string")
+    rows = sharding.shard_documents(spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text")), 24).collect()
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups[r["text_crc32"]].append(r["shard"])
+    cut = sum(len(set(g)) > 1 for g in groups.values())
+    rnd = random.Random(3)
+    dealt = sum(len({rnd.randrange(24) for _ in g}) > 1 for g in groups.values())
+    assert cut <= 0.01 * n / copies + 23 < 0.2 * dealt  # 23 ends of ranges; dealt: by lot alone
+
+
+def test_one_group_is_cut_where_ranges_meet(spark):
+    rows = spark.range(40_000).select((F.col("id") % 2).cast("int").alias("cell"), F.floor(F.col("id") / 8).alias("g"), "id")
+    placed = numbering.positions(rows, ["cell"], ["g"], [F.col("id")], 500).collect()
+    assert sorted(r["position"] for r in placed) == list(range(40_000))
+    at = collections.defaultdict(list)
+    for r in placed:
+        at[r["cell"], r["g"]].append(r["position"])
+    assert all(max(p) - min(p) == len(p) - 1 for p in at.values())  # side by side
+    hot = numbering.positions(rows.withColumn("g", F.when(F.col("id") < 15_000, F.lit(-1)).otherwise(F.col("g"))), ["cell"], ["g"], [F.col("id")], 500).collect()
+    own = sorted(r["position"] for r in hot if r["g"] == -1 and r["cell"] == 0)
+    assert own[-1] - own[0] == len(own) - 1
+
+
 def test_water_filling():
     rnd = random.Random(2)
     for _ in range(200):
