@@ -7,7 +7,9 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,8 +134,8 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    rows = column.to_pylist()
-    return _unit(np.array(rows, dtype=float))
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return _unit(flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1))
 
 
 def forest_links(nodes: DataFrame, sizes: list[tuple[str, int, int]], least: float, trees: int, leaf: int, spill: float, seed: int, sample_rows: int, recall: float) -> DataFrame:
@@ -156,12 +158,15 @@ def forest_links(nodes: DataFrame, sizes: list[tuple[str, int, int]], least: flo
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            frame = batch.to_pandas()
+            vec = batch.column("vec")
+            groups = pd.DataFrame({"label": batch.column("label").to_pandas(), "width": pc.list_value_length(vec).to_numpy(zero_copy_only=False)}).groupby(["label", "width"]).indices
             out: list[tuple] = []
-            for (label, width), part in frame.groupby(["label", frame["vec"].map(len)]):
-                at = part.index.to_numpy()
-                unit = _unit(np.stack(part["vec"].to_numpy()).astype(float)) if (label, width) in grown else np.zeros((len(at), 0))
-                for tree in range(grown.get((label, width), trees)):
+            for (label, width), at in groups.items():
+                if (label, width) not in grown:  # all trees of a small label in one task: its vectors are sent once
+                    out += [(f"{label}\t{width}\t", int(r)) for r in at]
+                    continue
+                unit = _matrix(vec.take(pa.array(at)))
+                for tree in range(grown[label, width]):
                     for path, rows in descend(unit, plans.get((label, width, tree), {}), seed, f"{tree}:"):
                         out += [(f"{label}\t{width}\t{path}", int(at[r])) for r in rows]
             take = pa.array([r for _, r in out], pa.int64())
@@ -172,8 +177,9 @@ def forest_links(nodes: DataFrame, sizes: list[tuple[str, int, int]], least: flo
         ids, unit = group.column("id").to_numpy(), _matrix(group.column("vec"))
         path = group.column("node")[0].as_py().rsplit("\t", 1)[1]
         links: set[tuple[int, int]] = set()
-        for rows in leaves(unit, seed, path, leaf, spill):
-            links.update(spanning_links(unit, rows, least))
+        for start in [path] if path else [f"{tree}:" for tree in range(trees if len(ids) > leaf else 1)]:
+            for rows in leaves(unit, seed, start, leaf, spill):
+                links.update(spanning_links(unit, rows, least))
         return pa.table({"a": pa.array([int(ids[a]) for a, _ in links], pa.int64()), "b": pa.array([int(ids[b]) for _, b in links], pa.int64())})
 
     return nodes.mapInArrow(place, "node string, id long, vec array<double>").groupBy("node").applyInArrow(compare, "a long, b long")

@@ -271,6 +271,28 @@ def test_trees_grow_with_depth(spark):
     assert max(map(len, rp_forest.leaves(rp_forest._unit(dense), 1, "0:", 64, 0.1))) <= 64
 
 
+@pytest.mark.parametrize("rows", [10**5, 10**6, 10**8])
+def test_planned_trees_reach_the_recall_at_depth(rows):
+    """Pairs at the threshold of random unit vectors descend as the trees would split them: medians are 0, the spread is 1."""
+    rng = np.random.default_rng(rows)
+    n, width, leaf, least = 400, 64, 512, 0.93
+    spill = rp_forest.pair_distance(least) / 4
+    trees = rp_forest.trees_needed(rows, leaf, 1.0, spill, least, 0.95)
+    x = rng.standard_normal((n, width)) / np.sqrt(width)
+    y = least * x + np.sqrt(1 - least**2) * rng.standard_normal((n, width)) / np.sqrt(width)
+    share = 0.5 + (2 * math.erf(spill / math.sqrt(2)) / 2) / 2  # of its rows that a side gets
+    levels = math.ceil(math.log(rows / leaf) / -math.log(min(share, rp_forest.SIDE)))
+    found = np.zeros(n, bool)
+    for _ in range(trees):
+        together = np.ones(n, bool)
+        for _ in range(levels):
+            d = rng.standard_normal((width, 1))
+            p, q = (x @ d)[:, 0], (y @ d)[:, 0]
+            together &= (np.maximum(p, q) < spill) | (np.minimum(p, q) >= -spill)
+        found |= together
+    assert found.mean() >= 0.9
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = spark.read.parquet(f"{DATA}/pages.parquet").select("page_id", "url", "html")
     odd = [(900, None, None), (901, "a\nb", ""), (None, "x", "zz"), (5000, "y", "zz"), (902, "q", "WARC/1.1\r\n\r\nx"), (903, "q", "é" * 100_000)]
