@@ -40,6 +40,15 @@ MARKS = re.compile(
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 COMMENT_MARKS = re.compile(r"(?:^|[\s_-])(?:comment\w*|repl(?:y|ies)|respond|related|recommend\w*|teaser|promo\w*|sponsor\w*|ads?|advert\w*)(?:$|[\s_-])", re.I)
+#: Inside an article or main element only these mark a container, and its text blocks are marked by adverts alone.
+INNER_MARKS = re.compile(
+    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice\w*|alert\w*|popup|modal|overlay|newsletter|subscribe|signup|login|"
+    r"nav\w*|menu\w*|breadcrumb\w*|pagination|pager|sidebar\w*|aside|widget\w*|recommend\w*|share\w*|sharing|social\w*|comments?|comment-?(?:list|section|area|form|thread)s?|disqus|respond|footer\w*|"
+    r"related(?=$|\s|[_-](?:posts?|articles?|links?|stor(?:y|ies)|content|items?|reading|news))|hidden|sr-only|navigation|complementary|contentinfo|search)(?:$|[\s_-])",
+    re.I,
+)
+ADVERT = re.compile(r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|sponsored|hidden|sr-only)(?:$|[\s_-])", re.I)
+TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "blockquote", "pre", "figcaption", "td", "th", "span", "em", "strong", "b", "i", "a", "code"}
 #: Marked elements of these kinds hold no main text of their own, however long they are ("no-comments" says nothing).
 ASIDES = re.compile(
     r"(?<!\bno)(?<!\bhas)(?<!\bwith)(?:^|[\s_-])(?:comment\w*|disqus|repl(?:y|ies)|respond|notice\w*|cookie\w*|consent|gdpr|alert\w*|popup|modal|overlay|disclaimer)(?:$|[\s_-])",
@@ -58,6 +67,7 @@ LABELLED = 0.4
 class Weights:
     """Scores of tokens: words by their surroundings (positive in text), tags by name (never positive).
 
+    Boilerplate inside the labelled region, or anywhere on a page without one, counts 0: it is skipped and ends no text.
     linked is for words of links on pages without a labelled region; inside one they count as text.
     outside is for words outside the labelled region of a page that has one, where tags inside it weigh little.
     """
@@ -79,7 +89,7 @@ class Token:
     linked: bool = False
     boiler: bool = False
     labelled: bool = False
-    marks: tuple[int, ...] = ()
+    mark: int = 0  # the innermost marked element around it, 0 for none
 
 
 def _marked(name: str, attributes: str, in_content: bool) -> bool:
@@ -89,7 +99,7 @@ def _marked(name: str, attributes: str, in_content: bool) -> bool:
         return not in_content  # an article's own header holds its title
     if not attributes or name in ("html", "body"):
         return False
-    marks = COMMENT_MARKS if name in CONTENT else MARKS
+    marks = COMMENT_MARKS if name in CONTENT else MARKS if not in_content else ADVERT if name in TEXT_BLOCKS else INNER_MARKS
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), next((v for v in m.groups()[1:] if v is not None), "")
         if key in ("class", "id", "role", "aria-label") and marks.search(value):
@@ -101,47 +111,68 @@ def _marked(name: str, attributes: str, in_content: bool) -> bool:
     return False
 
 
-def _raw_tokens(page: str) -> Iterator[tuple[Token, int]]:
-    """Words and tags in order; with the start of an element that is marked as boilerplate comes its number, else 0."""
-    stack: list[tuple[str, int, bool]] = []  # name, number of a marked element or 0, content element
-    at = hidden = numbers = 0
-    marks: tuple[int, ...] = ()
+def _names(attributes: str) -> Iterator[str]:
+    """Values of the attributes that name what an element is for."""
+    for m in ATTRIBUTE.finditer(attributes):
+        if m[1].lower() in ("class", "id", "role", "aria-label"):
+            yield next((v for v in m.groups()[1:] if v is not None), "")
+
+
+def _raw_tokens(page: str, parents: list[int]) -> Iterator[tuple[Token, int]]:
+    """Words and tags in order; with the start of an element that is marked as boilerplate comes its number, else 0.
+
+    parents gets the enclosing marked element of each, by number. Nothing is looked for in the stack of open elements,
+    so the time is in proportion to the page however deep it is nested.
+    """
+    stack: list[tuple[str, int]] = []  # name, number of a marked element or 0
+    opened: Counter = Counter()
+    at = hidden = content = mark = 0
+
+    def left(name: str, own: int) -> None:
+        nonlocal hidden, content, mark
+        opened[name] -= 1
+        hidden -= name in HIDDEN
+        content -= name in CONTENT
+        mark = parents[own] if own else mark
+
     while m := TOKEN.match(page, at):
         at = m.end()
         name = (m[2] or "").lower()
         if not name:
             if not hidden and (m[0][0] != "<" or len(m[0]) == 1):
-                yield Token("word", "", m[0], len(m[0].split()), any(s[0] == "a" for s in stack), False, any(s[2] for s in stack), marks), 0
+                yield Token("word", "", m[0], len(m[0].split()), opened["a"] > 0, False, content > 0, mark), 0
             continue
-        content = any(s[2] for s in stack)
         if m[1]:
-            if any(s[0] == name for s in stack):
+            inside, own = content > 0, mark
+            if opened[name] > 0:
                 while stack:
                     top = stack.pop()
-                    hidden -= top[0] in HIDDEN
+                    left(*top)
                     if top[0] == name:
                         break
-            yield Token("close", name, labelled=content, marks=marks), 0
-            marks = tuple(s[1] for s in stack if s[1])
+            yield Token("close", name, labelled=inside, mark=own), 0
             continue
         if name in RAW:
             end = re.compile(rf"</{name}\s*[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if name == "body":
-            stack = [s for s in stack if s[0] not in HIDDEN]
-            hidden = 0
+        if name == "body" and hidden:
+            kept = [s for s in stack if s[0] not in HIDDEN]
+            for top in reversed([s for s in stack if s[0] in HIDDEN]):
+                left(top[0], 0)
+            stack = kept
         while stack and name in CLOSED_BY.get(stack[-1][0], ()):
-            stack.pop()
-        own = 0
+            left(*stack.pop())
+        own, inside = 0, content > 0
         if name not in VOID:
-            if _marked(name, m[3] or "", content):
-                numbers += 1
-                own = numbers
-            stack.append((name, own, name in CONTENT))
+            if _marked(name, m[3] or "", inside):
+                parents.append(mark)
+                own = mark = len(parents) - 1
+            stack.append((name, own))
+            opened[name] += 1
             hidden += name in HIDDEN
-        marks = tuple(s[1] for s in stack if s[1])
-        yield Token("open", name, m[3] or "" if own else "", labelled=content, marks=marks), own
+            content += name in CONTENT
+        yield Token("open", name, m[3] or "" if own else "", labelled=inside, mark=mark), own
 
 
 def tokens_of(page: str) -> list[Token]:
@@ -151,33 +182,42 @@ def tokens_of(page: str) -> list[Token]:
     most words, if there is no running text outside of marks and it is no aside, comments or notice.
     """
     tokens = []
-    words: Counter = Counter()
+    parents = [0]
+    own_words: Counter = Counter()
     wraps: set[int] = set()
     total = running = 0
     firm: set[int] = set()
     asides: set[int] = set()
     free_article = False
-    for t, own in _raw_tokens(page):
+    for t, own in _raw_tokens(page, parents):
         tokens.append(t)
         if own and t.name in FIRM:
             firm.add(own)
-        if own and (t.name == "aside" or any(m[1].lower() in ("class", "id", "role", "aria-label") and ASIDES.search(next((v for v in m.groups()[1:] if v is not None), "")) for m in ATTRIBUTE.finditer(t.text))):
+        if own and (t.name == "aside" or any(ASIDES.search(v) or ADVERT.search(v) for v in _names(t.text))):
             asides.add(own)
         total += t.words
-        if not t.marks and not t.linked and t.words >= RUN:
+        if not t.mark and not t.linked and t.words >= RUN:
             running += t.words
-        for k in t.marks:
-            words[k] += t.words
+        own_words[t.mark] += t.words
         if t.kind == "open" and t.name in CONTENT:
-            wraps.update(t.marks[:-1] if t.labelled or own in asides else t.marks)
-            free_article |= not t.marks
-    plain = set() if free_article else {k for k in wraps if words[k] > (1 - WRAPPER) * total and (k not in asides or running < RUNNING)}
+            wraps.add(parents[t.mark] if t.labelled or own in asides else t.mark)
+            free_article |= not t.mark
+    # An element's words and articles are its parents' too; numbers ascend inwards.
+    words = [own_words[k] for k in range(len(parents))]
+    for k in range(len(parents) - 1, 0, -1):
+        words[parents[k]] += words[k]
+        if k in wraps:
+            wraps.add(parents[k])
+    plain = set() if free_article else {k for k in wraps if k and words[k] > (1 - WRAPPER) * total and (k not in asides or running < RUNNING)}
     if running < RUNNING:
-        plain |= {k for k in words if words[k] > WRAPPER * total and k not in asides}
+        plain |= {k for k in range(1, len(parents)) if words[k] > WRAPPER * total and k not in asides}
     plain -= firm
+    boiler = [False] * len(parents)
+    for k in range(1, len(parents)):
+        boiler[k] = boiler[parents[k]] or k not in plain
     labelled = free = 0
     for t in tokens:
-        t.boiler = any(k not in plain for k in t.marks)
+        t.boiler = boiler[t.mark]
         if not t.boiler:
             free += t.words
             labelled += t.words * t.labelled
@@ -193,11 +233,11 @@ def _scores(tokens: list[Token], weights: Weights) -> list[float]:
     out = []
     for t in tokens:
         if t.kind == "word":
-            each = weights.boiler if t.boiler else weights.word if t.labelled else weights.outside if regions and not t.labelled else weights.linked if t.linked else weights.word
+            each = 0.0 if t.boiler and (t.labelled or not regions) else weights.boiler if t.boiler else weights.word if t.labelled else weights.outside if regions and not t.labelled else weights.linked if t.linked else weights.word
             out.append(t.words * each)
         else:
             score = max(tags.get(t.name, weights.tag), -0.2 if t.name in INLINE else -1.0)
-            out.append(max(score, -0.1) if t.labelled else max(score, weights.boiler) if t.boiler else score)
+            out.append(0.0 if t.boiler and (t.labelled or not regions) else max(score, -0.1) if t.labelled else max(score, weights.boiler) if t.boiler else score)
     return out
 
 

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -61,6 +62,41 @@ def test_short_articles():
     assert got == f"Opening words in a link\n{text}\nfirst source of these words\nsecond source of these words"
 
 
+def test_the_whole_article_stays():
+    w = html_extract.Weights()
+    advert = '<div class="ad">' + "buy now " * 18 + "</div>"
+    for start, end in (("<article>", "</article>"), ("<div>", "</div>")):
+        got = html_extract.extract(f"<body>{start}<h1>A fine title here</h1>{advert}<p>Then the text of the article goes on for a while.</p>{end}</body>", w)
+        assert got == "A fine title here\nThen the text of the article goes on for a while."
+    for name in ("legal", "reply", "meta", "tags", "related-work"):
+        got = html_extract.extract(f'<body><article><p>First text here.</p><p class="{name}">Second text.</p><div class="{name}">Third text.</div></article></body>', w)
+        assert got == "First text here.\nSecond text.\nThird text."
+    for name in ("related-posts", "newsletter-box", "share-buttons", "comments", "sidebar", "cookie-notice"):
+        assert html_extract.extract(f'<body><article><p>First text here.</p><div class="{name}">Second text.</div></article></body>', w) == "First text here."
+    links = "".join(f"<li><a href={i}>source number {i}</a></li>" for i in range(30))
+    assert html_extract.extract(f"<body><article><p>First text here.</p><ul>{links}</ul></article></body>", w).count("\n") == 30
+
+
+def test_deep_pages_take_linear_time():
+    def seconds(n: int) -> float:
+        start = time.process_time()
+        page = "<body><article>" + '<div class="ad">' * n + "x" + "</div>" * n + "<p>text of the article</p></article>" + "<div>" * n + "</body>"
+        assert html_extract.extract(page, html_extract.Weights()).startswith("text of the article")
+        return time.process_time() - start
+
+    assert seconds(100_000) < 12 * max(0.05, seconds(12_500))
+
+
+def test_pages_without_article_tags(spark):
+    """The tags that label the text are taken away: what is left decides nearly as well."""
+    shares = []
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect():
+        page = r["html"] or ""
+        one, two = (collections.Counter(html_extract.extract(p, html_extract.Weights()).split()) for p in (page, re.sub(r"</?(article|main)\b[^>]*>", "", page)))
+        shares.append(2 * sum((one & two).values()) / max(1, sum(one.values()) + sum(two.values())))
+    assert np.mean(shares) > 0.98
+
+
 def test_best_region():
     rnd = random.Random(1)
     for _ in range(200):
