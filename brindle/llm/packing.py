@@ -26,6 +26,13 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 TOGETHER = ("  ", " \n", "\n ", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
 IDS = np.dtype("<u4")
 COUNTS = np.dtype("<u4")
+
+
+def stored(size: int) -> np.dtype:
+    """How ids of a vocabulary of this size are written."""
+    return np.dtype("<u2") if size <= 1 << 16 else IDS
+
+
 MEMO = 400_000
 K1, B = 1.2, 0.75
 
@@ -189,6 +196,7 @@ def _crc(ids: np.ndarray) -> int:
 def tokenised(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame:
     """For each row of docs: its token count, the checksums of its full windows, its last ids, and its terms with counts."""
     vocabulary = byte_level_vocabulary(path)
+    kind = stored(vocabulary.size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
@@ -200,7 +208,7 @@ def tokenised(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame
                 ids = np.append(own, end)
                 full = len(ids) // window * window
                 terms, counts = np.unique(ids[:-1], return_counts=True)
-                rows.append((doc_id, len(ids), [_crc(ids[i : i + window]) for i in range(0, full, window)], ids[full:].tobytes(), terms.tobytes(), counts.astype(COUNTS).tobytes()))
+                rows.append((doc_id, len(ids), [_crc(ids[i : i + window]) for i in range(0, full, window)], ids[full:].astype(kind).tobytes(), terms.astype(kind).tobytes(), counts.astype(COUNTS).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(TOKENS)], schema=TOKENS)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, tokens long, blocks array<long>, tail binary, terms binary, counts binary")
@@ -212,7 +220,7 @@ def term_weights(table: DataFrame, size: int) -> tuple[np.ndarray, float]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(size, np.int64)
         for batch in batches:
-            parts = [np.frombuffer(t, IDS) for t in batch.column("terms").to_pylist()]
+            parts = [np.frombuffer(t, stored(size)) for t in batch.column("terms").to_pylist()]
             if parts:
                 seen += np.bincount(np.concatenate(parts), minlength=size)
         at = np.flatnonzero(seen)
@@ -316,14 +324,17 @@ def fill_windows(index: ShardIndex, lengths: np.ndarray, window: int) -> list[li
 def routed(table: DataFrame, idf: np.ndarray, documents: int, shard_documents: int, sample_documents: int, seed: int) -> DataFrame:
     """table with the shard of every document: lexical clusters, those of more than 1.5 * shard_documents dealt to pieces by a hash.
 
-    Clusters are fitted on sample_documents documents at most (smallest seeded hash); every document is routed.
+    Clusters are fitted on about sample_documents documents (those of small hash, 2 * sample_documents at most); every
+    document is routed.
     """
-    sample = table.orderBy("spot").select("terms", "counts").limit(sample_documents).collect()
-    router = fit_router([np.frombuffer(r["terms"], IDS) for r in sample], [np.frombuffer(r["counts"], COUNTS) for r in sample], idf, documents, shard_documents, seed)
+    kind = stored(len(idf))
+    low = int(min(1.0, sample_documents / max(1, documents)) * (1 << 62)) - (1 << 61)
+    sample = table.filter(F.shiftright("spot", 2) <= low).select("terms", "counts").limit(2 * sample_documents).collect()
+    router = fit_router([np.frombuffer(r["terms"], kind) for r in sample], [np.frombuffer(r["counts"], COUNTS) for r in sample], idf, documents, shard_documents, seed)
 
     @F.pandas_udf("long")
     def leaf(terms: pd.Series, counts: pd.Series) -> pd.Series:
-        return pd.Series(router.leaves([np.frombuffer(t, IDS) for t in terms], [np.frombuffer(c, COUNTS) for c in counts]))
+        return pd.Series(router.leaves([np.frombuffer(t, kind) for t in terms], [np.frombuffer(c, COUNTS) for c in counts]))
 
     found = table.withColumn("leaf", leaf("terms", "counts"))
     sizes = sorted((r["leaf"], r["count"]) for r in found.groupBy("leaf").count().collect())  # a row for each cluster
@@ -336,7 +347,7 @@ def routed(table: DataFrame, idf: np.ndarray, documents: int, shard_documents: i
     return found.join(places, "leaf").withColumn("shard", F.col("first") + F.pmod("spot", "pieces")).drop("leaf", "first", "pieces")
 
 
-def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, shard_documents: int = 2048, sample_documents: int = 8192, seed: int = 29) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, shard_documents: int = 2048, sample_documents: int = 4096, seed: int = 29) -> DataFrame:
     """Packs the ids of every row of docs (doc_id, text) into sequences of at most `window` ids.
 
     A document's ids are those of its whole text and end_id (a null text is empty and gives end_id alone). Full
@@ -352,15 +363,17 @@ def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int =
     small_batches(docs.sparkSession, 256)
     tokens = tokenised(docs, path, window, end_id).withColumn("spot", F.xxhash64(F.lit(seed), "doc_id", F.monotonically_increasing_id()))
     table = written(tokens, "pack-tokens")
-    idf, mean = term_weights(table, byte_level_vocabulary(path).size)
+    size = byte_level_vocabulary(path).size
+    kind = stored(size)
+    idf, mean = term_weights(table, size)
     total = table.count()
     sharded = routed(table, idf, total, shard_documents, sample_documents, seed)
 
     def pack(group: pa.Table) -> pa.Table:
         rows = sorted(group.to_pylist(), key=lambda r: (r["spot"], r["doc_id"] is None, r["doc_id"], r["tail"]))
-        tails = [np.frombuffer(r["tail"], IDS) for r in rows]
+        tails = [np.frombuffer(r["tail"], kind) for r in rows]
         lengths = np.array([r["tokens"] for r in rows], np.float32)
-        index = ShardIndex([np.frombuffer(r["terms"], IDS) for r in rows], [np.frombuffer(r["counts"], COUNTS) for r in rows], lengths, idf, mean)
+        index = ShardIndex([np.frombuffer(r["terms"], kind) for r in rows], [np.frombuffer(r["counts"], COUNTS) for r in rows], lengths, idf, mean)
         sequence = rows[0]["shard"] << 32
         out: list[tuple] = []
         for r in rows:

@@ -27,8 +27,7 @@ def centres(x: np.ndarray, k: int, seed: int, rounds: int = 8) -> np.ndarray:
     c = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
         near = (x @ c.T).argmax(axis=1)
-        sums = np.zeros_like(c)
-        np.add.at(sums, near, x)
+        sums = np.stack([x[near == k].sum(axis=0) for k in range(len(c))])
         size = np.linalg.norm(sums, axis=1, keepdims=True)
         c = np.where(size > 0, sums / np.maximum(size, 1e-9), c).astype(np.float32)
     return c
@@ -57,7 +56,7 @@ def fit_router(terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarra
     """Clusters of about `leaf` of all documents each, UPPER * LOWER at most, fitted on a sample of them."""
     if not terms:
         return Router(np.zeros((1, DIMS), np.float32), (np.zeros((1, DIMS), np.float32),), idf)
-    x = bags(terms, counts, idf)
+    x = np.concatenate([bags(terms[a : a + 256], counts[a : a + 256], idf) for a in range(0, len(terms), 256)])
     wanted = max(1, documents // leaf)
     upper = centres(x, min(UPPER, wanted), seed)
     near = (x @ upper.T).argmax(axis=1)
