@@ -13,8 +13,8 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def l2_normalize(c: Column) -> Column:
-    norm = F.sqrt(dot(c, c))
-    return F.transform(c, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(0.0))
+    by = F.array(F.sqrt(dot(c, c)))  # bound once, not for each component
+    return F.element_at(F.transform(by, lambda norm: F.transform(c, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(0.0))), 1)
 
 
 def median_signature(c: Column) -> Column:
@@ -22,8 +22,8 @@ def median_signature(c: Column) -> Column:
     ordered = F.array_sort(F.transform(c, lambda x: x.cast("double")))
     n = F.size(c)
     half = F.floor(n / 2).cast("int")
-    median = (F.element_at(ordered, half) + F.element_at(ordered, half + 1)) / 2
-    bits = F.transform(c, lambda x, i: F.when(x.cast("double") > median, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    by = F.transform(F.array(ordered), lambda s: (F.element_at(s, half) + F.element_at(s, half + 1)) / 2)  # sorted once
+    bits = F.element_at(F.transform(by, lambda median: F.transform(c, lambda x, i: F.when(x.cast("double") > median, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))), 1)
     return F.aggregate(bits, F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(x))
 
 
@@ -53,7 +53,7 @@ class Preset:
 
 # The four presets of the surveyed jobs.
 PRESETS = {
-    "gta": Preset((800, 430), (1.30, 2.40), (10, 247), 15, 12, 0.62, ((16, -2.0), (25, 0.965)), (0.36, 0.64), (0.82, 0.18), {"log_area": 1.0, "log_sharpness": 0.7, "contrast": 0.012}),
+    "game": Preset((800, 430), (1.30, 2.40), (10, 247), 15, 12, 0.62, ((16, -2.0), (25, 0.965)), (0.36, 0.64), (0.82, 0.18), {"log_area": 1.0, "log_sharpness": 0.7, "contrast": 0.012}),
     "crawl": Preset((320, 180), None, (10, 247), 14, 10, 0.68, ((9, 0.91),), (0.55, 0.45), (0.74, 0.26), {"log_sharpness": 1.8, "contrast": 0.03, "saturation": 0.009, "center_activity": 9, "menu_penalty": -16}),
     "site": Preset((960, 540), (0.72, 2.45), (12, 245), 17, 20, 0.62, ((10, 0.90),), (0.55, 0.45), (0.72, 0.28), {"log_sharpness": 1.9, "contrast": 0.03, "saturation": 0.01, "center_activity": 10, "menu_penalty": -20}),
     "hd": Preset((960, 540), None, (12, 245), 18, 22, 0.58, ((10, 0.90),), (0.55, 0.45), (0.76, 0.24), {"log_sharpness": 1.7, "contrast": 0.025, "saturation": 0.008, "colorfulness": 0.012, "entropy": 2.2, "center_activity": 8, "menu_penalty": -18, "brightness_off": -2}),
@@ -63,7 +63,7 @@ PRESETS = {
 def quality_score(preset: str) -> Column:
     """The preset's weighted sum over feature columns (width, height, sharpness, contrast and so on)."""
     terms = {
-        "log_area": F.log1p(F.col("width") * F.col("height")) if preset == "gta" else None,
+        "log_area": F.log1p(F.col("width") * F.col("height")) if preset == "game" else None,
         "log_sharpness": F.log1p("sharpness"),
         "brightness_off": F.abs(F.col("brightness") - 125) / 125 if preset == "hd" else None,
     }

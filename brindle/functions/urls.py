@@ -61,6 +61,11 @@ def prefer_urls(c: Column, content: str = "/content/images/") -> Column:
     return F.transform(F.array_sort(keyed), lambda s: s["u"])
 
 
+def ordered_distinct(c: Column) -> Column:
+    """U4: an array of URLs, each where it stands first."""
+    return F.array_distinct(c)
+
+
 def host_suffixes(host: Column) -> Column:
     """a.b.c, b.c and c for the host a.b.c."""
     parts = F.split(host, r"\.")

@@ -204,6 +204,12 @@ def logs_of_email(logs: DataFrame, leads: DataFrame, emails: DataFrame) -> DataF
     return logs.join(own, "lead_id", "left_semi")
 
 
+def add_links(df: DataFrame, base: str, tracked: Column) -> DataFrame:
+    """tracking_url (where wanted, by log_id) and unsubscribe_url (by lead_id)."""
+    link = lambda kind, key: F.concat(F.lit(f"{base}/{kind}/"), F.col(key).cast("string"))
+    return df.withColumn("tracking_url", F.when(tracked, link("t", "log_id"))).withColumn("unsubscribe_url", link("unsub", "lead_id"))
+
+
 def fan_out_by_email(events: DataFrame, leads: DataFrame) -> DataFrame:
     """An event of one lead for every lead of the same address."""
     address = events.join(leads.select("lead_id", "email"), "lead_id").withColumnRenamed("lead_id", "source_lead")

@@ -81,6 +81,11 @@ def match_entities(texts: DataFrame, entities: DataFrame, text_col: str = "text"
     return texts.join(small, alias_match(F.col(text_col), F.col("aliases")) & ~reject_match(F.col(text_col), F.col("rejects")))
 
 
+def payload_gate(df: DataFrame, content_type: str, size: str, least: int = 8000, most: int = 25_000_000) -> DataFrame:
+    """P20: rows whose content type names an image and whose size is in the limits; nulls do not pass."""
+    return df.filter(F.contains(F.lower(content_type), F.lit("image")) & F.col(size).between(least, most))
+
+
 def curate_candidates(candidates: DataFrame, domains: DataFrame, aliases: Sequence[str], deny: Sequence[str], by: str, cap: int) -> DataFrame:
     """Trusted candidates (image_url, page_url, title) that match an alias, hold no denied word, once, up to a cap."""
     rows = trusted_domain_join(candidates, "page_url", domains)
@@ -103,9 +108,13 @@ def build_manifest(df: DataFrame, by: Sequence[str], order: Sequence[Column], me
     return out.withColumns({c: F.round(c, digits) for c, digits in metrics.items()})
 
 
-def build_sources(hits: DataFrame, by: str) -> DataFrame:
-    """The collected sources of each group as one ordered array."""
-    return hits.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("item_id", "title", "channel"))).alias("sources"))
+def build_sources(hits: DataFrame, by: str, chunks: int = 256) -> DataFrame:
+    """The collected sources of each group in ordered arrays, one for each of `chunks` parts of its items.
+
+    Parts are chosen by a hash of the item, so a group with most of the rows is no single array; no source is left out.
+    """
+    part = F.pmod(F.xxhash64("item_id"), F.lit(chunks)).cast("int").alias("chunk")
+    return hits.groupBy(by, part).agg(F.array_sort(F.collect_list(F.struct("item_id", "title", "channel"))).alias("sources"))
 
 
 def primary_or_fallback(primary: DataFrame, fallback: DataFrame, key: str) -> DataFrame:

@@ -40,11 +40,16 @@ def patch(base: DataFrame, patches: DataFrame, key: str, fields: Sequence[str])
     return both.select(*[F.when(F.col(f"_has_{c}"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c) for c in base.columns])
 
 
-def replace_children(children: DataFrame, parents: DataFrame, key: str, items: str, number: str) -> DataFrame:
+def replace_children(children: DataFrame, parents: DataFrame, key: str, items: str, number: str, filled: str | None = None, defaults: Mapping[str, object] | None = None) -> DataFrame:
     """M4: all children of the given parents replaced by the items of their arrays, numbered from 1; others stay.
 
-    Items are structs with the other columns of children. An empty array leaves a parent without children.
+    Items are structs with the other columns of children. Items whose column `filled` is null or blank are skipped, and
+    nulls of the columns in `defaults` get the default. An empty array leaves a parent without children.
     """
+    if filled:
+        parents = parents.withColumn(items, F.filter(items, lambda x: F.trim(F.coalesce(x[filled], F.lit(""))) != ""))
+    for c, value in (defaults or {}).items():
+        parents = parents.withColumn(items, F.transform(items, lambda x, c=c, value=value: x.withField(c, F.coalesce(x[c], F.lit(value)))))
     new = parents.select(key, F.posexplode(items).alias("_pos", "_item")).select(key, (F.col("_pos") + 1).alias(number), "_item.*")
     return children.join(parents.select(key), key, "left_anti").unionByName(new.select(*children.columns))
 
@@ -65,6 +70,11 @@ def delete_cascade(tables: Mapping[str, DataFrame], root: str, keys: DataFrame,
     return out
 
 
+def replied_leads(leads: DataFrame, events: DataFrame) -> DataFrame:
+    """M6: how many leads replies (lead_id, ts) affect, in one row."""
+    return fan_out_by_email(events, leads).agg(F.countDistinct("lead_id").alias("affected"))
+
+
 def apply_replies(leads: DataFrame, logs: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M6: leads and log rows after replies (lead_id, ts): every lead of the address is done, its last log row replied.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.numbers import norm_bonus, to_double_strict
@@ -118,16 +118,29 @@ def priors_qa(cells: DataFrame, buyers: DataFrame, values: DataFrame) -> DataFra
     return parts[0].crossJoin(parts[1]).crossJoin(parts[2])  # one row each
 
 
-def profile_table(df: DataFrame, max_cols: int = 40, cap: int = 1000, approximate: bool = False) -> DataFrame:
-    """For each of the first columns: rows, values that say nothing, and distinct trimmed values up to a cap."""
+def profile_table(df: DataFrame, max_cols: int = 40, cap: int = 1000, approximate: bool = False, order: Column | None = None, sample_cols: int = 25, samples: int = 3) -> DataFrame:
+    """For each of the first columns: rows, values that say nothing, and distinct trimmed values up to a cap.
+
+    Equal values of a column are counted before they are shuffled. With an order (a file position) the first values of
+    the first sample_cols columns are added, which come from `samples` rows.
+    """
     names = df.columns[:max_cols]
-    texts = df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(f"c{i}") for i, c in enumerate(names)])
-    pair = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("value")) for i, c in enumerate(names)])).alias("p")
-    long = texts.select(pair).select("p.*").withColumn("value", clean_ws(F.col("value")))
-    filled = F.nullif("value", F.lit(""))
-    distinct = F.approx_count_distinct(filled) if approximate else F.countDistinct(filled)
-    n = long.groupBy("column").agg(F.count("*").alias("n_rows"), F.sum(is_nullish(F.col("value")).cast("long")).alias("n_nullish"), distinct.alias("n_distinct"))
-    return n.withColumn("n_distinct", F.least("n_distinct", F.lit(cap).cast("long")))
+
+    def long(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+        texts = rows.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(f"c{i}") for i, c in enumerate(names)])
+        pair = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("value")) for i, c in enumerate(names)])).alias("p")
+        return texts.select(pair).select("p.*").withColumn("value", clean_ws(F.col("value")))
+
+    counts = long(df, names).groupBy("column", "value").agg(F.count("*").alias("n"))
+    distinct = F.approx_count_distinct(F.nullif("value", F.lit(""))) if approximate else F.sum((F.col("value") != "").cast("long"))
+    nullish = F.sum(F.when(is_nullish(F.col("value")), F.col("n")).otherwise(0))
+    out = counts.groupBy("column").agg(F.sum("n").alias("n_rows"), nullish.alias("n_nullish"), distinct.alias("n_distinct"))
+    out = out.withColumn("n_distinct", F.least("n_distinct", F.lit(cap).cast("long")))
+    if order is None:
+        return out
+    first = df.withColumn("_at", order).orderBy("_at").limit(samples)  # so many rows in all
+    some = long(first.drop("_at"), df.columns[:sample_cols]).groupBy("column").agg(F.collect_list("value").alias("samples"))
+    return out.join(some, "column", "left")
 
 
 def profile_summary(files: DataFrame, file_col: str = "file") -> DataFrame:

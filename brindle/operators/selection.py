@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.similarity import PRESETS, dot, hamming, l2_normalize, median_signature, mixed_distance
 
 
+#: Rows of a block; pairs of blocks are compared in one task each.
+BLOCK = 2048
+#: Picks after which the distances of a pool are written anew.
+REFRESH = 8
+
+
 def _saved(df: DataFrame, tag: str) -> DataFrame:
-    """A table in the shared checkpoint folder where one is set, else an ordinary persisted frame (tests)."""
+    """A table in the shared checkpoint folder; a local session without one (tests) gets a folder of its own."""
     spark: SparkSession = df.sparkSession
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        return df.persist()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="brindle-")
     path = f"{shared.rstrip('/')}/brindle/{tag}-{uuid.uuid4().hex}"
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
@@ -30,48 +41,62 @@ def with_features(items: DataFrame, vector: str = "embedding") -> DataFrame:
     return items.withColumn("unit", l2_normalize(F.col(vector))).withColumn("sig", median_signature(F.col(vector)))
 
 
-def near_dup_pairs(items: DataFrame, key: str, by: Sequence[str], rules: Sequence[tuple[int, float]], bits: int = 64) -> DataFrame:
+def _alike(rules: Sequence[tuple[int, float]]):
+    """Compares the rows of one pair of blocks by matrix products; only pairs that meet a rule are given."""
+
+    def run(group: pa.Table) -> pa.Table:
+        i, j = group.column("_i")[0].as_py(), group.column("_j")[0].as_py()
+        group = group.sort_by("_key")
+        keys, block, sig = group.column("_key"), group.column("_block").to_numpy(), group.column("sig").to_numpy()
+        unit = group.column("unit").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(block), -1)
+        one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        found = []
+        for at in range(0, len(one), 512):
+            rows = one[at : at + 512]
+            cosine, apart = unit[rows] @ unit[two].T, np.bitwise_count(sig[rows][:, None] ^ sig[two][None, :])
+            ok = reduce(np.logical_or, [(apart <= t) & (cosine >= c) for t, c in rules])
+            if i == j:
+                ok &= rows[:, None] < two[None, :]
+            x, y = np.nonzero(ok)
+            found.append((np.minimum(rows[x], two[y]), np.maximum(rows[x], two[y]), apart[x, y].astype(np.int32), np.round(cosine[x, y], 6)))
+        a, b, apart, cosine = (np.concatenate([f[k] for f in found]) for k in range(4)) if found else (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.int32), np.zeros(0))
+        return pa.table({"a": keys.take(pa.array(a)), "b": keys.take(pa.array(b)), "apart": apart, "cosine": cosine})
+
+    return run
+
+
+def near_dup_pairs(items: DataFrame, key: str, by: Sequence[str], rules: Sequence[tuple[int, float]]) -> DataFrame:
     """Pairs (a, b) of one group that meet any rule of (greatest Hamming distance, least cosine).
 
-    items: key, group columns, unit and sig. Of t + 1 bands of a signature one agrees when at most t bits differ, so an
-    equi join on bands misses no pair; pairs are then checked on the whole signature and vector.
+    items: key, group columns, unit and sig. Limits as wide as these leave no equality to join by, so a group is dealt
+    to blocks and each pair of blocks is compared in a task of its own: a group with a third of all rows is spread over
+    many tasks, and rows are made only for pairs that pass. Rows without a key, group, vector or signature are in no
+    pair, nor are vectors of different lengths.
     """
-    most = max(t for t, _ in rules)
-    bands = most + 1
-    edges = [round(i * bits / bands) for i in range(bands + 1)]
-
-    def band(i: int) -> Column:
-        low, n = edges[i], edges[i + 1] - edges[i]
-        return F.struct(F.lit(i).alias("i"), F.shiftrightunsigned("sig", low).bitwiseAND(F.lit((1 << n) - 1)).alias("v"))
-
-    dealt = items.select(key, *by, "unit", "sig", F.explode(F.array(*[band(i) for i in range(bands)])).alias("band"))
-    one = dealt.select(*by, "band", F.col(key).alias("a"), F.col("sig").alias("sa"))
-    two = dealt.select(*by, "band", F.col(key).alias("b"), F.col("sig").alias("sb"))
-    near = one.join(two, [*by, "band"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("sa"), F.col("sb")) <= most))
-    pairs = near.select("a", "b", hamming(F.col("sa"), F.col("sb")).alias("apart")).distinct()
-    ua, ub = items.select(F.col(key).alias("a"), F.col("unit").alias("ua")), items.select(F.col(key).alias("b"), F.col("unit").alias("ub"))
-    cosine = dot(F.col("ua"), F.col("ub"))
-    checked = pairs.join(ua, "a").join(ub, "b").withColumn("cosine", cosine)
-    alike = reduce(lambda x, y: x | y, [(F.col("apart") <= t) & (F.col("cosine") >= c) for t, c in rules])
-    return checked.filter(alike).select("a", "b", "apart", F.round("cosine", 6).alias("cosine"))
-
-
-def suppress_near_dups(items: DataFrame, key: str, by: Sequence[str], rank: str, rules: Sequence[tuple[int, float]], max_rounds: int = 100) -> DataFrame:
+    size = F.size("unit").alias("_size")
+    rows = items.select(F.col(key).alias("_key"), *by, "unit", "sig", size).filter(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in ("_key", *by, "unit", "sig")]))
+    counts = rows.groupBy(*by, "_size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+    dealt = rows.join(counts, [*by, "_size"]).withColumn("_block", F.pmod(F.xxhash64("_key"), F.col("_blocks")).cast("int"))
+    sent = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    sent = sent.withColumns({"_i": F.least("_block", "_other"), "_j": F.greatest("_block", "_other")}).drop("_other", "_blocks")
+    kind = items.schema[key].dataType.simpleString()
+    return sent.groupBy(*by, "_size", "_i", "_j").applyInArrow(_alike(rules), f"a {kind}, b {kind}, apart int, cosine double")
+
+
+def suppress_near_dups(items: DataFrame, key: str, by: Sequence[str], rank: str, rules: Sequence[tuple[int, float]]) -> DataFrame:
     """Items kept by going through each group from the best rank on and dropping what is like a kept one.
 
     rank: ascending and without ties in a group. Round by round, items without an undecided better neighbour are kept
     and their neighbours dropped, until all are decided: the result of the one-by-one loop.
     """
-    items = _saved(items, "near-items")
+    items = _saved(items, "near-items")  # vectors and signatures are computed once
     pairs = near_dup_pairs(items, key, by, rules).select("a", "b")
     ranks = items.select(key, F.col(rank).alias("_r"))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     ra, rb = ranks.select(F.col(key).alias("a"), F.col("_r").alias("ra")), ranks.select(F.col(key).alias("b"), F.col("_r").alias("rb"))
     edges = _saved(both.join(ra, "a").join(rb, "b").filter("ra < rb").select("a", "b"), "near-edges")  # better to worse
     dropped = None
-    for _ in range(max_rounds):
-        if edges.isEmpty():
-            break
+    while not edges.isEmpty():  # each round decides the best undecided item of every group at least
         winners = edges.select("a").distinct().join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
         lost = _saved(edges.join(winners, "a", "left_semi").select(F.col("b").alias(key)).distinct(), "near-lost")
         dropped = lost if dropped is None else dropped.unionByName(lost)
@@ -79,32 +104,41 @@ def suppress_near_dups(items: DataFrame, key: str, by: Sequence[str], rank: str,
         # What was dropped drops nothing itself; what was kept has done its work.
         edges = edges.join(winners, "a", "left_anti").join(gone, edges["a"] == gone["x"], "left_anti")
         edges = _saved(edges.join(gone, edges["b"] == gone["x"], "left_anti").select("a", "b"), "near-edges")
-    else:
-        raise RuntimeError("near-duplicate rounds did not end")
     return items if dropped is None else items.join(dropped, key, "left_anti")
 
 
 def diverse_topk(items: DataFrame, key: str, by: str, score: str, k: int, preset: str = "site") -> DataFrame:
     """K items of each group, the best first and then those farthest from the chosen, weighed with quality.
 
-    items: key, group, score, unit and sig. In each round all groups advance: every item keeps its least distance to
-    what is chosen, and the best of each group is picked by an aggregate; ties go to the smaller key. Groups with
-    fewer items give them all. What is joined in a round is one row for each group.
+    items: key, group, score, unit and sig. In each round all groups advance: the best of each group is picked by an
+    aggregate; ties go to the smaller key. Groups with fewer items give them all. The pool is written once and again
+    after every REFRESH picks, with each item's least distance to what is chosen; in between, a round reads it with the
+    few picks since then (a row for each group).
     """
     p = PRESETS[preset]
     low, high = F.min(score).over(Window.partitionBy(by)), F.max(score).over(Window.partitionBy(by))
     pool = items.withColumn("_q", (F.col(score) - low) / (high - low + 1e-9)).withColumn("_d", F.lit(1e9))
     pool = _saved(pool.select(key, by, score, "unit", "sig", "_q", "_d"), "diverse")
     chosen: list[DataFrame] = []
+    fresh: list[DataFrame] = []
     for i in range(k):
+        now = pool
+        if fresh:
+            picks = reduce(DataFrame.unionByName, fresh).groupBy(F.col(by).alias("_by")).agg(F.collect_list("best").alias("_picks"))  # REFRESH a group at most
+
+            def distance(b: Column) -> Column:
+                return mixed_distance(dot(F.col("unit"), b["u"]), hamming(F.col("sig"), b["s"]), *p.distance)
+
+            now = pool.join(picks, F.col(by).eqNullSafe(F.col("_by"))).filter(~F.exists("_picks", lambda b: b["k"] == F.col(key)))
+            now = now.withColumn("_d", F.least("_d", F.array_min(F.transform("_picks", distance)))).select(*pool.columns)
+        if len(fresh) >= REFRESH:
+            now, fresh = _saved(now, "diverse"), []
+            pool = now
         worth = F.col("_q") if i == 0 else F.col("_d") * p.pick[0] + F.col("_q") * p.pick[1]
-        best = pool.groupBy(by).agg(F.max_by(F.struct(key, F.col("unit").alias("u"), F.col("sig").alias("s"), score, "_d"), F.struct(worth, -F.col(key))).alias("best"))
+        best = now.groupBy(by).agg(F.max_by(F.struct(F.col(key).alias("k"), F.col("unit").alias("u"), F.col("sig").alias("s"), F.col(score).alias("v")), F.struct(worth, -F.col(key))).alias("best"))
         best = _saved(best, "diverse-pick")
         if best.isEmpty():
             break
-        chosen.append(best.select(by, F.col(f"best.{key}").alias(key), F.col(f"best.{score}").alias(score), F.lit(i + 1).alias("place")))
-        near = best.select(by, F.col(f"best.{key}").alias("_k"), F.col("best.u").alias("_u"), F.col("best.s").alias("_s"))
-        distance = mixed_distance(dot(F.col("unit"), F.col("_u")), hamming(F.col("sig"), F.col("_s")), *p.distance)
-        pool = pool.join(near, by).filter(F.col(key) != F.col("_k")).withColumn("_d", F.least("_d", distance)).drop("_k", "_u", "_s")
-        pool = _saved(pool, "diverse")
+        fresh.append(best)
+        chosen.append(best.select(by, F.col("best.k").alias(key), F.col("best.v").alias(score), F.lit(i + 1).alias("place")))
     return reduce(DataFrame.unionByName, chosen) if chosen else items.select(by, key, score).withColumn("place", F.lit(1)).limit(0)

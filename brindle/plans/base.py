@@ -19,7 +19,7 @@ NOW = "2024-01-20 10:30:00"
 ZONES = ("Europe/Paris", "America/New_York", "Asia/Tokyo", "UTC")
 
 VIEWS["fx_due_leads"] = f"SELECT *, CASE WHEN lead_id % 4 = 0 THEN NULL ELSE CAST('2024-01-18 00:00:00' AS TIMESTAMP) + INTERVAL '1' HOUR * cast(lead_id % 96 AS int) END AS next_send_at, CAST(NULL AS TIMESTAMP) AS replied_at FROM fx_leads"
-VIEWS["fx_requests"] = "SELECT user_id AS lead_id, min(ts) AS ts FROM events WHERE event_type = 'purchase' AND event_id % 7 = 0 GROUP BY user_id"
+VIEWS["fx_requests"] = "SELECT user_id AS lead_id, min(ts) AS ts FROM events WHERE event_type = 'purchase' GROUP BY user_id"
 VIEWS["fx_links"] = "SELECT page_id, url, cast(page_id % 3 AS int) AS grp FROM pages"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions import numbers, similarity, text, urls
 from brindle.operators import curation, ranking, selection
-from brindle.plans.base import View, query
+from brindle.plans.base import VIEWS, View, query
 
 # Windows, limits, sets
 
@@ -313,3 +313,47 @@ def suppress_near_dups(v: View) -> DataFrame:
 @query()
 def diverse_topk(v: View) -> DataFrame:
     return selection.diverse_topk(selection.with_features(v("fx_candidates")), "vec_id", "grp", "score", 5)
+
+
+@query("""SELECT doc_id, NOT regexp_matches(coalesce(text, ''), '(?i)(?:licen[cs]e)|(?:\\btrash\\b)') AS kept, coalesce(contains(lower(text), 'apache license'), false) AS mentions,
+ length(replace(text, chr(10), '<br>')) AS n_html FROM documents""")
+def text_gates(v: View) -> DataFrame:
+    """P13, P22, F18."""
+    c = F.col("text")
+    mentions = F.coalesce(text.page_mentions(c, ["Apache License"]), F.lit(False))
+    return v("documents").select("doc_id", text.deny_regex(c, ["licen[cs]e", r"\btrash\b"]).alias("kept"), mentions.alias("mentions"), F.length(text.nl_to_br(c)).cast("long").alias("n_html"))
+
+
+#: Sizes, types and image features that stand for measured ones: functions of the page's number and length.
+VIEWS["fx_images"] = """SELECT page_id, url, concat(url, '/images/', cast(page_id AS varchar(20)), '/x') AS image_url, CASE page_id % 3 WHEN 0 THEN 'Image/PNG' WHEN 1 THEN 'image/jpeg' ELSE 'text/html' END AS content_type, length(html) AS n,
+ cast(300 + page_id * 37 % 2900 AS int) AS width, cast(200 + page_id * 53 % 1700 AS int) AS height, cast(page_id % 256 AS double) AS brightness, cast(page_id % 60 AS double) AS contrast, cast(page_id % 90 AS double) AS sharpness,
+ (page_id % 10) / 10.0 AS dark_share, (page_id % 7) / 10.0 AS bright_share, cast(page_id % 100 AS double) AS saturation, (page_id % 11) / 10.0 AS center_activity, (page_id % 5) / 10.0 AS menu_penalty, cast(page_id % 80 AS double) AS colorfulness, (page_id % 8) / 1.0 AS entropy FROM pages"""
+
+
+@query("SELECT page_id, content_type FROM fx_images WHERE content_type ILIKE '%image%' AND n BETWEEN 500 AND 5000")
+def payload_gate(v: View) -> DataFrame:
+    return curation.payload_gate(v("fx_images"), "content_type", "n", 500, 5000).select("page_id", "content_type")
+
+
+@query("""WITH u AS (SELECT *, greatest(1.0::DOUBLE, 960.0::DOUBLE / width, 540.0::DOUBLE / height) AS up FROM fx_images)
+ SELECT page_id, regexp_extract(image_url, '/images/(\\d+)', 1) AS id, cast(round_even(width * up * least(1.0::DOUBLE, 2560.0::DOUBLE / (width * up)), 0) AS int) AS w, cast(round_even(height * up * least(1.0::DOUBLE, 2560.0::DOUBLE / (width * up)), 0) AS int) AS h FROM u""")
+def image_expressions(v: View) -> DataFrame:
+    """F14, F36."""
+    size = numbers.fit_dims(F.col("width").cast("double"), F.col("height").cast("double"))
+    return v("fx_images").select("page_id", urls.path_id(F.col("image_url")).alias("id"), size["w"].alias("w"), size["h"].alias("h"))
+
+
+@query("""SELECT page_id,
+ width >= 800 AND height >= 430 AND width / greatest(height, 1) BETWEEN 1.30 AND 2.40 AND brightness BETWEEN 10 AND 247 AND contrast >= 15 AND sharpness >= 12 AND dark_share <= 0.62 AND bright_share <= 0.62 AS game_ok,
+ width >= 320 AND height >= 180 AND brightness BETWEEN 10 AND 247 AND contrast >= 14 AND sharpness >= 10 AND dark_share <= 0.68 AND bright_share <= 0.68 AS crawl_ok,
+ width >= 960 AND height >= 540 AND width / greatest(height, 1) BETWEEN 0.72 AND 2.45 AND brightness BETWEEN 12 AND 245 AND contrast >= 17 AND sharpness >= 20 AND dark_share <= 0.62 AND bright_share <= 0.62 AS site_ok,
+ width >= 960 AND height >= 540 AND brightness BETWEEN 12 AND 245 AND contrast >= 18 AND sharpness >= 22 AND dark_share <= 0.58 AND bright_share <= 0.58 AS hd_ok,
+ round(ln(1 + width::DOUBLE * height) + 0.7 * ln(1 + sharpness) + 0.012 * contrast, 4) AS game_score,
+ round(1.8 * ln(1 + sharpness) + 0.03 * contrast + 0.009 * saturation + 9 * center_activity - 16 * menu_penalty, 4) AS crawl_score,
+ round(1.9 * ln(1 + sharpness) + 0.03 * contrast + 0.01 * saturation + 10 * center_activity - 20 * menu_penalty, 4) AS site_score,
+ round(1.7 * ln(1 + sharpness) + 0.025 * contrast + 0.008 * saturation + 0.012 * colorfulness + 2.2 * entropy + 8 * center_activity - 18 * menu_penalty - 2 * abs(brightness - 125) / 125, 4) AS hd_score FROM fx_images""")
+def quality_presets(v: View) -> DataFrame:
+    """Gate and score of the four presets."""
+    rows = v("fx_images").withColumns({c: F.col(c).cast("double") for c in ("dark_share", "bright_share", "center_activity", "menu_penalty", "entropy")})
+    gates = [similarity.quality_gate(p).alias(f"{p}_ok") for p in similarity.PRESETS]
+    return rows.select("page_id", *gates, *[F.round(similarity.quality_score(p), 4).alias(f"{p}_score") for p in similarity.PRESETS])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.functions import text
+from brindle.functions import numbers, text
 from brindle.operators import campaigns, merges
 from brindle.plans.base import ZONES, View, now, query
 from brindle.sources import writers
@@ -102,7 +102,8 @@ def render_messages(v: View) -> DataFrame:
     picked = campaigns.pick_variation(at, v("fx_variations"), 7).join(v("fx_variations").select("step_id", "variant", "subject"), ["step_id", "variant"])
     variables = text.template_variables(F.col("first_name"), F.lit(""), F.col("email"), F.col("company"), F.create_map().cast("map<string,string>"))
     subject = text.fill_template(text.spin(F.col("subject"), F.col("lead_id"), 7), variables)
-    return picked.select("lead_id", "variant", subject.alias("subject"), F.concat(F.lit("https://example.org/unsub/"), F.col("lead_id").cast("string")).alias("unsubscribe_url"))
+    picked = campaigns.add_links(picked.withColumn("log_id", F.lit(None).cast("long")), "https://example.org", F.lit(False))
+    return picked.select("lead_id", "variant", subject.alias("subject"), "unsubscribe_url")
 
 
 @query("SELECT lead_id, email, company FROM fx_leads")
@@ -161,3 +162,18 @@ def plan_batches(v: View) -> DataFrame:
 @query("SELECT lead_id FROM fx_leads WHERE lead_id NOT IN (SELECT lead_id FROM fx_requests)")
 def recheck_replied(v: View) -> DataFrame:
     return jobs.recheck_replied(v("fx_leads").select("lead_id"), v("fx_requests"))
+
+
+@query("SELECT log_id, CASE WHEN variant = 'A' THEN concat('https://example.org/t/', cast(log_id AS varchar)) END AS tracking_url, concat('https://example.org/unsub/', cast(lead_id AS varchar)) AS unsubscribe_url FROM fx_email_logs")
+def add_links(v: View) -> DataFrame:
+    return campaigns.add_links(v("fx_email_logs"), "https://example.org", F.col("variant") == "A").select("log_id", "tracking_url", "unsubscribe_url")
+
+
+@query(f"SELECT count(*) AS affected FROM {HIT}")
+def replied_leads(v: View) -> DataFrame:
+    return merges.replied_leads(v("fx_leads"), v("fx_requests").withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+@query("SELECT event_id, cast(cast(ts AS TIMESTAMP) + INTERVAL '3' DAY AS DATE) AS due FROM events")
+def days_after(v: View) -> DataFrame:
+    return v("events").select("event_id", F.to_date(numbers.days_after(F.col("ts").cast("timestamp"), F.lit(3))).alias("due"))

@@ -81,10 +81,10 @@ def resolve_roles(v: View) -> DataFrame:
     return priors.resolve_roles(v("fx_tenders")).select("record_id", "country", "cpv", "buyer")
 
 
-@query("""WITH u AS (UNPIVOT (SELECT coalesce(cast(event_id AS varchar), '') AS event_id, coalesce(cast(user_id AS varchar), '') AS user_id, coalesce(event_type, '') AS event_type, coalesce(props, '') AS props FROM events) ON event_id, user_id, event_type, props INTO NAME col VALUE val)
+@query("""WITH u AS (UNPIVOT (SELECT coalesce(cast(event_id AS varchar), '') AS event_id, coalesce(cast(ts AS varchar), '') AS ts, coalesce(cast(user_id AS varchar), '') AS user_id, coalesce(event_type, '') AS event_type, coalesce(cast(value AS varchar), '') AS value, coalesce(props, '') AS props FROM events) ON event_id, ts, user_id, event_type, value, props INTO NAME col VALUE val)
  SELECT col AS "column", count(*) AS n_rows, count(*) FILTER (WHERE upper(trim(val)) IN ('', 'UNKNOWN', 'NULL', 'NONE', 'N/A')) AS n_nullish, least(count(DISTINCT nullif(trim(val), '')), 1000) AS n_distinct FROM u GROUP BY col""")
 def profile_table(v: View) -> DataFrame:
-    return priors.profile_table(v("events").select("event_id", "user_id", "event_type", "props"))
+    return priors.profile_table(v("events"))
 
 
 @query("SELECT count(DISTINCT source) AS files, count(*) AS n_rows FROM documents")
@@ -245,9 +245,9 @@ def fan_out_by_email(v: View) -> DataFrame:
     return campaigns.fan_out_by_email(v("fx_requests"), v("fx_leads")).select("source_lead", "lead_id", "campaign_id")
 
 
-@query("SELECT lead_id FROM fx_leads WHERE lead_id % 10 = 1 OR email IN (SELECT email FROM fx_unsubscribes)")
+@query("SELECT lead_id FROM fx_leads WHERE status = 'pending' OR email IN (SELECT email FROM fx_unsubscribes)")
 def lookup_lead(v: View) -> DataFrame:
-    ids = v("fx_leads").filter("lead_id % 10 = 1").select(F.col("lead_id").cast("string").alias("ref"))
+    ids = v("fx_leads").filter("status = 'pending'").select(F.col("lead_id").cast("string").alias("ref"))
     return campaigns.lookup_lead(v("fx_leads"), ids.union(v("fx_unsubscribes").select("email"))).select("lead_id")
 
 
