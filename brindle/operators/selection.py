@@ -47,7 +47,7 @@ def _alike(rules: Sequence[tuple[int, float]]):
     def run(group: pa.Table) -> pa.Table:
         i, j = group.column("_i")[0].as_py(), group.column("_j")[0].as_py()
         group = group.sort_by("_key")
-        keys, block, sig = group.column("_key"), group.column("_block").to_numpy(), group.column("sig").to_numpy()
+        keys, block, sig = group.column("_key"), group.column("_block").to_numpy(), group.column("sig").to_numpy().view(np.uint64)
         unit = group.column("unit").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(block), -1)
         one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
         found = []
