@@ -259,17 +259,10 @@ class ShardIndex:
 
     def scored(self, seed: int) -> np.ndarray:
         """BM25 score of every document that is held, for all terms of the seed."""
-        starts, ends = self.starts[self.queries[seed]], self.starts[self.queries[seed] + 1]
-        sizes = ends - starts
-        found = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-        return np.bincount(self.docs[found], weights=self.scores[found], minlength=self.n)
-
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """The unused documents that share a term with the seed, best first (ties in order)."""
-        self.shrink(unused)
-        total = self.scored(seed)
-        hits = np.flatnonzero((total > 0) & unused)
-        return hits[np.argsort(-total[hits], kind="stable")]
+        spans = list(zip(self.starts[self.queries[seed]].tolist(), self.starts[self.queries[seed] + 1].tolist(), strict=True))
+        if not spans:
+            return np.zeros(self.n)
+        return np.bincount(np.concatenate([self.docs[a:b] for a, b in spans]), weights=np.concatenate([self.scores[a:b] for a, b in spans]), minlength=self.n)
 
 
 def fill_windows(index: ShardIndex, lengths: np.ndarray, window: int) -> list[list[tuple[int, int, int]]]:
@@ -304,15 +297,14 @@ def fill_windows(index: ShardIndex, lengths: np.ndarray, window: int) -> list[li
 
         room -= take(seed, room)
         if room:
-            near = index.neighbours(seed, unused)
-            at = 0
-            while room and len(fits := np.flatnonzero(rest[near[at:]] <= room)):
-                at += int(fits[0])
-                room -= take(int(near[at]), room)
-                at += 1
-            near = near[unused[near]] if room else near
-            if room and len(near):
-                room -= take(int(near[0]), room)
+            index.shrink(unused)
+            score = np.where(unused, index.scored(seed), 0.0)
+            while room and (fits := (score > 0) & (rest <= room)).any():
+                best = int(np.argmax(np.where(fits, score, 0.0)))  # of equals the first
+                room -= take(best, room)
+                score[best] = 0.0
+            if room and score.any():
+                room -= take(int(np.argmax(score)), room)
         at = next_seed
         while room and at < len(order):
             if unused[order[at]]:
