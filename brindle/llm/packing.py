@@ -235,7 +235,11 @@ def term_weights(table: DataFrame, size: int) -> tuple[np.ndarray, float]:
 
 
 class ShardIndex:
-    """Inverted index of a shard's documents with BM25 scores in its postings."""
+    """Inverted index of a shard's documents with BM25 scores in its postings.
+
+    Terms that a sixteenth of the documents hold would make most postings of a query; their scores are added up for all
+    documents at once, by one matrix product.
+    """
 
     def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], lengths: np.ndarray, idf: np.ndarray, mean: float):
         self.n = len(terms)
@@ -243,10 +247,17 @@ class ShardIndex:
         term = np.concatenate(terms) if terms else np.zeros(0, IDS)
         tf = (np.concatenate(counts) if counts else np.zeros(0, COUNTS)).astype(float)
         score = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / mean))
+        frequent = np.bincount(term, minlength=len(idf)) >= max(16, self.n // 16)
+        place = np.cumsum(frequent) - 1
+        often = frequent[term]
+        rows = np.zeros((int(frequent.sum()), self.n), np.float32)
+        rows[place[term[often]], doc[often]] = score[often]
+        self.base = (rows > 0).astype(np.float32).T @ rows  # of frequent terms: shard by shard documents
+        doc, term, score = doc[~often], term[~often], score[~often]
         order = np.argsort(term, kind="stable")
         self.docs, self.scores = doc[order], score[order]
         self.starts = np.searchsorted(term[order], np.arange(len(idf) + 1))
-        self.queries = [t.astype(np.int64) for t in terms]  # a document asks with all its terms
+        self.queries = [t[~frequent[t]].astype(np.int64) for t in terms]  # a document asks with all its terms
         self.held = self.n
 
     def shrink(self, unused: np.ndarray) -> None:
@@ -261,8 +272,8 @@ class ShardIndex:
         """BM25 score of every document that is held, for all terms of the seed."""
         spans = list(zip(self.starts[self.queries[seed]].tolist(), self.starts[self.queries[seed] + 1].tolist(), strict=True))
         if not spans:
-            return np.zeros(self.n)
-        return np.bincount(np.concatenate([self.docs[a:b] for a, b in spans]), weights=np.concatenate([self.scores[a:b] for a, b in spans]), minlength=self.n)
+            return self.base[seed].astype(float)
+        return self.base[seed] + np.bincount(np.concatenate([self.docs[a:b] for a, b in spans]), weights=np.concatenate([self.scores[a:b] for a, b in spans]), minlength=self.n)
 
 
 def fill_windows(index: ShardIndex, lengths: np.ndarray, window: int) -> list[list[tuple[int, int, int]]]:
