@@ -515,11 +515,11 @@ def one_of_each(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -
     stay = of_sets.groupBy("own").agg(first).select("own", F.col("first.doc_id").alias("of"), F.col("first.k").alias("ofk"), F.col("first.h").alias("ofh"))
     stays = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("k") == F.col("ofk")) & (F.col("h") == F.col("ofh"))
     judged = of_sets.join(stay, "own").withColumn("stays", stays).filter("not stays or c > 1")
-    judged = written(judged.select(F.col("doc_id").alias("_id"), F.col("h").alias("_hash"), "stays"), "join-judged")
+    judged = written(judged.select(F.col("doc_id").alias("_judged_id"), F.col("h").alias("_judged_hash"), F.col("stays").alias("_stays")), "join-judged")
 
     # Rows that are in no group, or of which one stays, are not touched; of repeated rows one is kept.
-    same = F.col("_set_id").eqNullSafe(F.col("_id")) & (F.col("_set_hash") == F.col("_hash"))
+    same = F.col("_set_id").eqNullSafe(F.col("_judged_id")) & (F.col("_set_hash") == F.col("_judged_hash"))
     named = docs.withColumn("_set_id", F.col("doc_id").cast("long")).withColumn("_set_hash", F.xxhash64("text"))
     kept = named.join(judged, same, "left_anti")
-    repeated = named.join(judged.filter("stays"), same, "left_semi").dropDuplicates(["_set_id", "_set_hash"])
+    repeated = named.join(judged.filter("_stays"), same, "left_semi").dropDuplicates(["_set_id", "_set_hash"])
     return kept.unionByName(repeated).select(*docs.columns)

@@ -1,4 +1,7 @@
-"""The registered queries of the corpus operators: thin calls with production parameters over whole tables."""
+"""The registered queries of the corpus operators: thin calls with production parameters over whole tables.
+
+A null doc_id is in no fold: nothing is learnt from it and it is not held out.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 
 from brindle.llm import fingerprints, html_extract, mixing, packing, partenum, quality, rp_forest, sharding, toxicity, warc
 from brindle.llm.common import fold, scratch_path
+from brindle.llm.oracles import ORACLES as ORACLES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,14 +34,14 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
     model = quality.fit_quality(docs, labels, learn=fold(F.col("doc_id"), 5) != 0)
     scored = quality.score_quality(docs, model)
-    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
     model = toxicity.fit_toxicity(docs, labels, learn=fold(F.col("doc_id"), 4) != 2)
     scored = toxicity.score_toxicity(docs, model)
-    return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op6_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,5 +76,3 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_packing": op10_packing,
 }
-
-ORACLES: dict[str, str] = {}
