@@ -17,27 +17,45 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the compression classifier rejects."""
+    """Drops documents that the compression classifier rejects.
+
+    Null texts are judged as empty ones, equal rows alike; a null doc_id teaches nothing but is judged like others. An
+    empty table stays empty; all columns are kept.
+    """
     return quality.keep_quality(docs, _labels(spark, sf_dir), learn=fold(F.col("doc_id"), 5) != 0)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the counterfactual-regularised classifier calls toxic."""
+    """Drops documents that the counterfactual-regularised classifier calls toxic.
+
+    Nulls, repeated rows, empty tables and further columns as in the first stage.
+    """
     return toxicity.drop_toxic(docs, _labels(spark, sf_dir), learn=fold(F.col("doc_id"), 4) != 2)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each component of similar documents (five words, 0.8)."""
+    """Keeps the smallest doc_id of each component of similar documents (five words, 0.8).
+
+    A repeated row stays once, a row with a null doc_id only if its component has no other; null and empty texts are
+    similar to nothing and all stay. An empty table stays empty; all columns are kept.
+    """
     return partenum.one_of_each(docs, n=5, least=80, most=100)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats, keeps or leaves out documents so that sources meet their targets."""
+    """Repeats, keeps or leaves out documents so that sources meet their targets.
+
+    A null source is a source of its own. Documents without words (null texts as well) are not in the mix. An empty
+    table stays empty; all columns are kept, n_chars is that of the text given.
+    """
     return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences; a row for each piece."""
+    """Packs what is left into sequences; a row for each piece.
+
+    A null text is one end token; repeated rows are documents of their own; an empty table gives no pieces.
+    """
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
