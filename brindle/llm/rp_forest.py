@@ -191,8 +191,11 @@ def count_links(members: DataFrame, least: float) -> DataFrame:
     A component is compared in blocks of BLOCK rows: each pair of blocks is a group of its own, so a component with a
     third of all rows is spread over many tasks and none holds more than two blocks.
     """
-    size = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(size, "root").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # Only components of several blocks are sent to all tasks, a row for each BLOCK vectors at most. A join dealt by root
+    # alone would keep all pairs of blocks of a component in one task.
+    large = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("blocks > 1")
+    dealt = members.join(F.broadcast(large), "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     pairs = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     sent = dealt.select("root", "id", "vec", "copies", "block", pairs).select("root", "id", "vec", "copies", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
