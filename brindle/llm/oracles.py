@@ -76,8 +76,58 @@ SELECT d.id AS doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM nodes d LEFT JOIN sizes USING (id) LEFT JOIN component USING (id)
 """
 
+FILTER_AUDIT = rf"""
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+),
+parsed AS (
+    SELECT doc_id, part, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+           min(doc_id) OVER (PARTITION BY text) AS first_id
+    FROM docs
+),
+failed AS (
+    SELECT doc_id, part,
+           len(words) < 200 AS a,
+           100 * len(list_distinct(words)) < 50 * len(words) AS b,
+           100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+           regexp_matches(text, '[#$%&*|]') AS d,
+           coalesce(doc_id > first_id, false) AS e
+    FROM parsed
+),
+known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+masks AS (
+    SELECT part, [a, b, c, d, e] AS fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+    FROM failed LEFT JOIN known USING (doc_id) GROUP BY ALL
+),
+letters(f, k) AS (VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)),
+orders AS (
+    SELECT x.f || y.f || z.f || v.f || w.f AS filter_order, [x.k, y.k, z.k, v.k, w.k] AS seq
+    FROM letters x, letters y, letters z, letters v, letters w
+    WHERE len(list_distinct([x.k, y.k, z.k, v.k, w.k])) = 5
+),
+removals AS (
+    SELECT m.*, filter_order, seq, coalesce(list_position(list_transform(seq, lambda k: fails[k]), true), 6) AS place
+    FROM masks m CROSS JOIN orders
+),
+steps AS (
+    SELECT part, filter_order, step, seq[step] AS k,
+           sum(CASE WHEN place > step THEN n ELSE 0 END)::BIGINT AS kept,
+           sum(CASE WHEN place = step THEN n ELSE 0 END)::BIGINT AS removed,
+           sum(CASE WHEN place < step AND fails[seq[step]] THEN n ELSE 0 END)::BIGINT AS redundant,
+           sum(CASE WHEN fails[seq[step]] AND len(list_filter(fails, lambda x: x)) = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+           sum(CASE WHEN place = step THEN good ELSE 0 END)::BIGINT AS good_lost,
+           sum(CASE WHEN place = step THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+    FROM removals, (SELECT unnest(range(1, 6))::INT AS step)
+    GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, k)::BIGINT AS shapley
+FROM steps
+"""
+
 ORACLES = {
     "op6_embedding_near_dups": EMBEDDINGS,
     "op7_warc": WARC,
     "op9_ngram_jaccard": JACCARD,
+    "op13_filter_audit": FILTER_AUDIT,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import fingerprints, html_extract, mixing, packing, partenum, quality, rp_forest, sharding, toxicity, warc
+from brindle.llm import filter_audit, fingerprints, html_extract, mixing, packing, partenum, quality, rp_forest, sharding, suffix_repeats, toxicity, variants, warc
 from brindle.llm.common import fold, scratch_path
 from brindle.llm.oracles import ORACLES as ORACLES
 
@@ -64,6 +64,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_sharding": op2_sharding,
@@ -75,4 +87,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_packing": op10_packing,
+    "op11_suffix_array_dedup": op11_suffix_array_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_filter_audit": op13_filter_audit,
 }
