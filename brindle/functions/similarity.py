@@ -27,8 +27,27 @@ def median_signature(c: Column) -> Column:
     return F.aggregate(bits, F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(x))
 
 
+def ordinal_signature(c: Column, bits: int, seed: int) -> Column:
+    """Bits of a vector in 64-bit numbers: whether one component is above another, for pairs that the seed chooses.
+
+    Like the median signature it depends on the order of the components only; unused bits of the last number are 0.
+    """
+
+    def bit(k: Column) -> Column:
+        n = F.size(c)
+        a = F.pmod(F.xxhash64(F.lit(seed), k * 2), n)
+        b = F.pmod(a + 1 + F.pmod(F.xxhash64(F.lit(seed), k * 2 + 1), F.greatest(n - 1, F.lit(1))), n)
+        set_ = F.call_function("shiftleft", F.lit(1).cast("long"), k % 64)
+        return F.when(F.get(c, a.cast("int")) > F.get(c, b.cast("int")), set_).otherwise(F.lit(0).cast("long"))
+
+    all_bits = F.transform(F.sequence(F.lit(0), F.lit(bits - 1)), bit)
+    words = [F.aggregate(F.slice(all_bits, at + 1, 64), F.lit(0).cast("long"), Column.bitwiseOR) for at in range(0, bits, 64)]
+    return F.when(F.size(c) > 0, F.array(*words))
+
+
 def hamming(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
+    """Differing bits of two arrays of 64-bit numbers."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
 def mixed_distance(cosine: Column, bits_apart: Column, a: float, b: float, bits: int = 64) -> Column:
@@ -49,11 +68,12 @@ class Preset:
     distance: tuple[float, float]
     pick: tuple[float, float]
     score: dict[str, float]
+    bonus: float = 0.0  # of favoured rows, for each pick after the first
 
 
 # The four presets of the surveyed jobs.
 PRESETS = {
-    "game": Preset((800, 430), (1.30, 2.40), (10, 247), 15, 12, 0.62, ((16, -2.0), (25, 0.965)), (0.36, 0.64), (0.82, 0.18), {"log_area": 1.0, "log_sharpness": 0.7, "contrast": 0.012}),
+    "game": Preset((800, 430), (1.30, 2.40), (10, 247), 15, 12, 0.62, ((16, -2.0), (25, 0.965)), (0.36, 0.64), (0.82, 0.18), {"log_area": 1.0, "log_sharpness": 0.7, "contrast": 0.012}, 0.015),
     "crawl": Preset((320, 180), None, (10, 247), 14, 10, 0.68, ((9, 0.91),), (0.55, 0.45), (0.74, 0.26), {"log_sharpness": 1.8, "contrast": 0.03, "saturation": 0.009, "center_activity": 9, "menu_penalty": -16}),
     "site": Preset((960, 540), (0.72, 2.45), (12, 245), 17, 20, 0.62, ((10, 0.90),), (0.55, 0.45), (0.72, 0.28), {"log_sharpness": 1.9, "contrast": 0.03, "saturation": 0.01, "center_activity": 10, "menu_penalty": -20}),
     "hd": Preset((960, 540), None, (12, 245), 18, 22, 0.58, ((10, 0.90),), (0.55, 0.45), (0.76, 0.24), {"log_sharpness": 1.7, "contrast": 0.025, "saturation": 0.008, "colorfulness": 0.012, "entropy": 2.2, "center_activity": 8, "menu_penalty": -18, "brightness_off": -2}),

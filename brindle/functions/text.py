@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import unicodedata
 from collections.abc import Mapping, Sequence
 
@@ -164,6 +165,12 @@ def unescape_entities(c: Column) -> Column:
     return c
 
 
+@F.pandas_udf(T.StringType())
+def unescape_all(texts: pd.Series) -> pd.Series:
+    """every character reference of HTML, named or numbered; Spark has no table of them."""
+    return texts.map(lambda t: None if t is None else html.unescape(t))
+
+
 def b64url_encode(c: Column) -> Column:
     return F.rtrim(F.translate(F.base64(c.cast("binary")), "+/", "-_"), F.lit("="))
 
@@ -226,6 +233,20 @@ def template_variables(first: Column, last: Column, email: Column, company: Colu
     return F.map_concat(F.map_filter(built_in, lambda k, _: ~F.array_contains(F.map_keys(custom), k)), custom)
 
 
+def message_html(body: Column, unsubscribe_url: Column, unsubscribe_text: Column, tracking_url: Column) -> Column:
+    """The HTML of a message: line ends as <br>, then the unsubscribe line and the opening picture where they have a URL."""
+    name = F.coalesce(F.nullif(unsubscribe_text, F.lit("")), F.lit("Unsubscribe"))
+    line = F.concat(F.lit('<br><br><p style="font-size:11px;color:#999;font-family:Arial,sans-serif;"><a href="'), unsubscribe_url, F.lit('" style="color:#999;text-decoration:underline;">'), name, F.lit("</a></p>"))
+    picture = F.concat(F.lit('<img src="'), tracking_url, F.lit('" width="1" height="1" alt="" style="display:none;width:1px;height:1px;border:0;" />'))
+    whole = F.concat(nl_to_br(body), F.coalesce(line, F.lit("")), F.coalesce(picture, F.lit("")))
+    return F.concat(F.lit('<!DOCTYPE html><html><body style="font-family:Arial,sans-serif;">'), whole, F.lit("</body></html>"))
+
+
+def message_text(body: Column) -> Column:
+    """The plain form of a message: line ends for <br>, no tags, trimmed."""
+    return html_to_text(body)
+
+
 def keyword_score(text: Column, duration: Column, channel: Column, good: Mapping[str, int] = GOOD_TERMS, bad: Sequence[str] = BAD_TERMS, channels: Sequence[str] = GOOD_CHANNELS) -> Column:
     """Bonus of good terms, 75 less for each bad one, the band of the duration and a bonus for known channels."""
     score = F.lit(0.0)

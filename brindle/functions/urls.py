@@ -27,13 +27,29 @@ def canonical_url(c: Column) -> Column:
     return F.when(bare.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), bare).otherwise(F.concat(F.lit("https://"), F.regexp_replace(bare, "^/+", "")))
 
 
+def remove_dots(c: Column) -> Column:
+    """A URL without '.' and '..' segments in its path: each '..' takes back the segment before it, the root at most."""
+    head = F.regexp_extract(c, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(c, "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    rest = F.regexp_extract(c, "([?#].*)$", 1)
+    up = F.array(F.lit(".."), F.lit("."))
+
+    def step(kept: Column, s: Column) -> Column:
+        return F.when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(1)))).when(s == ".", kept).otherwise(F.concat(kept, F.array(s)))
+
+    parts = F.split(path, "/")
+    folder = F.when(F.array_contains(up, F.element_at(parts, -1)), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    plain = F.array_join(F.concat(F.aggregate(F.slice(parts, 2, F.size(parts)), F.array(F.lit("")), step), folder), "/")
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(head, plain, rest)).otherwise(c)
+
+
 def resolve_url(base: Column, href: Column) -> Column:
-    """An absolute link: as it is, from the root or from the page's folder (dot segments are left as they are)."""
+    """An absolute link: as it is, from the root or from the page's folder, without dot segments."""
     scheme = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
     root = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     plain = F.regexp_replace(base, "[?#].*$", "")
     folder = F.when(plain == root, F.concat(root, F.lit("/"))).otherwise(F.regexp_replace(plain, "[^/]*$", ""))
-    return (
+    return remove_dots(
         F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(F.startswith(href, F.lit("//")), F.concat(scheme, href))
         .when(F.startswith(href, F.lit("/")), F.concat(root, href))

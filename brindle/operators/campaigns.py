@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.numbers import in_send_window, pct1
-from brindle.functions.text import clean_ws, is_disposable, is_email, parse_int_list, uniform
+from brindle.functions.text import clean_ws, fill_template, is_disposable, is_email, json_map_or_empty, message_html, message_text, parse_int_list, spin, template_variables, uniform
+from brindle.operators.tables import dropped, number_rows, renumber, saved
 
 DEFAULT_DAYS = "1,2,3,4,5"
 DEFAULT_ZONE = "Europe/Paris"
@@ -242,6 +243,25 @@ def pick_variation(leads: DataFrame, variations: DataFrame, seed: int, key: str
     return joined.withColumn("variant", chosen).drop("_total", "_choices", "_u")
 
 
+def render_messages(leads: DataFrame, variations: DataFrame, seed: int, base: str) -> DataFrame:
+    """The next message of each lead: subject, HTML and plain text, with its variables and links filled in.
+
+    leads: lead_id, step_id, first_name, last_name, email, company, custom_data (JSON), log_id, and the campaign's
+    track_opens, show_unsubscribe and unsubscribe_text; variations: step_id, variant, weight, subject and body. Choices
+    in braces are drawn by lead and seed, then {{name}} is replaced by the lead's variables, custom ones first. Opened
+    messages are tracked and the unsubscribe line is added only where the campaign wants them (not 0). A null subject or
+    body is empty; leads of steps without variations get no message.
+    """
+    picked = pick_variation(leads, variations.select("step_id", "variant", "weight"), seed)
+    own = picked.join(variations.select("step_id", "variant", F.coalesce("subject", F.lit("")).alias("_subject"), F.coalesce("body", F.lit("")).alias("_body")), ["step_id", "variant"])
+    variables = template_variables(F.col("first_name"), F.col("last_name"), F.col("email"), F.col("company"), json_map_or_empty(F.col("custom_data")))
+    filled = {name: fill_template(spin(F.col(f"_{name}"), F.col("lead_id"), seed + k), variables) for k, name in enumerate(("subject", "body"))}
+    linked = add_links(own.withColumns(filled), base, (F.coalesce("track_opens", F.lit(0)) != 0) & F.col("log_id").isNotNull())
+    unsubscribe = F.when(F.coalesce("show_unsubscribe", F.lit(0)) != 0, F.col("unsubscribe_url"))
+    html = message_html(F.col("body"), unsubscribe, F.col("unsubscribe_text"), F.col("tracking_url"))
+    return linked.select("lead_id", "variant", "subject", html.alias("html"), message_text(F.col("body")).alias("plain"), unsubscribe.alias("list_unsubscribe"))
+
+
 def _slots(inboxes: DataFrame) -> DataFrame:
     """A row for every message that an active inbox may still send, with the load at which it would."""
     free = inboxes.filter("status = 'active' and daily_limit > 0 and sent_today < daily_limit")
@@ -249,24 +269,73 @@ def _slots(inboxes: DataFrame) -> DataFrame:
     return free.select("inbox_id", "daily_limit", slot.alias("slot")).withColumn("load", F.col("slot") / F.col("daily_limit"))
 
 
-def allocate_least_loaded(leads: DataFrame, inboxes: DataFrame, order: Sequence[str] = ("lead_id",)) -> DataFrame:
+def allocate_least_loaded(leads: DataFrame, inboxes: DataFrame, order: Sequence[str | Column] = ("lead_id",)) -> DataFrame:
     """Each lead in order goes to the inbox with the lowest share of its limit used; leads beyond all limits go.
 
     Always taking the least loaded inbox is a merge of the inboxes' slots by load, so the n-th lead gets the n-th slot.
-    Only as many leads as there are slots are numbered; slots are the day's sending limit, not the data.
+    Leads and slots are numbered by ranges of their order and joined by number; no task sees all of either.
     """
-    slots = _slots(inboxes)
-    ranked = slots.withColumn("_n", F.row_number().over(Window.orderBy("load", "inbox_id", "slot")))
-    first = leads.orderBy(*order).limit(max(1, slots.count()))
-    numbered = first.withColumn("_n", F.row_number().over(Window.orderBy(*order)))
+    ranked = number_rows(_slots(inboxes), ["load", "inbox_id", "slot"], "_n")
+    numbered = number_rows(leads, order, "_n")
     return numbered.join(ranked, "_n").select(*leads.columns, "inbox_id", F.round("load", 6).alias("load"))
 
 
-def allocate_sticky(leads: DataFrame, inboxes: DataFrame) -> DataFrame:
-    """Leads stay with their assigned inbox while it has room; the others are allocated as in W8."""
-    room = sticky_inbox(leads.select("lead_id", "assigned_inbox"), inboxes).select("lead_id", "inbox_id", "room")
-    kept = room.withColumn("_n", F.row_number().over(Window.partitionBy("inbox_id").orderBy("lead_id"))).filter("_n <= room").select("lead_id", "inbox_id")
-    used = kept.groupBy("inbox_id").agg(F.count("*").cast("int").alias("_used"))
-    left = inboxes.join(used, "inbox_id", "left").withColumn("sent_today", F.col("sent_today") + F.coalesce("_used", F.lit(0))).drop("_used")
-    rest = leads.select("lead_id").join(kept.select("lead_id"), "lead_id", "left_anti")
-    return kept.withColumn("sticky", F.lit(True)).unionByName(allocate_least_loaded(rest, left).select("lead_id", "inbox_id", F.lit(False).alias("sticky")))
+def allocate_sticky(leads: DataFrame, inboxes: DataFrame, order: Sequence[str | Column] = ("lead_id",)) -> DataFrame:
+    """Leads one after the other; each takes its assigned inbox if that has room, else the least loaded one.
+
+    leads: lead_id, assigned_inbox and the columns of the order. A lead whose inbox is unknown, inactive or full is like
+    one without. Returns lead_id, inbox_id and sticky; leads beyond all limits go.
+
+    The result is that of the loop, found in rounds. Every lead wants the smallest slot (by load and inbox) of all, or of
+    its inbox first, and a slot goes to the earliest lead that wants it. So slots are promised and a promise is withdrawn
+    when an earlier lead comes: a lead that finds a slot taken by an earlier one will never get it, so the order in which
+    leads ask does not matter and all ask at once. In a round the n-th lead without a slot, of those of an inbox or of
+    those without, asks for the n-th slot of the inbox or of all that is free or promised to a later lead. A lead to
+    whom its inbox has no such slot left joins those without. Rounds end when all leads have slots or none is left for
+    them; each decides the earliest undecided lead at least, and mostly far more. Leads and slots are numbered once, by
+    ranges; a round renumbers parts of these numbers, and its two tables are written.
+    """
+    slots = number_rows(_slots(inboxes).withColumnRenamed("inbox_id", "inbox"), ["load", "inbox", "slot"], "rank").select("rank", "inbox", "slot")
+    known = slots.select(F.col("inbox").alias("assigned_inbox")).distinct().withColumn("_open", F.lit(True))
+    queue = number_rows(leads, order, "place").select("place", "lead_id", "assigned_inbox").join(known, "assigned_inbox", "left")
+    # own: the inbox that a lead still insists on.
+    waiting = saved(queue.select("place", "lead_id", F.when(F.col("_open"), F.col("assigned_inbox")).alias("own")), "waiting")
+    held = saved(slots.withColumns({"holder": F.lit(None).cast("long"), "holder_id": F.lit(None).cast(leads.schema["lead_id"].dataType), "holder_own": F.lit(None).cast(inboxes.schema["inbox_id"].dataType)}), "held")
+    while True:
+        asked = _asked(waiting, held)
+        best = asked.groupBy("rank").agg(F.min(F.struct("place", "lead_id", "own")).alias("ask"))
+        after = held.join(best, "rank", "left")
+        wins = F.col("ask").isNotNull() & (F.col("holder").isNull() | (F.col("ask.place") < F.col("holder")))
+        names = {"holder": "place", "holder_id": "lead_id", "holder_own": "own"}
+        after = saved(after.withColumn("_wins", wins).select("rank", "inbox", "slot", *[F.when(F.col("_wins"), F.col(f"ask.{n}")).otherwise(F.col(c)).alias(c) for c, n in names.items()], F.when(F.col("_wins"), F.struct("holder", "holder_id", "holder_own")).alias("out"), "_wins"), "held")
+        if not after.filter("_wins").limit(1).count():
+            dropped(after)
+            if not waiting.filter("own is not null").limit(1).count():
+                break
+            # The first of an inbox found nothing, so its slots are with earlier leads for good.
+            before, waiting = waiting, saved(waiting.withColumn("own", F.lit(None).cast(waiting.schema["own"].dataType)), "waiting")
+            dropped(before)
+            continue
+        placed = after.filter("_wins").select(F.col("holder").alias("place"))
+        lost = after.filter("out.holder is not null").select(F.col("out.holder").alias("place"), F.col("out.holder_id").alias("lead_id"), F.col("out.holder_own").alias("own"))
+        left = saved(waiting.join(placed, "place", "left_anti").unionByName(lost), "waiting")
+        dropped(waiting, held)
+        waiting, held = left, after.drop("out", "_wins")
+    taken = held.filter("holder is not null").join(leads.select(F.col("lead_id").alias("holder_id"), "assigned_inbox"), "holder_id")
+    return taken.select(F.col("holder_id").alias("lead_id"), F.col("inbox").alias("inbox_id"), F.coalesce(F.col("assigned_inbox") == F.col("inbox"), F.lit(False)).alias("sticky"))
+
+
+def _asked(waiting: DataFrame, held: DataFrame) -> DataFrame:
+    """place, lead_id, own and the rank of the slot that each waiting lead asks for, if there is one."""
+    first = waiting.groupBy("own").agg(F.min("place").alias("first"))
+    mine = F.row_number().over(Window.partitionBy("own").orderBy("place"))
+    theirs = F.row_number().over(Window.partitionBy("inbox").orderBy("slot"))
+    insist = waiting.filter("own is not null").withColumn("_n", mine)
+    offered = held.join(first.filter("own is not null"), F.col("inbox") == F.col("own")).filter("holder is null or holder > first").withColumn("_n", theirs)
+    sticky = insist.join(offered.select("rank", F.col("inbox").alias("own"), "_n"), ["own", "_n"])
+    free = renumber(waiting.filter("own is null"), "place", "_n")
+    rest = held.crossJoin(F.broadcast(first.filter("own is null").select("first")))  # one row
+    rest = renumber(rest.filter("holder is null or holder > first").select("rank"), "rank", "_n")
+    columns = ["place", "lead_id", "own", "rank"]
+    return sticky.select(*columns).unionByName(free.join(rest, "_n").select(*columns))
+

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.functions.text import alias_match, deny_words, html_to_text, keyword_score, reject_match, squeeze_ws, unescape_entities
-from brindle.functions.urls import deny_asset_url, host_suffixes, resolve_url, strip_query, url_host
+from brindle.functions.text import alias_match, deny_words, html_to_text, keyword_score, reject_match, squeeze_ws, tokens_over_two, unescape_entities
+from brindle.functions.urls import canonical_url, deny_asset_url, host_suffixes, resolve_url, strip_query, url_host
 from brindle.operators.ranking import cap_per_group, distinct_first, keep_best, number_from, rank_decay, top_scored
+from brindle.operators.tables import saved
 
 ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 NEXT_WORDS = r"(?i)\bnext\b"
@@ -70,15 +72,44 @@ def trusted_domain_join(df: DataFrame, url_col: str, domains: DataFrame) -> Data
     return df.join(good, url_col, "left_semi")
 
 
-def match_entities(texts: DataFrame, entities: DataFrame, text_col: str = "text") -> DataFrame:
+def _grams(c: Column, sizes: Sequence[int]) -> Column:
+    """Distinct substrings of the given sizes."""
+
+    def of_size(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, F.lit(n)))
+
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(*[F.when(F.length(c) >= n, of_size(n)).otherwise(none) for n in sizes]))
+
+
+def match_entities(texts: DataFrame, entities: DataFrame, text_col: str = "text", gram: int = 4) -> DataFrame:
     """Pairs of texts and entities whose aliases match and whose reject phrases do not.
 
-    A match is containment of a text in a text, which no equality can replace, so every text is held against every
-    entity: entities are a dimension table. Up to 1000 of them (checked) are broadcast; more are joined without hint.
-    entities: entity, aliases and rejects (arrays in lower case).
+    entities: entity, aliases and rejects (arrays in lower case). An alias is in a text as a whole or with all its words
+    of over two letters, so the text holds every piece of `gram` letters of these words (of the alias itself, if it has
+    no such word; shorter ones are pieces as a whole). Each alias is filed under the one of its pieces that the fewest
+    texts hold, texts meet it by an equality on that piece, and only then the alias is looked for. Texts stand for
+    themselves by two hashes until they are found; a pair comes once, by the first alias that matches. Null texts and
+    null aliases match nothing, an empty alias every text. Rows that repeat give pairs that repeat.
     """
-    small = F.broadcast(entities) if entities.limit(1001).count() <= 1000 else entities  # checked size
-    return texts.join(small, alias_match(F.col(text_col), F.col("aliases")) & ~reject_match(F.col(text_col), F.col("rejects")))
+    pieces = lambda a: F.when(F.size(tokens_over_two(a)) > 0, F.array_distinct(tokens_over_two(a))).otherwise(F.array(a))
+    sizes = list(range(gram + 1))
+    each = entities.groupBy(F.struct(*entities.columns).alias("_e")).agg(F.count("*").cast("int").alias("_times"))
+    filed = each.select("_e", "_times", F.posexplode("_e.aliases").alias("_k", "_alias")).filter("_alias is not null")
+    filed = filed.withColumn("_piece", F.explode(pieces(F.col("_alias"))))
+    cut = F.least(F.length("_piece"), F.lit(gram))
+    filed = filed.withColumn("_gram", F.explode(F.filter(_grams(F.col("_piece"), sizes), lambda g: F.length(g) == cut)))
+    at = texts.withColumns({"_h1": F.xxhash64(text_col), "_h2": F.xxhash64(F.lit(1), F.col(text_col))}).filter(F.col(text_col).isNotNull())
+    held = at.select("_h1", "_h2", F.explode(_grams(F.col(text_col), sizes)).alias("_gram")).join(filed.select("_gram").distinct(), "_gram")
+    often = held.groupBy("_gram").agg(F.count("*").alias("_n"))
+    keys = filed.join(often, "_gram").groupBy("_e", "_times", "_k", "_alias").agg(F.min(F.struct("_n", "_gram")).alias("_r"))
+    keys = keys.select(F.col("_r._gram").alias("_gram"), "_e", "_k", "_alias", "_times")
+    found = held.join(keys, "_gram").select("_h1", "_h2", "_e", "_k", "_alias", "_times").distinct()
+    both = at.join(found, ["_h1", "_h2"])
+    text = F.col(text_col)
+    earlier = F.slice(F.col("_e.aliases"), 1, F.col("_k"))
+    ok = alias_match(text, F.array("_alias")) & ~alias_match(text, earlier) & ~reject_match(text, F.col("_e.rejects"))
+    return both.filter(ok).select(*texts.columns, F.explode(F.array_repeat("_e", F.col("_times"))).alias("_e")).select(*texts.columns, "_e.*")
 
 
 def payload_gate(df: DataFrame, content_type: str, size: str, least: int = 8000, most: int = 25_000_000) -> DataFrame:
@@ -108,13 +139,16 @@ def build_manifest(df: DataFrame, by: Sequence[str], order: Sequence[Column], me
     return out.withColumns({c: F.round(c, digits) for c, digits in metrics.items()})
 
 
-def build_sources(hits: DataFrame, by: str, chunks: int = 256) -> DataFrame:
-    """The collected sources of each group in ordered arrays, one for each of `chunks` parts of its items.
+def build_sources(hits: DataFrame, by: str, per_chunk: int = 1000) -> DataFrame:
+    """The collected sources of each group in ordered arrays, one for each of its parts of about per_chunk rows.
 
-    Parts are chosen by a hash of the item, so a group with most of the rows is no single array; no source is left out.
+    A group's parts follow from its number of rows and are dealt by a hash of the whole row, so arrays stay small however
+    many rows a group has; no source is left out. Rows of a null group are a group of their own.
     """
-    part = F.pmod(F.xxhash64("item_id"), F.lit(chunks)).cast("int").alias("chunk")
-    return hits.groupBy(by, part).agg(F.array_sort(F.collect_list(F.struct("item_id", "title", "channel"))).alias("sources"))
+    parts = hits.groupBy(F.col(by).alias("_by")).agg(F.ceil(F.count("*") / per_chunk).cast("long").alias("_parts"))
+    dealt = hits.join(parts, F.col(by).eqNullSafe(F.col("_by")))
+    part = F.pmod(F.xxhash64(*hits.columns), F.col("_parts")).cast("int").alias("chunk")
+    return dealt.groupBy(by, part).agg(F.array_sort(F.collect_list(F.struct("item_id", "title", "channel"))).alias("sources"))
 
 
 def primary_or_fallback(primary: DataFrame, fallback: DataFrame, key: str) -> DataFrame:
@@ -129,9 +163,39 @@ def attach_metadata(df: DataFrame, meta: DataFrame, key: str) -> DataFrame:
     return df.join(meta, key, "left").withColumns({c: F.coalesce(c, F.lit("")) for c in names})
 
 
-def cross_dims(*dims: DataFrame) -> DataFrame:
-    """All combinations of small dimension tables."""
+def cross_dims(*dims: DataFrame, most: int = 10_000) -> DataFrame:
+    """All combinations of dimension tables; each is counted first, as far as its limit of rows."""
+    for d in dims:
+        if d.limit(most + 1).count() > most:
+            raise ValueError(f"a table with over {most} rows is no dimension: {d.columns}")
     out = dims[0]
     for d in dims[1:]:
-        out = out.crossJoin(d)
+        out = out.crossJoin(F.broadcast(d))  # its size was counted
     return out
+
+
+def frontier_walk(pages: DataFrame, seeds: DataFrame, rounds: int = 24, deny: str | None = None) -> DataFrame:
+    """The stored pages that links lead to from the seeds (url), with their depth; breadth first.
+
+    pages: page_id, url, html. Addresses are compared without fragment and in canonical form. In each round the pages
+    of the frontier are joined, their links extracted, and targets that were met before left out by an anti join; the
+    walk ends when nothing new is found or after `rounds` rounds. deny: a pattern of addresses that are not followed.
+    A round's frontier and what it has met are written tables; only the next round's links are computed from html.
+    Returns key (the canonical address), depth (0 for seeds) and page_id, a row for each stored page with that address.
+    """
+    stored = saved(pages.select("page_id", "url", "html", canonical_url(F.col("url")).alias("key")).filter("key is not null"), "walk-pages")
+
+    def targets(rows: DataFrame) -> DataFrame:
+        keys = rows.filter("key is not null").select("key").distinct()
+        return keys if deny is None else keys.filter(~F.col("key").rlike(deny))
+
+    met = [saved(targets(seeds.select(canonical_url(F.col("url")).alias("key"))).withColumn("depth", F.lit(0)), "walk")]
+    for depth in range(1, rounds):
+        reached = stored.join(met[-1].select("key"), "key", "left_semi")
+        links = targets(extract_links(reached).select(canonical_url(F.col("target")).alias("key")))
+        links = links.join(stored.select("key"), "key", "left_semi")
+        new = saved(links.join(reduce(DataFrame.unionByName, met).select("key"), "key", "left_anti").withColumn("depth", F.lit(depth)), "walk")
+        if new.isEmpty():
+            break
+        met.append(new)
+    return reduce(DataFrame.unionByName, met).join(stored.select("key", "page_id"), "key").select("key", "depth", "page_id")

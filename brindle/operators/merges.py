@@ -48,8 +48,14 @@ def replace_children(children: DataFrame, parents: DataFrame, key: str, items: s
     """
     if filled:
         parents = parents.withColumn(items, F.filter(items, lambda x: F.trim(F.coalesce(x[filled], F.lit(""))) != ""))
-    for c, value in (defaults or {}).items():
-        parents = parents.withColumn(items, F.transform(items, lambda x, c=c, value=value: x.withField(c, F.coalesce(x[c], F.lit(value)))))
+
+    def with_defaults(x: Column) -> Column:
+        for c, value in (defaults or {}).items():
+            x = x.withField(c, F.coalesce(x[c], F.lit(value)))
+        return x
+
+    if defaults:
+        parents = parents.withColumn(items, F.transform(items, with_defaults))
     new = parents.select(key, F.posexplode(items).alias("_pos", "_item")).select(key, (F.col("_pos") + 1).alias(number), "_item.*")
     return children.join(parents.select(key), key, "left_anti").unionByName(new.select(*children.columns))
 

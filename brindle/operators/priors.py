@@ -91,13 +91,22 @@ def value_stats(df: DataFrame, least: int = 10, accuracy: int | None = None) ->
     return n.filter(F.col("n") >= least)
 
 
-def rank_select(df: DataFrame, col: str, low: float = 0.25, high: float = 0.75, default: float = 1.0) -> DataFrame:
+def rank_select(df: DataFrame, col: str, low: float = 0.25, high: float = 0.75, default: float = 1.0, ranges: int = 256) -> DataFrame:
     """One row with two order statistics picked by place: sorted[n*low - 1] and sorted[n*high], within the ends.
 
-    Values are counted first, so only one row for each distinct value is summed up in order. No rows give the default.
+    Values are counted first. The distinct values are cut into ranges at approximate quantiles (one row of bounds), the
+    ranges' counts are added up to offsets, and places are counted inside each range, so the result is exact whatever
+    the bounds and no task sees more than a range. No rows give the default.
     """
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    bounds = counts.agg(F.percentile_approx("v", [k / ranges for k in range(1, ranges)], 100 * ranges).alias("bounds"))
+    ranged = counts.crossJoin(F.broadcast(bounds))  # one row
+    ranged = ranged.select("v", "n", F.size(F.filter("bounds", lambda b: b < F.col("v"))).alias("_range"))
+    sums = ranged.groupBy("_range").agg(F.sum("n").alias("_n"))  # a row for each range
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    offsets = sums.select("_range", before.alias("_before"))
+    inside = F.sum("n").over(Window.partitionBy("_range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    upto = ranged.withColumn("_in", inside).join(F.broadcast(offsets), "_range").select("v", (F.col("_before") + F.col("_in")).alias("upto"))
     total = counts.agg(F.sum("n").alias("total"))
     at_low = F.greatest(F.lit(0), F.floor(F.col("total") * low) - 1)
     at_high = F.least(F.col("total") - 1, F.floor(F.col("total") * high))

@@ -51,6 +51,26 @@ def page(df: DataFrame, order: Order, limit: int = 500, offset: int = 0) -> Data
     return df.orderBy(*order).offset(offset).limit(limit or 500)
 
 
+def page_after(df: DataFrame, order: Sequence[tuple[str, bool]], after: Sequence[object] | None, limit: int = 500) -> DataFrame:
+    """L2: the rows that follow the last row of the page before, in the order of columns (name, descending).
+
+    after: that row's values of the order's columns (None for the first page). They become a condition that the scan can
+    use, so a deep page sorts what is behind it only to its limit, and never what is before it. Nulls are smallest. The
+    order must be total, else equal rows are left out.
+    """
+    if after is not None:
+        beyond, same = F.lit(False), F.lit(True)
+        for (name, down), value in zip(order, after, strict=True):
+            c = F.col(name)
+            if value is None:
+                further = F.lit(False) if down else c.isNotNull()
+            else:
+                further = (c < F.lit(value)) | c.isNull() if down else c > F.lit(value)
+            beyond, same = beyond | (same & further), same & c.eqNullSafe(F.lit(value))
+        df = df.filter(beyond)
+    return df.orderBy(*[F.desc(name) if down else F.asc(name) for name, down in order]).limit(limit)
+
+
 def recent(df: DataFrame, ts: str, tie: str, n: int) -> DataFrame:
     """L4: the last n rows by time."""
     return df.orderBy(F.desc(ts), F.desc(tie)).limit(n)
@@ -106,10 +126,11 @@ def split_by_presence(groups: DataFrame, results: DataFrame, key: str, target: i
 
 
 def minmax_norm(df: DataFrame, col: str, by: Sequence[str], name: str = "norm", epsilon: float = 1e-9) -> DataFrame:
-    """A column scaled to 0 to 1 in each group."""
-    w = Window.partitionBy(*by)
-    low, high = F.min(col).over(w), F.max(col).over(w)
-    return df.withColumn(name, (F.col(col) - low) / (high - low + epsilon))
+    """A column scaled to 0 to 1 in each group; the ends of a group are added up before they are joined."""
+    ends = df.groupBy(*[F.col(c).alias(f"_by{k}") for k, c in enumerate(by)]).agg(F.min(col).alias("_low"), F.max(col).alias("_high"))
+    on = [F.col(c).eqNullSafe(F.col(f"_by{k}")) for k, c in enumerate(by)]
+    both = df.join(ends, on) if by else df.crossJoin(F.broadcast(ends))  # one row
+    return both.withColumn(name, (F.col(col) - F.col("_low")) / (F.col("_high") - F.col("_low") + epsilon)).select(*df.columns, name)
 
 
 def gate_counts(df: DataFrame, by: str, target: int) -> DataFrame:

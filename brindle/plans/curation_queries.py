@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,12 @@ def page(v: View) -> DataFrame:
     return ranking.page(v("orders"), [F.desc("o_orderdate"), F.asc("o_orderkey")], 0, 1000).select("o_orderkey")
 
 
+@query("SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-06-15' OR (o_orderdate = TIMESTAMP '1996-06-15' AND o_orderkey > 40) ORDER BY o_orderdate DESC, o_orderkey LIMIT 500")
+def page_after(v: View) -> DataFrame:
+    last = (datetime.datetime(1996, 6, 15), 40)
+    return ranking.page_after(v("orders"), [("o_orderdate", True), ("o_orderkey", False)], last).select("o_orderkey")
+
+
 @query("SELECT event_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 10")
 def recent(v: View) -> DataFrame:
     return ranking.recent(v("events"), "ts", "event_id", 10).select("event_id")
@@ -85,9 +93,17 @@ def distinct_first(v: View) -> DataFrame:
     return ranking.distinct_first(v("pages").withColumn("key", urls.strip_query(F.col("url"))), "key", "page_id").select("key", "page_id")
 
 
-@query("SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)")
 def unvisited(v: View) -> DataFrame:
-    return ranking.unvisited(v("customer").select("c_custkey"), v("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    orders = v("orders")
+    return ranking.unvisited(orders.filter("o_orderstatus = 'F'").select("o_custkey"), orders.filter("o_totalprice > 450000"), "o_custkey")
+
+
+@query("""WITH RECURSIVE s AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS key FROM pages), e AS (SELECT a.key AS f, b.key AS t FROM s a JOIN s b ON b.page_id IN (a.page_id * 2 + 1, a.page_id * 2 + 2)),
+ w(key, depth) AS (SELECT key, 0 FROM s WHERE page_id IN (0, 40) UNION SELECT t, depth + 1 FROM w JOIN e ON f = key WHERE depth < 6) SELECT key, min(depth) AS depth, page_id FROM w JOIN s USING (key) GROUP BY key, page_id""")
+def frontier_walk(v: View) -> DataFrame:
+    site = v("fx_site")
+    return curation.frontier_walk(site, site.filter("page_id in (0, 40)").select("url"), rounds=7)
 
 
 @query("SELECT p_partkey, count(l_orderkey) AS n_results, CASE WHEN count(l_orderkey) >= 30 THEN 'complete' WHEN count(l_orderkey) > 0 THEN 'partial' ELSE 'missing' END AS state FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY 1")
@@ -173,6 +189,16 @@ def match_entities(v: View) -> DataFrame:
     return curation.match_entities(frame, entities).select("p_partkey", "entity")
 
 
+@query("SELECT c_custkey, s_suppkey FROM customer, supplier WHERE contains(lower(c_name) || ' supplier', right(s_name, 9)) AND NOT (s_suppkey % 5 = 0 AND contains(lower(c_name), 'customer#' || right(s_name, 9)))")
+def match_suppliers(v: View) -> DataFrame:
+    """J12 with an entity for each supplier: its name's words are in the text of the customer with its number."""
+    number = F.substring("s_name", -9, 9)
+    rejects = F.when(F.col("s_suppkey") % 5 == 0, F.array(F.concat(F.lit("customer#"), number)))
+    entities = v("supplier").select("s_suppkey", F.array(F.lower("s_name"), F.lit("no such name")).alias("aliases"), rejects.alias("rejects"))
+    texts = v("customer").select("c_custkey", F.concat(F.lower("c_name"), F.lit(" supplier")).alias("text"))
+    return curation.match_entities(texts, entities).select("c_custkey", "s_suppkey")
+
+
 @query("WITH c AS (SELECT page_id, page_id % 3 AS grp, row_number() OVER (PARTITION BY page_id % 3 ORDER BY page_id) AS r FROM pages WHERE page_id % 3 <> 9 AND split_part(url, '?', 1) LIKE '%.example.org/%' AND NOT regexp_matches(lower(concat_ws(' ', 'Blue Widget ' || page_id, 'https://cdn' || (page_id % 3) || '.example.com/p/' || page_id || '.jpg?w=9', split_part(url, '?', 1))), 'logo|poster')) SELECT page_id FROM c WHERE r <= 10")
 def curate_candidates(v: View) -> DataFrame:
     frame = curation.extract_attr_json(v("fx_pages_rich")).withColumn("arrival", F.col("page_id")).withColumn("grp", F.col("page_id") % 3)
@@ -303,6 +329,30 @@ def near_dup_pairs(v: View) -> DataFrame:
     return selection.near_dup_pairs(selection.with_features(v("fx_candidates")), "vec_id", ["grp"], [(20, 0.30)])
 
 
+COPIES = """WITH c AS (SELECT vec_id, grp, embedding, score FROM fx_candidates UNION ALL SELECT vec_id + 1000000, grp, list_transform(embedding, lambda x, i: CASE WHEN i = vec_id % 64 + 1 THEN -x ELSE x END), score FROM fx_candidates)"""
+
+
+def with_copies(v: View) -> DataFrame:
+    """Every candidate, and a copy with one component turned round."""
+    rows = v("fx_candidates").select("vec_id", "grp", "embedding", "score")
+    turned = F.transform("embedding", lambda x, i: F.when(i == F.col("vec_id") % 64, -x).otherwise(x))
+    return rows.unionByName(rows.select((F.col("vec_id") + 1_000_000).alias("vec_id"), "grp", turned.alias("embedding"), "score"))
+
+
+@query(COPIES + ", " + PAIRS.removeprefix("WITH ").replace("FROM fx_candidates", "FROM c") + " SELECT a, b, apart, round(cosine, 6) AS cosine FROM p WHERE apart <= 9 AND cosine >= 0.91")
+def near_dup_bands(v: View) -> DataFrame:
+    """J16 with the limits of the `crawl` preset, which bands of the signature can serve."""
+    return selection.near_dup_pairs(selection.with_features(with_copies(v)), "vec_id", ["grp"], similarity.PRESETS["crawl"].duplicate)
+
+
+@query()
+def suppress_game_dups(v: View) -> DataFrame:
+    """N3 with the limits of the `game` preset on signatures of 256 bits; better scores first."""
+    items = selection.with_features(with_copies(v), bits=256)
+    ranked = ranking.number_from(items, ["grp"], [F.desc("score"), F.asc("vec_id")], name="place")
+    return selection.suppress_near_dups(ranked, "vec_id", ["grp"], "place", similarity.PRESETS["game"].duplicate, bits=256).select("vec_id", "grp", "score")
+
+
 @query()
 def suppress_near_dups(v: View) -> DataFrame:
     items = selection.with_features(v("fx_candidates"))

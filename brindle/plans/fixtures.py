@@ -18,6 +18,7 @@ VIEWS = {
     "fx_tenders": r"""SELECT concat(cast(l_orderkey AS varchar(20)), '-', cast(l_linenumber AS varchar(20))) AS record_id, n_name AS country, p_brand AS cpv, concat(' ', s_name, '  Dept') AS buyer_name, cast(l_extendedprice AS varchar(40)) AS value, CASE n_regionkey WHEN 0 THEN 'usd' WHEN 1 THEN 'EUR' ELSE ' GBP ' END AS currency, CASE l_returnflag WHEN 'R' THEN 'Award_First' ELSE 'notice' END AS evidence_grain, CASE l_linestatus WHEN 'F' THEN 'USASPENDING' ELSE 'TED' END AS source FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey""",
     "fx_candidates": r"""SELECT vec_id, label AS grp, embedding, cast((vec_id * 37) % 101 AS double) / 100.0 AS score FROM embeddings""",
     "fx_pages_rich": r"""SELECT page_id, url, concat(html, '<a rel="next" href="/gallery?page=', cast(page_id % 5 + 2 AS varchar(20)), '">Next</a><meta property="og:image" content="/content/images/', cast(page_id AS varchar(20)), '.jpg"><a class="iusc" m="{&quot;murl&quot;:&quot;https://cdn', cast(page_id % 3 AS varchar(20)), '.example.com/p/', cast(page_id AS varchar(20)), '.jpg?w=9&quot;,&quot;purl&quot;:&quot;', split_part(url, '?', 1), '&quot;,&quot;t&quot;:&quot;Blue Widget ', cast(page_id AS varchar(20)), '&quot;}">x</a>') AS html FROM pages""",
+    "fx_site": r"""SELECT p.page_id, p.url, concat(p.html, coalesce(concat('<a href="', a.url, '">first</a>'), ''), coalesce(concat('<a href="', b.url, '">second</a>'), '')) AS html FROM pages p LEFT JOIN pages a ON a.page_id = p.page_id * 2 + 1 LEFT JOIN pages b ON b.page_id = p.page_id * 2 + 2""",
     "fx_search_hits": r"""SELECT doc_id, concat('q', cast(doc_id % 6 AS varchar(20))) AS query, concat('vid', cast(doc_id % 300 AS varchar(20))) AS item_id, concat(p_name, ' ', CASE doc_id % 4 WHEN 0 THEN 'gameplay no commentary 1080p' WHEN 1 THEN 'review trailer' WHEN 2 THEN 'longplay hd' ELSE 'most ending' END) AS title, cast((doc_id * 61) % 20000 AS double) AS duration, source AS channel, doc_id AS arrival FROM documents JOIN part ON p_partkey = doc_id % 200""",
 }
 

@@ -95,15 +95,33 @@ def fill_template(v: View) -> DataFrame:
     return v("fx_leads").select("lead_id", text.fill_template(F.lit("Dear {{firstName}} of {{company}}: {{nothing}}"), variables).alias("message"))
 
 
+def message_leads(v: View) -> DataFrame:
+    """Leads at their step with what messages need; every third campaign tracks openings, every second shows the link."""
+    at = campaigns.with_step(v("fx_leads"), v("fx_steps"))
+    custom = F.when(F.col("lead_id") % 4 == 0, '{"company":"custom"}').when(F.col("lead_id") % 4 == 1, "{bad")
+    flags = {"track_opens": (F.col("campaign_id") % 3 == 0).cast("int"), "show_unsubscribe": (F.col("campaign_id") % 2).cast("int"), "unsubscribe_text": F.when(F.col("campaign_id") % 5 == 1, "Stop")}
+    return at.withColumns({"last_name": F.lit("Doe"), "custom_data": custom, "log_id": F.col("lead_id") + 100, **flags})
+
+
+BODY = "Dear {{fullName}},\n\nnews for {{company}}{{nothing}}.<br/>Bye"
+
+
 @query()
 def render_messages(v: View) -> DataFrame:
-    """Subject and unsubscribe link of each lead's next message."""
-    at = campaigns.with_step(v("fx_leads"), v("fx_steps"))
-    picked = campaigns.pick_variation(at, v("fx_variations"), 7).join(v("fx_variations").select("step_id", "variant", "subject"), ["step_id", "variant"])
-    variables = text.template_variables(F.col("first_name"), F.lit(""), F.col("email"), F.col("company"), F.create_map().cast("map<string,string>"))
-    subject = text.fill_template(text.spin(F.col("subject"), F.col("lead_id"), 7), variables)
-    picked = campaigns.add_links(picked.withColumn("log_id", F.lit(None).cast("long")), "https://example.org", F.lit(False))
-    return picked.select("lead_id", "variant", subject.alias("subject"), "unsubscribe_url")
+    """Each lead's next message, with choices in braces."""
+    variations = v("fx_variations").withColumn("body", F.concat(F.lit("{Dear|Hello} {{firstName}}\n"), F.col("variant")))
+    return campaigns.render_messages(message_leads(v), variations, 7, "https://example.org")
+
+
+@query("""SELECT lead_id, 'A' AS variant, 'For ' || email AS subject, '<!DOCTYPE html><html><body style="font-family:Arial,sans-serif;">Dear ' || first_name || ' Doe,<br><br>news for ' || CASE WHEN lead_id % 4 = 0 THEN 'custom' ELSE company END || '.<br/>Bye'
+ || CASE WHEN l.campaign_id % 2 = 1 THEN '<br><br><p style="font-size:11px;color:#999;font-family:Arial,sans-serif;"><a href="https://example.org/unsub/' || lead_id || '" style="color:#999;text-decoration:underline;">' || CASE WHEN l.campaign_id % 5 = 1 THEN 'Stop' ELSE 'Unsubscribe' END || '</a></p>' ELSE '' END
+ || CASE WHEN l.campaign_id % 3 = 0 THEN '<img src="https://example.org/t/' || (lead_id + 100) || '" width="1" height="1" alt="" style="display:none;width:1px;height:1px;border:0;" />' ELSE '' END || '</body></html>' AS html,
+ 'Dear ' || first_name || ' Doe,' || chr(10) || chr(10) || 'news for ' || CASE WHEN lead_id % 4 = 0 THEN 'custom' ELSE company END || '.' || chr(10) || 'Bye' AS plain, CASE WHEN l.campaign_id % 2 = 1 THEN 'https://example.org/unsub/' || lead_id END AS list_unsubscribe
+ FROM fx_leads l JOIN fx_steps s ON s.campaign_id = l.campaign_id AND s.step_number = l.current_step""")
+def message_bodies(v: View) -> DataFrame:
+    """D9 without choices: one variation for each step."""
+    one = v("fx_steps").select("step_id", F.lit("A").alias("variant"), F.lit(1).alias("weight"), F.lit("For {{email}}").alias("subject"), F.lit(BODY).alias("body"))
+    return campaigns.render_messages(message_leads(v), one, 7, "https://example.org")
 
 
 @query("SELECT lead_id, email, company FROM fx_leads")
@@ -152,6 +170,14 @@ def open_counts(v: View) -> DataFrame:
     return jobs.open_counts(rows).select("log_id", F.unix_micros("opened_at").alias("first_us"), "open_count")
 
 
+@query("SELECT l, epoch_us(d) AS day_us, epoch_us(min(ts)) AS first_us, count(*) AS open_count FROM (SELECT DISTINCT event_id, event_id % 500 AS l, ts, date_trunc('day', ts) AS d FROM events WHERE event_type = 'view') GROUP BY 1, 2")
+def open_counts_once(v: View) -> DataFrame:
+    """T2 over a table in which every event comes twice."""
+    rows = v("events").filter("event_type = 'view'").select("event_id", (F.col("event_id") % 500).alias("l"), F.col("ts").cast("timestamp").alias("ts"))
+    daily = jobs.open_counts_once(rows.unionByName(rows), key="l")
+    return daily.select("l", F.unix_micros("window.start").alias("day_us"), F.unix_micros("opened_at").alias("first_us"), "open_count")
+
+
 @query()
 def plan_batches(v: View) -> DataFrame:
     frame = v("fx_campaigns")

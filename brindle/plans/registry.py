@@ -76,6 +76,20 @@ def priors_document(v: View) -> DataFrame:
     return writers.priors_document(cells, priors.with_bonus(priors.buyer_prior(t), "sample_size", 6, 8.0), {"cpv": "cpv", "buyer": "buyer_name"})
 
 
+@query(
+    CELLS
+    + BUYERS.removeprefix(CLEAN)
+    + f""", q AS ({picked('cells', 'per_buyer')}), r AS ({picked('buyers', 'sample_size')})
+ SELECT 'country_cpv' AS section, country || '|' || division AS key, sample_size, unique_buyers AS second, {bonus('per_buyer', 8)} AS priority_bonus FROM cells, q
+ UNION ALL SELECT 'buyers', lower(country) || '|' || buyer_key, sample_size, cpv_diversity, {bonus('sample_size', 6)} FROM buyers, r"""
+)
+def prior_cells(v: View) -> DataFrame:
+    t = tenders(v)
+    rows = writers.prior_cells(priors.with_bonus(priors.country_class_prior(t), "per_buyer", 8), priors.with_bonus(priors.buyer_prior(t), "sample_size", 6, 8.0))
+    part = lambda *names: F.coalesce(*[F.get_json_object("cell", f"$.{n}") for n in names]).cast("long")
+    return rows.select("section", "key", part("sample_size").alias("sample_size"), part("unique_buyers", "cpv_diversity").alias("second"), part("priority_bonus").cast("int").alias("priority_bonus"))
+
+
 @query("SELECT record_id, country, cpv, buyer_name AS buyer FROM fx_tenders")
 def resolve_roles(v: View) -> DataFrame:
     return priors.resolve_roles(v("fx_tenders")).select("record_id", "country", "cpv", "buyer")
