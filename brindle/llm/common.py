@@ -15,6 +15,8 @@ def scratch_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names in spark.checkpoint.dir; a local one only where that is unset (tests)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="brindle-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared.rstrip("/")

@@ -517,9 +517,11 @@ def one_of_each(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -
     judged = of_sets.join(stay, "own").withColumn("stays", stays).filter("not stays or c > 1")
     judged = written(judged.select(F.col("doc_id").alias("_judged_id"), F.col("h").alias("_judged_hash"), F.col("stays").alias("_stays")), "join-judged")
 
-    # Rows that are in no group, or of which one stays, are not touched; of repeated rows one is kept.
-    same = F.col("_set_id").eqNullSafe(F.col("_judged_id")) & (F.col("_set_hash") == F.col("_judged_hash"))
-    named = docs.withColumn("_set_id", F.col("doc_id").cast("long")).withColumn("_set_hash", F.xxhash64("text"))
+    # Rows that are in no group, or of which one stays, are not touched; of repeated rows one is kept. A row goes as one
+    # struct, so names of columns here and of docs cannot clash.
+    same = F.col("_id").eqNullSafe(F.col("_judged_id")) & (F.col("_hash") == F.col("_judged_hash"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.select(row.alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"))
     kept = named.join(judged, same, "left_anti")
-    repeated = named.join(judged.filter("_stays"), same, "left_semi").dropDuplicates(["_set_id", "_set_hash"])
-    return kept.unionByName(repeated).select(*docs.columns)
+    repeated = named.join(judged.filter("_stays"), same, "left_semi").dropDuplicates(["_id", "_hash"])
+    return kept.unionByName(repeated).select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

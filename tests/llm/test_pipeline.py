@@ -122,3 +122,18 @@ def test_sql_of_links_between_vectors(spark, tmp_path, monkeypatch):
     theirs = con.execute(f"SELECT vec_id, n_links, component_id, kept FROM ({ORACLES['op6_embedding_near_dups']})").fetchall()
     ours = [tuple(r) for r in rp_forest.near_duplicates(frame).select("vec_id", "n_links", "component_id", "kept").collect()]
     assert sorted(ours) == sorted(theirs) and sum(not r[3] for r in ours) > 80 and len({r[1] for r in ours}) > 10
+
+
+CLASHING = ("_set_id", "_set_hash", "_judged_id", "_judged_hash", "_stays", "_set_n", "_set_k", "_set_bits", "_row", "_id", "_hash", "h", "k", "n", "bits", "node", "root", "own", "score", "predicted", "label", "size", "taken", "repeats", "_words", "target", "_of")
+
+
+def test_names_of_the_stages_columns_stay_the_callers(spark):
+    """Every stage but the last keeps columns that are named as its own ones, with their values and types."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").filter("doc_id < 60")
+    named = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id")) for c in CLASHING})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, got = stage(spark, docs, DATA), stage(spark, named, DATA)
+        assert got.columns == named.columns and [t for _, t in got.dtypes] == [t for _, t in named.dtypes], name
+        rows = got.collect()
+        assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in plain.collect()) and rows, name
+        assert all(r[c] == f"{c} of {r['doc_id']}" for r in rows for c in CLASHING), name
