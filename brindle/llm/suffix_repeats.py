@@ -318,9 +318,11 @@ def repeated_windows(texts: DataFrame, span: int, gram: int) -> DataFrame:
     """rid, start and stop: window starts of texts (rid, text; a bucketed table) whose `span` bytes also start elsewhere."""
     places = written(texts.mapInArrow(_anchor_rows(span, gram), "key long, seg long, rid long, at long"), "anchors")
     # Most anchors occur once; nothing of theirs is looked at again.
-    often = places.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1").select("key")
+    # The keys are written, so that the join deals both sides anew and a hot anchor can be split.
+    often = written(places.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1").select("key"), "often")
     shared = written(places.join(often, "key"), "shared-anchors")
     discard(places)
+    discard(often)
     # Copies of a segment are sorted once, with their number.
     one = F.min(F.struct("rid", "at")).alias("one")
     segments = written(shared.groupBy("key", "seg").agg(F.count("*").alias("n"), one), "segments")
