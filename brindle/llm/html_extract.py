@@ -34,7 +34,7 @@ CLOSED_BY = {"p": BLOCKS - {"html", "body"}, "li": {"li"}, "dt": {"dt", "dd"}, "
 MARKS = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice\w*|alert\w*|popup|modal|overlay|newsletter|subscribe|signup|login|"
     r"nav\w*|menu\w*|breadcrumb\w*|crumbs?|toc|pagination|pager|sidebar\w*|side|aside|widget\w*|related|recommend\w*|share\w*|sharing|social\w*|"
-    r"comment\w*|disqus|replies|respond|reply|footer\w*|foot|masthead|topbar|toolbar|site-header|page-header|skip-link|hidden|sr-only|tags?|meta|copyright|legal|disclaimer|navigation|complementary|contentinfo|search)(?:$|[\s_-])",
+    r"comment\w*|discussion\w*|disqus|replies|respond|reply|footer\w*|foot|masthead|topbar|toolbar|site-header|page-header|skip-link|hidden|sr-only|tags?|meta|copyright|legal|disclaimer|navigation|complementary|contentinfo|search)(?:$|[\s_-])",
     re.I,
 )
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|[^<]+|<", re.S)
@@ -43,22 +43,30 @@ COMMENT_MARKS = re.compile(r"(?:^|[\s_-])(?:comment\w*|repl(?:y|ies)|respond|rel
 #: Inside an article or main element only these mark a container, and its text blocks are marked by adverts alone.
 INNER_MARKS = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice\w*|alert\w*|popup|modal|overlay|newsletter|subscribe|signup|login|"
-    r"nav\w*|menu\w*|breadcrumb\w*|pagination|pager|sidebar\w*|aside|widget\w*|recommend\w*|share\w*|sharing|social\w*|comments?|comment-?(?:list|section|area|form|thread)s?|disqus|respond|footer\w*|"
+    r"nav\w*|menu\w*|breadcrumb\w*|pagination|pager|sidebar\w*|aside|widget\w*|recommend\w*|share\w*|sharing|social\w*|comments?|comment-?(?:list|section|area|form|thread)s?|discussion\w*|disqus|respond|footer\w*|"
     r"related(?=$|\s|[_-](?:posts?|articles?|links?|stor(?:y|ies)|content|items?|reading|news))|hidden|sr-only|navigation|complementary|contentinfo|search)(?:$|[\s_-])",
     re.I,
 )
 ADVERT = re.compile(r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|sponsored|hidden|sr-only)(?:$|[\s_-])", re.I)
+#: Text blocks of an article are left out by these alone; other names say what a block is about.
+NOTES = re.compile(
+    r"(?<!\bno)(?<!\bhas)(?<!\bwith)(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|sponsored|hidden|sr-only|notice\w*|cookie\w*|consent|gdpr|alert\w*|newsletter|subscribe|share\w*|sharing|social\w*|comments)(?:$|[\s_-])",
+    re.I,
+)
 TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "blockquote", "pre", "figcaption", "td", "th", "span", "em", "strong", "b", "i", "a", "code"}
 #: Marked elements of these kinds hold no main text of their own, however long they are ("no-comments" says nothing).
 ASIDES = re.compile(
-    r"(?<!\bno)(?<!\bhas)(?<!\bwith)(?:^|[\s_-])(?:comment\w*|disqus|repl(?:y|ies)|respond|notice\w*|cookie\w*|consent|gdpr|alert\w*|popup|modal|overlay|disclaimer)(?:$|[\s_-])",
+    r"(?<!\bno)(?<!\bhas)(?<!\bwith)(?:^|[\s_-])(?:comment\w*|discussion\w*|disqus|repl(?:y|ies)|respond|notice\w*|cookie\w*|consent|gdpr|alert\w*|popup|modal|overlay|disclaimer)(?:$|[\s_-])",
     re.I,
 )
 SPACE = re.compile(r"\s+")
+LETTER = re.compile(r"\w")
 #: A marked element may be a wrapper if it holds more of a page's words than this.
 WRAPPER = 0.6
 #: So many words outside marked elements and links, in runs of RUN at least, are running text.
 RUNNING, RUN = 10, 5
+#: Tags without words between them cost no more than this together: layout is no reason to end a text.
+LAYOUT = 4.0
 #: Articles count as labels if they hold this share of a page's words outside boilerplate.
 LABELLED = 0.4
 
@@ -68,7 +76,8 @@ class Weights:
     """Scores of tokens: words by their surroundings (positive in text), tags by name (never positive).
 
     Boilerplate inside the labelled region, or anywhere on a page without one, counts 0: it is skipped and ends no text.
-    linked is for words of links on pages without a labelled region; inside one they count as text.
+    linked is for blocks of links alone on pages without a labelled region; links among other words are text, as are all
+    inside the region.
     outside is for words outside the labelled region of a page that has one, where tags inside it weigh little.
     """
 
@@ -99,7 +108,7 @@ def _marked(name: str, attributes: str, in_content: bool) -> bool:
         return not in_content  # an article's own header holds its title
     if not attributes or name in ("html", "body"):
         return False
-    marks = COMMENT_MARKS if name in CONTENT else MARKS if not in_content else ADVERT if name in TEXT_BLOCKS else INNER_MARKS
+    marks = COMMENT_MARKS if name in CONTENT else MARKS if not in_content else NOTES if name in TEXT_BLOCKS else INNER_MARKS
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), next((v for v in m.groups()[1:] if v is not None), "")
         if key in ("class", "id", "role", "aria-label") and marks.search(value):
@@ -227,17 +236,39 @@ def tokens_of(page: str) -> list[Token]:
     return tokens
 
 
+def _in_text(tokens: list[Token]) -> list[bool]:
+    """For each token whether its block has words outside links."""
+    out: list[bool] = []
+    start, plain = 0, False
+    for i, t in enumerate(tokens):
+        if t.kind != "word" and t.name in BLOCKS:
+            out.extend([plain] * (i - start))
+            start, plain = i, False
+        else:
+            plain |= t.words > 0 and not t.linked and bool(LETTER.search(t.text))
+    return out + [plain] * (len(tokens) - start)
+
+
 def _scores(tokens: list[Token], weights: Weights) -> list[float]:
+    """A score for each token; a run of tags without words costs LAYOUT at most."""
     tags = dict(weights.tags)
     regions = any(t.labelled for t in tokens)
     out = []
-    for t in tokens:
+    run = 0  # where the present run of tags began
+    for i, (t, in_text) in enumerate(zip(tokens, _in_text(tokens), strict=True)):
         if t.kind == "word":
-            each = 0.0 if t.boiler and (t.labelled or not regions) else weights.boiler if t.boiler else weights.word if t.labelled else weights.outside if regions and not t.labelled else weights.linked if t.linked else weights.word
+            linked = t.linked and not in_text
+            each = 0.0 if t.boiler and (t.labelled or not regions) else weights.boiler if t.boiler else weights.word if t.labelled else weights.outside if regions and not t.labelled else weights.linked if linked else weights.word
             out.append(t.words * each)
         else:
             score = max(tags.get(t.name, weights.tag), -0.2 if t.name in INLINE else -1.0)
             out.append(0.0 if t.boiler and (t.labelled or not regions) else max(score, -0.1) if t.labelled else max(score, weights.boiler) if t.boiler else score)
+        if t.words or i == len(tokens) - 1:
+            end = i if t.words else i + 1
+            cost = -sum(out[run:end])
+            if cost > LAYOUT:
+                out[run:end] = [x * LAYOUT / cost for x in out[run:end]]
+            run = i + 1
     return out
 
 
