@@ -15,6 +15,7 @@ NAMES = [
     "send_window", "import_leads", "allocate_least_loaded", "steps_with_variations", "lookup_lead", "keep_first", "split_by_presence", "extract_links", "page_text", "curate_candidates",
     "rank_results", "title_group", "lead_expressions", "near_dup_pairs", "upsert", "patch", "delete_cascade", "apply_replies", "advance", "lead_state", "rolling_7d", "fill_template",
     "add_links", "replied_leads", "days_after", "text_gates", "payload_gate", "image_expressions", "quality_presets", "build_sources",
+    "prior_cells", "page_after", "unvisited", "frontier_walk", "match_entities", "match_suppliers", "near_dup_bands", "message_bodies", "open_counts_once",
 ]
 
 
