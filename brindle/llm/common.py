@@ -48,6 +48,25 @@ def discard(table: DataFrame) -> None:
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: A key with over this share of all rows is hot; there are fewer than 256 such keys by that.
+HOT_SHARE = 1 / 256
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, copies: str, total: int) -> DataFrame:
+    """rows with the columns of table (one row for each key; null for keys that it lacks), without a hot key in one task.
+
+    copies: the table's number of rows with a key (dropped); total: of all rows. Keys with over HOT_SHARE of all rows are
+    fewer than 1 / HOT_SHARE, so these are broadcast; the others are joined by shuffling, and null keys not at all.
+    """
+    hot = F.broadcast(table.filter(F.col(copies) > max(1, total) * HOT_SHARE))
+    rest = table.filter(F.coalesce(copies, F.lit(0)) <= max(1, total) * HOT_SHARE).drop(copies)
+    warm = rows.join(hot.drop(copies), key)
+    cold = rows.filter(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key, "left")
+    none = rows.filter(F.col(key).isNull()).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest.schema if f.name != key])
+    columns = [key, *[c for c in rows.columns if c != key], *[c for c in rest.columns if c != key]]
+    return warm.select(*columns).unionByName(cold.select(*columns)).unionByName(none.select(*columns))
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Texts may be very long: fewer rows go to a Python worker at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

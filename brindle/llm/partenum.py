@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from brindle.llm.common import discard, small_batches, written
+from brindle.llm.common import discard, looked_up, small_batches, written
 from brindle.llm.components import components
 from brindle.llm.words import mixed, word_hashes
 
@@ -486,8 +486,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, least: int = 80, most: int =
     # From sets back to documents: the smallest id of each set, then of each component.
     ids = roots.join(sample.select("k", "doc_id"), F.col("node") == F.col("k")).groupBy("root").agg(F.min("doc_id").alias("id"))
     of_sets = roots.join(ids, "root").select(F.col("node").alias("k"), "id")
-    chosen = sample.filter("copies > 1").select("k", "doc_id").join(of_sets, "k", "full_outer").select("k", F.coalesce("id", "doc_id").alias("id"))
-    return rows.select("doc_id", "n", "k").join(chosen, "k", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("id", "doc_id").alias("component_id"))
+    chosen = sample.filter("copies > 1").select("k", "doc_id", "copies").join(of_sets, "k", "full_outer").select("k", F.coalesce("id", "doc_id").alias("id"), "copies")
+    chosen = written(chosen, "join-chosen")
+    return looked_up(rows.select("doc_id", "n", "k"), chosen, "k", "copies", rows.count()).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -> DataFrame:
@@ -506,10 +507,10 @@ def one_of_each(docs: DataFrame, n: int = 5, least: int = 80, most: int = 100) -
     sample, roots = _joined(rows, base, n, PartEnum(least, most))
 
     # The row that stays of each set that is linked or has copies: pre-aggregated minima by component.
-    grouped = roots.select("node", F.col("root").alias("own"))
-    copied = sample.filter("copies > 1").select(F.col("k").alias("node"), F.col("k").alias("own"))
-    groups = written(copied.join(grouped, "node", "left_anti").unionByName(grouped), "join-groups")
-    of_sets = rows.filter("k is not null").join(groups, F.col("k") == F.col("node")).groupBy("own", "doc_id", "k", "h").agg(F.count("*").alias("c"))
+    grouped = roots.select(F.col("node").alias("k"), F.col("root").alias("own"))
+    copied = sample.filter("copies > 1").select("k", "copies").join(grouped, "k", "full_outer")
+    groups = written(copied.select("k", F.coalesce("own", "k").alias("own"), "copies"), "join-groups")
+    of_sets = looked_up(rows.select("doc_id", "k", "h"), groups, "k", "copies", rows.count()).filter("own is not null").groupBy("own", "doc_id", "k", "h").agg(F.count("*").alias("c"))
     of_sets = written(of_sets, "join-grouped")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "h")).alias("first")
     stay = of_sets.groupBy("own").agg(first).select("own", F.col("first.doc_id").alias("of"), F.col("first.k").alias("ofk"), F.col("first.h").alias("ofh"))

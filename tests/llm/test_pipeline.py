@@ -96,7 +96,7 @@ def test_stages_on_odd_rows(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_of_corpus_queries(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "labels", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{DATA}/{table}.parquet')")
     result = con.execute(ORACLES[name])
     names = [d[0] for d in result.description]
