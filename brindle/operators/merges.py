@@ -77,19 +77,23 @@ def delete_cascade(tables: Mapping[str, DataFrame], root: str, keys: DataFrame,
 
 
 def replied_leads(leads: DataFrame, events: DataFrame) -> DataFrame:
-    """M6: how many leads replies (lead_id, ts) affect, in one row."""
-    return fan_out_by_email(events, leads).agg(F.countDistinct("lead_id").alias("affected"))
+    """M6: how many leads replies (lead_id, ts) affect, in one row: those of the addresses that have not replied before."""
+    fresh = leads.filter(F.coalesce("replied", F.lit(0)) == 0).select("lead_id")
+    return fan_out_by_email(events, leads).join(fresh, "lead_id", "left_semi").agg(F.countDistinct("lead_id").alias("affected"))
 
 
 def apply_replies(leads: DataFrame, logs: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M6: leads and log rows after replies (lead_id, ts): every lead of the address is done, its last log row replied.
 
-    The first reply time is kept; repeated replies change nothing more.
+    Leads that have replied before stay as they are. The first reply time is kept, and nothing is due any more.
     """
     reached = fan_out_by_email(events, leads)
     first = reached.groupBy("lead_id").agg(F.min("ts").alias("_ts"))
-    hit = F.col("_ts").isNotNull()
-    leads_out = leads.join(first, "lead_id", "left")
+    hit = F.col("_ts").isNotNull() & (F.coalesce("replied", F.lit(0)) == 0)
+    leads_out = leads.join(first, "lead_id", "left").withColumn("_hit", hit)
+    hit = F.col("_hit")
+    if "next_send_at" in leads.columns:
+        leads_out = leads_out.withColumn("next_send_at", F.when(~hit, F.col("next_send_at")))
     leads_out = leads_out.withColumn("replied_at", F.when(hit, F.coalesce("replied_at", "_ts")).otherwise(F.col("replied_at")))
     leads_out = leads_out.withColumn("replied", F.when(hit, 1).otherwise(F.col("replied"))).withColumn("status", F.when(hit, "completed").otherwise(F.col("status")))
     emails = reached.select("email").distinct()
@@ -100,9 +104,14 @@ def apply_replies(leads: DataFrame, logs: DataFrame, events: DataFrame) -> tuple
 
 
 def apply_unsubscribes(leads: DataFrame, unsubscribes: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """M7: leads and suppression list after requests (lead_id): all leads of the address, one row for the address."""
+    """M7: leads and suppression list after requests (lead_id): all leads of the address, one row for the address.
+
+    Nothing is due for these leads any more.
+    """
     emails = fan_out_by_email(events, leads).select("email").distinct()
     flagged = leads.join(emails.withColumn("_out", F.lit(True)), "email", "left")
+    if "next_send_at" in leads.columns:
+        flagged = flagged.withColumn("next_send_at", F.when(F.col("_out").isNull(), F.col("next_send_at")))
     leads_out = flagged.withColumn("unsubscribed", F.when(F.col("_out"), 1).otherwise(F.col("unsubscribed"))).withColumn("status", F.when(F.col("_out"), "unsubscribed").otherwise(F.col("status")))
     return leads_out.select(*leads.columns), insert_ignore(unsubscribes.select("email"), emails, ["email"], [F.col("email")])
 

@@ -50,10 +50,10 @@ def delete_cascade(v: View) -> DataFrame:
 HIT = "(SELECT b.lead_id, min(r.ts) AS ts FROM fx_requests r JOIN fx_leads a ON a.lead_id = r.lead_id JOIN fx_leads b ON b.email = a.email GROUP BY 1)"
 
 
-@query(f"SELECT l.lead_id, CASE WHEN h.lead_id IS NULL THEN l.replied ELSE 1 END AS replied, CASE WHEN h.lead_id IS NULL THEN l.status ELSE 'completed' END AS status FROM fx_due_leads l LEFT JOIN {HIT} h ON h.lead_id = l.lead_id")
+@query(f"SELECT l.lead_id, CASE WHEN h.lead_id IS NULL THEN l.replied ELSE 1 END AS replied, CASE WHEN h.lead_id IS NULL OR l.replied = 1 THEN l.status ELSE 'completed' END AS status, CASE WHEN h.lead_id IS NULL OR l.replied = 1 THEN epoch_us(next_send_at) END AS due_us FROM fx_due_leads l LEFT JOIN {HIT} h ON h.lead_id = l.lead_id")
 def apply_replies(v: View) -> DataFrame:
     requests = v("fx_requests").withColumn("ts", F.col("ts").cast("timestamp"))
-    return merges.apply_replies(v("fx_due_leads"), v("fx_email_logs"), requests)[0].select("lead_id", "replied", "status")
+    return merges.apply_replies(v("fx_due_leads"), v("fx_email_logs"), requests)[0].select("lead_id", "replied", "status", F.unix_micros("next_send_at").alias("due_us"))
 
 
 @query("WITH e AS (SELECT DISTINCT a.email FROM fx_requests r JOIN fx_leads a ON a.lead_id = r.lead_id), x AS (SELECT log_id, row_number() OVER (PARTITION BY email ORDER BY sent_at DESC, log_id DESC) AS r FROM fx_email_logs g JOIN fx_leads l ON l.lead_id = g.lead_id WHERE email IN (SELECT email FROM e)) SELECT log_id, CASE WHEN log_id IN (SELECT log_id FROM x WHERE r = 1) THEN 'replied' ELSE status END AS status FROM fx_email_logs")
@@ -67,6 +67,19 @@ def apply_unsubscribes(v: View) -> DataFrame:
     return merges.apply_unsubscribes(v("fx_leads"), v("fx_unsubscribes"), v("fx_requests"))[0].select("lead_id", "unsubscribed", "status")
 
 
+@query("SELECT email FROM fx_unsubscribes UNION SELECT b.email FROM fx_requests r JOIN fx_leads b ON b.lead_id = r.lead_id")
+def suppressed_addresses(v: View) -> DataFrame:
+    """M7: the second result."""
+    return merges.apply_unsubscribes(v("fx_leads"), v("fx_unsubscribes"), v("fx_requests"))[1].select("email")
+
+
+@query("SELECT l.lead_id, epoch_us(CASE WHEN r.lead_id IS NOT NULL AND retry_count < 2 THEN r.ts + INTERVAL '1' MINUTE * cast(30 * pow(2, retry_count) AS int) ELSE next_send_at END) AS due_us FROM fx_due_leads l LEFT JOIN fx_requests r ON r.lead_id = l.lead_id")
+def retry_times(v: View) -> DataFrame:
+    """M9: when failed leads are tried again."""
+    failures = v("fx_requests").select("lead_id", F.col("ts").cast("timestamp").alias("ts"))
+    return merges.retry(v("fx_due_leads"), failures).select("lead_id", F.unix_micros("next_send_at").alias("due_us"))
+
+
 @query("""SELECT l.lead_id, CASE WHEN r.lead_id IS NULL THEN l.status WHEN l.current_step >= 3 THEN 'completed' ELSE 'active' END AS status, cast(CASE WHEN r.lead_id IS NOT NULL AND l.current_step < 3 THEN l.current_step + 1 ELSE l.current_step END AS int) AS current_step,
  CASE WHEN r.lead_id IS NULL THEN retry_count ELSE 0 END AS retry_count, date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', date_trunc('hour', CASE WHEN r.lead_id IS NULL THEN next_send_at WHEN l.current_step < 3 THEN r.ts + INTERVAL '1' DAY * (CASE l.current_step WHEN 1 THEN 2 ELSE 4 END) END)) AS due_hour FROM fx_due_leads l LEFT JOIN fx_requests r ON r.lead_id = l.lead_id""")
 def advance(v: View) -> DataFrame:
@@ -195,7 +208,7 @@ def add_links(v: View) -> DataFrame:
     return campaigns.add_links(v("fx_email_logs"), "https://example.org", F.col("variant") == "A").select("log_id", "tracking_url", "unsubscribe_url")
 
 
-@query(f"SELECT count(*) AS affected FROM {HIT}")
+@query(f"SELECT count(*) AS affected FROM {HIT} JOIN fx_leads USING (lead_id) WHERE replied = 0")
 def replied_leads(v: View) -> DataFrame:
     return merges.replied_leads(v("fx_leads"), v("fx_requests").withColumn("ts", F.col("ts").cast("timestamp")))
 

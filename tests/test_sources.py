@@ -125,6 +125,12 @@ def test_orders_and_sets(spark):
     assert spark.range(1).select(text.drop_keys(F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit("2")), ["a"])).first()[0] == {"b": "2"}
 
 
+def test_suffixes_of_urls(spark):
+    cases = {"https://a/x.PNG?w=1": ".png", "https://a/x.jpeg": ".jpeg", "https://a/x.webp": ".webp", "https://a/x.gif": ".jpg", "https://a/x": ".jpg", "https://a/x.jpg/": ".jpg"}
+    rows = spark.createDataFrame([(k,) for k in cases], "u string").select("u", urls.url_suffix(F.col("u")).alias("s")).collect()
+    assert {r["u"]: r["s"] for r in rows} == cases
+
+
 def test_references_and_folds(spark):
     given = ["&lt;b&gt; &amp;amp; &eacute;&#233;&#xe9;&hellip;", "&nosuch;", None, "&euro"]
     rows = spark.createDataFrame(list(enumerate(given)), "i int, t string")
