@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.numbers import in_send_window, pct1
 from brindle.functions.text import clean_ws, fill_template, is_disposable, is_email, json_map_or_empty, message_html, message_text, parse_int_list, spin, template_variables, uniform
-from brindle.operators.tables import dropped, number_rows, renumber, saved
+from brindle.operators.tables import dropped, number_rows, renumber, saved, sum_before
 
 DEFAULT_DAYS = "1,2,3,4,5"
 DEFAULT_ZONE = "Europe/Paris"
@@ -286,56 +286,43 @@ def allocate_sticky(leads: DataFrame, inboxes: DataFrame, order: Sequence[str |
     leads: lead_id, assigned_inbox and the columns of the order. A lead whose inbox is unknown, inactive or full is like
     one without. Returns lead_id, inbox_id and sticky; leads beyond all limits go.
 
-    The result is that of the loop, found in rounds. Every lead wants the smallest slot (by load and inbox) of all, or of
-    its inbox first, and a slot goes to the earliest lead that wants it. So slots are promised and a promise is withdrawn
-    when an earlier lead comes: a lead that finds a slot taken by an earlier one will never get it, so the order in which
-    leads ask does not matter and all ask at once. In a round the n-th lead without a slot, of those of an inbox or of
-    those without, asks for the n-th slot of the inbox or of all that is free or promised to a later lead. A lead to
-    whom its inbox has no such slot left joins those without. Rounds end when all leads have slots or none is left for
-    them; each decides the earliest undecided lead at least, and mostly far more. Leads and slots are numbered once, by
-    ranges; a round renumbers parts of these numbers, and its two tables are written.
+    The result is that of the loop, as the one solution of a condition on slots. Slots are numbered by load and inbox;
+    leads without an inbox take them in that order, as loads only grow, and the leads of an inbox take its slots in
+    order. So a slot goes to the earlier of two leads: the next one without an inbox, which is known from the number of
+    smaller slots that such leads have taken, and the next one of its inbox, known from the number of the inbox's
+    smaller slots that its own leads have taken. Leads that find their inbox full are those of it beyond the slots that
+    its leads have taken; they stand among those without. Each slot depends on smaller ones only, so sums over the last
+    round's answers, taken again and again, settle from the smallest slot on: in some 3 to 30 rounds on tables of
+    84 to 9,681 slots. A lead beyond the number of all slots can get none and is left out before.
+
+    Numbers and sums are made by ranges; a round writes one row for each slot, the day's sending limit.
     """
-    slots = number_rows(_slots(inboxes).withColumnRenamed("inbox_id", "inbox"), ["load", "inbox", "slot"], "rank").select("rank", "inbox", "slot")
+    slots = number_rows(_slots(inboxes).withColumnRenamed("inbox_id", "inbox"), ["load", "inbox", "slot"], "rank")
+    inside = Window.partitionBy("inbox").orderBy("rank")  # an inbox has as many slots as its daily limit
+    slots = saved(slots.withColumn("at", F.row_number().over(inside) - 1).select("rank", "inbox", "at"), "slots")
     known = slots.select(F.col("inbox").alias("assigned_inbox")).distinct().withColumn("_open", F.lit(True))
-    queue = number_rows(leads, order, "place").select("place", "lead_id", "assigned_inbox").join(known, "assigned_inbox", "left")
-    # own: the inbox that a lead still insists on.
-    waiting = saved(queue.select("place", "lead_id", F.when(F.col("_open"), F.col("assigned_inbox")).alias("own")), "waiting")
-    held = saved(slots.withColumns({"holder": F.lit(None).cast("long"), "holder_id": F.lit(None).cast(leads.schema["lead_id"].dataType), "holder_own": F.lit(None).cast(inboxes.schema["inbox_id"].dataType)}), "held")
+    queue = number_rows(leads, order, "place").select("place", "lead_id", "assigned_inbox")
+    queue = queue.crossJoin(F.broadcast(slots.agg(F.count("*").alias("_room")))).filter("place <= _room").join(known, "assigned_inbox", "left")  # one row
+    queue = saved(queue.select("place", "lead_id", "assigned_inbox", F.when(F.col("_open"), F.col("assigned_inbox")).alias("own")), "queue")
+    turns = number_rows(queue.filter("own is not null").select("own", "place"), ["own", "place"], "_n")
+    firsts = turns.groupBy("own").agg(F.min("_n").alias("_first"))
+    turns = saved(turns.join(firsts, "own").select(F.col("own").alias("inbox"), (F.col("_n") - F.col("_first")).alias("turn"), F.col("place").alias("own_place")), "turns")
+    free = queue.filter("own is null").select("place")
+    # free: 1 for slots that go to leads without an inbox.
+    state = saved(slots.select("rank", "inbox", "at", F.lit(1).alias("free")), "slots")
     while True:
-        asked = _asked(waiting, held)
-        best = asked.groupBy("rank").agg(F.min(F.struct("place", "lead_id", "own")).alias("ask"))
-        after = held.join(best, "rank", "left")
-        wins = F.col("ask").isNotNull() & (F.col("holder").isNull() | (F.col("ask.place") < F.col("holder")))
-        names = {"holder": "place", "holder_id": "lead_id", "holder_own": "own"}
-        after = saved(after.withColumn("_wins", wins).select("rank", "inbox", "slot", *[F.when(F.col("_wins"), F.col(f"ask.{n}")).otherwise(F.col(c)).alias(c) for c, n in names.items()], F.when(F.col("_wins"), F.struct("holder", "holder_id", "holder_own")).alias("out"), "_wins"), "held")
-        if not after.filter("_wins").limit(1).count():
-            dropped(after)
-            if not waiting.filter("own is not null").limit(1).count():
-                break
-            # The first of an inbox found nothing, so its slots are with earlier leads for good.
-            before, waiting = waiting, saved(waiting.withColumn("own", F.lit(None).cast(waiting.schema["own"].dataType)), "waiting")
-            dropped(before)
-            continue
-        placed = after.filter("_wins").select(F.col("holder").alias("place"))
-        lost = after.filter("out.holder is not null").select(F.col("out.holder").alias("place"), F.col("out.holder_id").alias("lead_id"), F.col("out.holder_own").alias("own"))
-        left = saved(waiting.join(placed, "place", "left_anti").unionByName(lost), "waiting")
-        dropped(waiting, held)
-        waiting, held = left, after.drop("out", "_wins")
-    taken = held.filter("holder is not null").join(leads.select(F.col("lead_id").alias("holder_id"), "assigned_inbox"), "holder_id")
-    return taken.select(F.col("holder_id").alias("lead_id"), F.col("inbox").alias("inbox_id"), F.coalesce(F.col("assigned_inbox") == F.col("inbox"), F.lit(False)).alias("sticky"))
-
-
-def _asked(waiting: DataFrame, held: DataFrame) -> DataFrame:
-    """place, lead_id, own and the rank of the slot that each waiting lead asks for, if there is one."""
-    first = waiting.groupBy("own").agg(F.min("place").alias("first"))
-    mine = F.row_number().over(Window.partitionBy("own").orderBy("place"))
-    theirs = F.row_number().over(Window.partitionBy("inbox").orderBy("slot"))
-    insist = waiting.filter("own is not null").withColumn("_n", mine)
-    offered = held.join(first.filter("own is not null"), F.col("inbox") == F.col("own")).filter("holder is null or holder > first").withColumn("_n", theirs)
-    sticky = insist.join(offered.select("rank", F.col("inbox").alias("own"), "_n"), ["own", "_n"])
-    free = renumber(waiting.filter("own is null"), "place", "_n")
-    rest = held.crossJoin(F.broadcast(first.filter("own is null").select("first")))  # one row
-    rest = renumber(rest.filter("holder is null or holder > first").select("rank"), "rank", "_n")
-    columns = ["place", "lead_id", "own", "rank"]
-    return sticky.select(*columns).unionByName(free.join(rest, "_n").select(*columns))
-
+        stay = state.groupBy("inbox").agg(F.sum(1 - F.col("free")).alias("_stay"))
+        full = turns.join(stay, "inbox").filter("turn >= _stay").select(F.col("own_place").alias("place"))
+        next_free = renumber(free.unionByName(full), "place", "_n").select((F.col("_n") - 1).alias("_taken"), F.col("place").alias("free_place"))
+        before = F.coalesce(F.sum("free").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        asked = sum_before(state, "rank", F.col("free"), "_taken").withColumn("turn", F.col("at") - before)
+        asked = asked.join(next_free, "_taken", "left").join(turns, ["inbox", "turn"], "left")
+        wins = F.coalesce(F.col("free_place") < F.col("own_place"), F.col("free_place").isNotNull())
+        place = F.when(wins, F.col("free_place")).otherwise(F.col("own_place"))
+        now = saved(asked.select("rank", "inbox", "at", wins.cast("int").alias("free"), place.alias("place"), (wins.cast("int") != F.col("free")).alias("changed")), "slots")
+        dropped(state)
+        state = now
+        if state.filter("changed").isEmpty():
+            break
+    taken = state.join(queue.select("place", "lead_id", "assigned_inbox"), "place")
+    return taken.select("lead_id", F.col("inbox").alias("inbox_id"), F.coalesce(F.col("assigned_inbox") == F.col("inbox"), F.lit(False)).alias("sticky"))

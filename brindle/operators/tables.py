@@ -50,13 +50,19 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "numbe
 
 def renumber(df: DataFrame, number: str, name: str, width: int = 50_000) -> DataFrame:
     """Numbers rows from 1 on in the order of a distinct whole number: places inside ranges of `width`, and offsets."""
-    ranged = df.withColumn("_part", F.floor(F.col(number) / width))
-    at = F.row_number().over(Window.partitionBy("_part").orderBy(number))
-    return _with_offsets(ranged.withColumn("_at", at), "_part", F.col("_at"), name).drop("_part", "_at")
+    return sum_before(df, number, F.lit(1), name, width).withColumn(name, F.col(name) + 1)
 
 
-def _with_offsets(df: DataFrame, part: str, at: Column, name: str) -> DataFrame:
-    counts = df.groupBy(part).agg(F.count("*").alias("_n"))  # a row for each range
+def sum_before(df: DataFrame, number: str, value: Column, name: str, width: int = 50_000) -> DataFrame:
+    """Adds the sum of a value over all rows with a smaller number: sums inside ranges of `width`, and offsets."""
+    ranged = df.withColumns({"_part": F.floor(F.col(number) / width), "_value": value})
+    inside = F.sum("_value").over(Window.partitionBy("_part").orderBy(number).rowsBetween(Window.unboundedPreceding, -1))
+    ranged = ranged.withColumn("_at", F.coalesce(inside, F.lit(0)))
+    return _with_offsets(ranged, "_part", F.col("_at"), name, F.sum("_value")).drop("_part", "_at", "_value")
+
+
+def _with_offsets(df: DataFrame, part: str, at: Column, name: str, size: Column | None = None) -> DataFrame:
+    sizes = df.groupBy(part).agg((F.count("*") if size is None else size).alias("_n"))  # a row for each range
     before = F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(part, F.coalesce(before, F.lit(0).cast("long")).alias("_before"))
+    offsets = sizes.select(part, F.coalesce(before, F.lit(0)).cast("long").alias("_before"))
     return df.join(F.broadcast(offsets), part).withColumn(name, F.col("_before") + at).drop("_before")
