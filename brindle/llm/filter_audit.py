@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import WORD, small_batches
+from brindle.llm.common import WORD, small_batches, written
 
 #: Stands for "never" in the tropical (min, +) matrices.
 NEVER = 1 << 20
@@ -48,7 +48,8 @@ def masked_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.xxhash64(F.lit(1), text).alias("h2"),
         mask.cast("int").alias("mask"),
     )
-    rows = rows.groupBy("h1", "h2", "doc_id", "part", "mask").agg(F.count("*").alias("n"))
+    # Written, so that texts are parsed once for both of what follows.
+    rows = written(rows.groupBy("h1", "h2", "doc_id", "part", "mask").agg(F.count("*").alias("n")), "audit-masks")
     first = rows.filter("doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id")).withColumn("_first", F.lit(True))
     known = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     known = known.agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
