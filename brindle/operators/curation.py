@@ -79,37 +79,41 @@ def _grams(c: Column, sizes: Sequence[int]) -> Column:
         return F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, F.lit(n)))
 
     none = F.array().cast("array<string>")
-    return F.array_distinct(F.concat(*[F.when(F.length(c) >= n, of_size(n)).otherwise(none) for n in sizes]))
+    return F.array_distinct(F.concat(none, *[F.when(F.length(c) >= n, of_size(n)).otherwise(none) for n in sizes]))
 
 
 def match_entities(texts: DataFrame, entities: DataFrame, text_col: str = "text", gram: int = 4) -> DataFrame:
     """Pairs of texts and entities whose aliases match and whose reject phrases do not.
 
     entities: entity, aliases and rejects (arrays in lower case). An alias is in a text as a whole or with all its words
-    of over two letters, so the text holds every piece of `gram` letters of these words (of the alias itself, if it has
-    no such word; shorter ones are pieces as a whole). Each alias is filed under the one of its pieces that the fewest
-    texts hold, texts meet it by an equality on that piece, and only then the alias is looked for. Texts stand for
-    themselves by two hashes until they are found; a pair comes once, by the first alias that matches. Null texts and
-    null aliases match nothing, an empty alias every text. Rows that repeat give pairs that repeat.
+    of over two letters, so the text holds every piece of these words (of the alias itself, if it has no such word).
+    Pieces have twice `gram` letters in words that are so long, else `gram`; shorter words are pieces as a whole. Each
+    alias is filed under the one of its pieces that the fewest different texts hold, texts meet it by an equality on
+    that piece, and only then the alias is looked for. Equal texts are looked at once; they stand for themselves by two
+    hashes of 64 bits. A pair comes once, by the first alias that matches. Null texts and null aliases match nothing, an
+    empty alias every text. Rows that repeat give pairs that repeat.
+
+    Both sides of the joins grow with the input, and Spark takes their sizes from compressed files before rows become
+    many by pieces; so none of them is left to be sent whole through the driver as a broadcast.
     """
     pieces = lambda a: F.when(F.size(tokens_over_two(a)) > 0, F.array_distinct(tokens_over_two(a))).otherwise(F.array(a))
-    sizes = list(range(gram + 1))
-    each = entities.groupBy(F.struct(*entities.columns).alias("_e")).agg(F.count("*").cast("int").alias("_times"))
-    filed = each.select("_e", "_times", F.posexplode("_e.aliases").alias("_k", "_alias")).filter("_alias is not null")
-    filed = filed.withColumn("_piece", F.explode(pieces(F.col("_alias"))))
-    cut = F.least(F.length("_piece"), F.lit(gram))
-    filed = filed.withColumn("_gram", F.explode(F.filter(_grams(F.col("_piece"), sizes), lambda g: F.length(g) == cut)))
-    at = texts.withColumns({"_h1": F.xxhash64(text_col), "_h2": F.xxhash64(F.lit(1), F.col(text_col))}).filter(F.col(text_col).isNotNull())
-    held = at.select("_h1", "_h2", F.explode(_grams(F.col(text_col), sizes)).alias("_gram")).join(filed.select("_gram").distinct(), "_gram")
-    often = held.groupBy("_gram").agg(F.count("*").alias("_n"))
-    keys = filed.join(often, "_gram").groupBy("_e", "_times", "_k", "_alias").agg(F.min(F.struct("_n", "_gram")).alias("_r"))
-    keys = keys.select(F.col("_r._gram").alias("_gram"), "_e", "_k", "_alias", "_times")
-    found = held.join(keys, "_gram").select("_h1", "_h2", "_e", "_k", "_alias", "_times").distinct()
-    both = at.join(found, ["_h1", "_h2"])
+    named = entities.select(F.struct(*entities.columns).alias("_e")).select("_e", F.posexplode("_e.aliases").alias("_k", "_alias")).filter("_alias is not null")
+    filed = named.select("_alias").distinct().withColumn("_piece", F.explode(pieces(F.col("_alias"))))
+    cut = F.when(F.length("_piece") >= 2 * gram, 2 * gram).otherwise(F.least(F.length("_piece"), F.lit(gram)))
+    filed = filed.withColumn("_gram", F.explode(F.filter(_grams(F.col("_piece"), [*range(gram + 1), 2 * gram]), lambda g: F.length(g) == cut)))
+    sizes = sorted(r[0] for r in filed.select(F.length("_gram")).distinct().collect())  # gram + 2 rows at most
     text = F.col(text_col)
+    at = texts.filter(text.isNotNull()).withColumns({"_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(1), text)})
+    own = at.select("_h1", "_h2", text.alias("_text")).distinct()
+    held = own.select("_h1", "_h2", F.explode(_grams(F.col("_text"), sizes)).alias("_gram"))
+    often = held.groupBy("_gram").agg(F.count("*").alias("_n"))
+    keys = filed.select("_alias", "_gram").join(often.hint("merge"), "_gram").groupBy("_alias").agg(F.min(F.struct("_n", "_gram")).alias("_r"))
+    keys = named.join(keys.select("_alias", F.col("_r._gram").alias("_gram")).hint("merge"), "_alias")
+    both = held.hint("merge").join(keys, "_gram").drop("_gram").join(own.hint("merge"), ["_h1", "_h2"])
     earlier = F.slice(F.col("_e.aliases"), 1, F.col("_k"))
-    ok = alias_match(text, F.array("_alias")) & ~alias_match(text, earlier) & ~reject_match(text, F.col("_e.rejects"))
-    return both.filter(ok).select(*texts.columns, F.explode(F.array_repeat("_e", F.col("_times"))).alias("_e")).select(*texts.columns, "_e.*")
+    ok = alias_match(F.col("_text"), F.array("_alias")) & ~alias_match(F.col("_text"), earlier) & ~reject_match(F.col("_text"), F.col("_e.rejects"))
+    found = both.filter(ok).select("_h1", "_h2", "_e")
+    return at.hint("merge").join(found, ["_h1", "_h2"]).select(*texts.columns, "_e.*")
 
 
 def payload_gate(df: DataFrame, content_type: str, size: str, least: int = 8000, most: int = 25_000_000) -> DataFrame:

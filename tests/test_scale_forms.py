@@ -114,6 +114,19 @@ def test_many_entities_need_no_nested_loop(spark):
     assert {r["entity"] for r in got.collect()} == {i for i in range(100_000) if (str(i) in "this is item number 99321 here") or (len(str(i)) < 3)}
 
 
+def test_entities_are_not_sent_through_the_driver(spark, tmp_path):
+    """Files of equal texts are tiny beside their rows, so Spark would plan to broadcast texts and pieces by their size."""
+    rows = spark.range(20_000).select("id", F.concat(F.lit("customer number "), F.lpad((F.col("id") % 50).cast("string"), 9, "0")).alias("text"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "texts"))
+    some = spark.range(100).select(F.col("id").alias("entity"), F.array(F.lpad((F.col("id") % 40).cast("string"), 9, "0")).alias("aliases"), F.array(F.lit("zzz")).alias("rejects"))
+    some.coalesce(1).write.parquet(str(tmp_path / "entities"))
+    got = curation.match_entities(spark.read.parquet(str(tmp_path / "texts")), spark.read.parquet(str(tmp_path / "entities")))
+    pairs = got.groupBy("entity").agg(F.count("*").alias("n"), F.max(F.col("id") % 50 != F.col("entity") % 40).alias("bad"))
+    assert [(r["n"], r["bad"]) for r in pairs.collect()] == [(400, False)] * 100
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_order_statistics_by_ranges(spark):
     draw = random.Random(6)
     for n in (1, 2, 7, 500):
