@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -202,6 +202,11 @@ def uniform(key: Column, seed: int, salt: str = "") -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(salt), key), 11) / F.lit(float(1 << 53))
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a column that is evaluated once for a row, however often f uses it (also inside lambdas)."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
 def spin(c: Column, key: Column, seed: int) -> Column:
     """Every innermost {a|b|c} replaced by one of its options (trimmed), chosen by key, seed and place; {a} stays."""
     group = r"\{([^{}]+)\}"
@@ -209,10 +214,12 @@ def spin(c: Column, key: Column, seed: int) -> Column:
     groups = F.regexp_extract_all(c, F.lit(group), F.lit(1))
 
     def choose(g: Column, i: Column) -> Column:
-        options = F.split(g, r"\|")
-        n = F.size(options)
-        pick = F.floor(F.shiftrightunsigned(F.xxhash64(F.lit(seed), key, i), 11) / F.lit(float(1 << 53)) * n).cast("int")
-        return F.when(n > 1, F.trim(F.get(options, pick))).otherwise(F.concat(F.lit("{"), g, F.lit("}")))
+        def one(options: Column) -> Column:
+            n = F.size(options)
+            pick = F.floor(F.shiftrightunsigned(F.xxhash64(F.lit(seed), key, i), 11) / F.lit(float(1 << 53)) * n).cast("int")
+            return F.when(n > 1, F.trim(F.get(options, pick))).otherwise(F.concat(F.lit("{"), g, F.lit("}")))
+
+        return once(F.split(g, r"\|"), one)
 
     chosen = F.concat(F.transform(groups, choose), F.array(F.lit("")))
     return F.array_join(F.zip_with(texts, chosen, lambda t, g: F.concat(t, F.coalesce(g, F.lit("")))), "")
@@ -221,16 +228,20 @@ def spin(c: Column, key: Column, seed: int) -> Column:
 def fill_template(c: Column, variables: Column) -> Column:
     """Every {{key}} replaced by its value in the map; unknown keys by nothing."""
     mark = r"\{\{(\w+)\}\}"
-    texts = F.split(c, mark)
-    keys = F.concat(F.transform(F.regexp_extract_all(c, F.lit(mark), F.lit(1)), lambda k: F.coalesce(F.try_element_at(variables, k), F.lit(""))), F.array(F.lit("")))
-    return F.array_join(F.zip_with(texts, keys, lambda t, k: F.concat(t, F.coalesce(k, F.lit("")))), "")
+
+    def fill(x: Column) -> Column:
+        texts = F.split(x["text"], mark)
+        keys = F.concat(F.transform(F.regexp_extract_all(x["text"], F.lit(mark), F.lit(1)), lambda k: F.coalesce(F.try_element_at(x["variables"], k), F.lit(""))), F.array(F.lit("")))
+        return F.array_join(F.zip_with(texts, keys, lambda t, k: F.concat(t, F.coalesce(k, F.lit("")))), "")
+
+    return once(F.struct(c.alias("text"), variables.alias("variables")), fill)
 
 
 def template_variables(first: Column, last: Column, email: Column, company: Column, custom: Column) -> Column:
     """Built-in variables of a message, overridden by the custom ones."""
     own = {"firstName": first, "lastName": last, "fullName": full_name(first, last), "email": email, "company": company}
     built_in = F.create_map(*[x for k, v in own.items() for x in (F.lit(k), F.coalesce(v, F.lit("")))])
-    return F.map_concat(F.map_filter(built_in, lambda k, _: ~F.array_contains(F.map_keys(custom), k)), custom)
+    return once(custom, lambda m: F.map_concat(F.map_filter(built_in, lambda k, _: ~F.array_contains(F.map_keys(m), k)), m))
 
 
 def message_html(body: Column, unsubscribe_url: Column, unsubscribe_text: Column, tracking_url: Column) -> Column:

@@ -251,11 +251,15 @@ def render_messages(leads: DataFrame, variations: DataFrame, seed: int, base: st
     in braces are drawn by lead and seed, then {{name}} is replaced by the lead's variables, custom ones first. Opened
     messages are tracked and the unsubscribe line is added only where the campaign wants them (not 0). A null subject or
     body is empty; leads of steps without variations get no message.
+
+    Leads are dealt over all tasks first, as a small file of leads may come as one part; a lead's variables are made once
+    for all its templates.
     """
-    picked = pick_variation(leads, variations.select("step_id", "variant", "weight"), seed)
+    picked = pick_variation(leads.repartition("lead_id"), variations.select("step_id", "variant", "weight"), seed)
     own = picked.join(variations.select("step_id", "variant", F.coalesce("subject", F.lit("")).alias("_subject"), F.coalesce("body", F.lit("")).alias("_body")), ["step_id", "variant"])
     variables = template_variables(F.col("first_name"), F.col("last_name"), F.col("email"), F.col("company"), json_map_or_empty(F.col("custom_data")))
-    filled = {name: fill_template(spin(F.col(f"_{name}"), F.col("lead_id"), seed + k), variables) for k, name in enumerate(("subject", "body"))}
+    own = own.withColumn("_variables", variables)
+    filled = {name: fill_template(spin(F.col(f"_{name}"), F.col("lead_id"), seed + k), F.col("_variables")) for k, name in enumerate(("subject", "body"))}
     linked = add_links(own.withColumns(filled), base, (F.coalesce("track_opens", F.lit(0)) != 0) & F.col("log_id").isNotNull())
     unsubscribe = F.when(F.coalesce("show_unsubscribe", F.lit(0)) != 0, F.col("unsubscribe_url"))
     html = message_html(F.col("body"), unsubscribe, F.col("unsubscribe_text"), F.col("tracking_url"))

@@ -258,3 +258,8 @@ def test_messages_are_the_loop(spark):
         assert (">Stop</a>" in m["html"]) == (shown and r["unsubscribe_text"] == "Stop") and (f"/t/{r['log_id']}" in m["html"]) == (r["track_opens"] == 1)
     assert seen == {"Dear", "Hello", "Hey", "A", "B"}
 
+
+@pytest.mark.parametrize("name", ["message_bodies"])
+def test_messages_are_made_once_and_by_all_tasks(spark, name):
+    plan = registry.QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "RepartitionByExpression [lead_id" in plan
