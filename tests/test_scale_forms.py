@@ -259,7 +259,7 @@ def test_messages_are_the_loop(spark):
     assert seen == {"Dear", "Hello", "Hey", "A", "B"}
 
 
-@pytest.mark.parametrize("name", ["message_bodies"])
+@pytest.mark.parametrize("name", ["message_bodies", "render_messages"])
 def test_messages_are_made_once_and_by_all_tasks(spark, name):
     plan = registry.QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1 and "RepartitionByExpression [lead_id" in plan
