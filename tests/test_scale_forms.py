@@ -127,6 +127,12 @@ def test_entities_are_not_sent_through_the_driver(spark, tmp_path):
     assert "Broadcast" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_customers_and_suppliers_are_not_sent_through_the_driver(spark):
+    got = registry.QUERIES["match_suppliers"](spark, DATA)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_order_statistics_by_ranges(spark):
     draw = random.Random(6)
     for n in (1, 2, 7, 500):
