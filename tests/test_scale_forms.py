@@ -133,6 +133,22 @@ def test_customers_and_suppliers_are_not_sent_through_the_driver(spark):
     assert "Broadcast" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_copies_of_customers_and_suppliers_are_matched_whole(spark, tmp_path):
+    """Repeated names on both sides: every pair of copies, and no broadcast in the plan as it ran."""
+    for table, key, copies in (("customer", "c_custkey", 7), ("supplier", "s_suppkey", 5)):
+        rows = view(spark, DATA, table)
+        shifted = rows.crossJoin(spark.range(copies)).withColumn(key, F.col(key) + F.col("id") * 10_000).drop("id")
+        shifted.coalesce(1).write.parquet(str(tmp_path / f"{table}.parquet"))
+    got = registry.QUERIES["match_suppliers"](spark, str(tmp_path))
+    pairs = sorted(map(tuple, got.collect()))
+    ran = got._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in ran and "Broadcast" not in ran
+    number = lambda name: F.substring(name, -9, 9)
+    customers, suppliers = (spark.read.parquet(str(tmp_path / f"{t}.parquet")) for t in ("customer", "supplier"))
+    same = customers.join(suppliers, number("c_name") == number("s_name")).filter("s_suppkey % 5 <> 0").select("c_custkey", "s_suppkey")
+    assert pairs == sorted(map(tuple, same.collect())) and len(pairs) >= 35
+
+
 def test_order_statistics_by_ranges(spark):
     draw = random.Random(6)
     for n in (1, 2, 7, 500):
