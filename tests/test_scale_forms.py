@@ -285,3 +285,20 @@ def test_messages_are_the_loop(spark):
 def test_messages_are_made_once_and_by_all_tasks(spark, name):
     plan = registry.QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1 and "RepartitionByExpression [lead_id" in plan
+
+
+def test_leads_of_one_file_are_rendered_by_all_tasks(spark, tmp_path):
+    for table, copies in (("customer", 3), ("nation", 1), ("region", 1)):
+        rows = view(spark, DATA, table).crossJoin(spark.range(copies))
+        shifted = rows.withColumn("c_custkey", F.col("c_custkey") + F.col("id") * 10_000) if table == "customer" else rows
+        shifted.drop("id").coalesce(1).write.parquet(str(tmp_path / f"{table}.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # such small parts would be merged
+    try:
+        got = registry.QUERIES["render_messages"](spark, str(tmp_path))
+        assert got.select(F.spark_partition_id().alias("task")).distinct().count() == 4  # spark.sql.shuffle.partitions
+        rows = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    leads = job_queries.message_leads(lambda name: view(spark, str(tmp_path), name)).filter("step_id % 5 <> 0").select("lead_id").collect()
+    assert sorted(r["lead_id"] for r in rows) == sorted(r["lead_id"] for r in leads)
+    assert {r for r in rows if r["lead_id"] < 10_000} == set(registry.QUERIES["render_messages"](spark, DATA).collect())
